@@ -13,6 +13,7 @@ NULL_TEXT = "None"
 ROW_KEY_SEPARATOR = "_"
 ID_SEPARATOR = "~"
 SOURCE_DATE_FORMAT = "dd/MM/yyyy"
+WHITESPACE = " \t\r\n"
 
 
 def named(column: str) -> Column:
@@ -64,7 +65,8 @@ def check_name(name: Column) -> Column:
 
 def key_columns(table_key: Column) -> Column:
     """The comma-separated key list as an array of names."""
-    return F.filter(F.transform(F.split(table_key, ","), F.trim), lambda part: part != "")
+    parts = F.transform(F.split(table_key, ","), lambda part: F.trim(part, F.lit(WHITESPACE)))
+    return F.filter(parts, lambda part: part != "")
 
 
 def _is_json_object(text: Column) -> Column:
@@ -78,7 +80,7 @@ def arguments_json(text: Column) -> Column:
     then without outer quotes, then with doubled quotes undone, then each of these
     with stray backslashes (as in an unescaped regex) escaped.
     """
-    plain = F.trim(text)
+    plain = F.trim(text, F.lit(WHITESPACE))
     quoted = plain.startswith('"') & plain.endswith('"') & (F.length(plain) >= 2)
     inner = F.when(quoted, F.substring(plain, F.lit(2), F.length(plain) - 2)).otherwise(plain)
     single = F.replace(inner, F.lit('""'), F.lit('"'))

@@ -23,6 +23,7 @@ from plumbline.operators.checks import (
     build_check,
 )
 from plumbline.plans.rulebook import RuleError, RuleSpec
+from plumbline.sources.local import local_rows
 from plumbline.sources.staging import Staging
 
 # Rules per scan. A scan keeps its generated code only up to 100 output fields
@@ -52,7 +53,7 @@ def rule_fault(error: Exception) -> str | None:
     if isinstance(error, PySparkException):
         return text if (error.getSqlState() or "").startswith(_RULE_FAULTS) else None
     if isinstance(error, Py4JJavaError) and "java.util.regex.PatternSyntaxException" in text:
-        return text.splitlines()[0]
+        return text[text.index("java.util.regex.PatternSyntaxException") :].splitlines()[0]
     return None
 
 
@@ -168,7 +169,7 @@ def exception_rows(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
         elif isinstance(check, SqlCheck):
             parts.append(check.staged.select(_key(check), "exception_row_pk", "exception_row_value"))
     if not parts:
-        return df.sparkSession.createDataFrame([], EXCEPTION_ROWS)
+        return local_rows(df.sparkSession, [], EXCEPTION_ROWS)
     return reduce(DataFrame.unionAll, parts)
 
 
@@ -189,6 +190,18 @@ def _row_exceptions(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
     return failing.select(F.inline(F.array_compact(F.array(*rows))))
 
 
+def check_table(
+    df: DataFrame, specs: Sequence[RuleSpec], read_table: ReadTable, today: date, staging: Staging
+) -> tuple[DataFrame, DataFrame]:
+    """Measures per rule and exception rows of rules that are known to be sound."""
+    checks = [build_check(spec, df, read_table, today) for spec in specs]
+    for check in checks:
+        if isinstance(check, (KeyedCheck, SqlCheck)):
+            check.prepare(df, staging)
+    stored = [check for check in checks if check.stores_rows]
+    return measures(raw_counts(df, checks)), exception_rows(df, stored)
+
+
 def evaluate(
     df: DataFrame, specs: Sequence[RuleSpec], read_table: ReadTable, today: date, staging: Staging
 ) -> Evaluation:
@@ -204,7 +217,7 @@ def evaluate(
             result.errors[spec.rule_key] = as_rule_error(error)
 
     def count(checks: list[Check]) -> None:
-        for row in raw_counts(df, checks).toLocalIterator():
+        for row in raw_counts(df, checks).collect():
             result.counts[row["rule_key"]] = row.asDict()
             result.table_count = row["table_count"]
 

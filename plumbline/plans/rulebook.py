@@ -70,7 +70,7 @@ def parse_rules(rules: DataFrame) -> DataFrame:
     """Add what the checks need: check name, arguments as valid JSON, key columns."""
     return rules.withColumns(
         {
-            "check_name": X.check_name(F.trim("gx_expectation")),
+            "check_name": X.check_name(F.trim("gx_expectation", F.lit(X.WHITESPACE))),
             "arguments_json": X.arguments_json(F.col("gx_arguments")),
             "key_columns": X.key_columns(F.col("table_key")),
         }

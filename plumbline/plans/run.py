@@ -28,6 +28,7 @@ from plumbline.operators.evaluate import (
 from plumbline.operators.numbering import number_staged_rows
 from plumbline.plans.rulebook import RuleError, RuleSpec
 from plumbline.schemas import DQ_EXCEPTIONS_TABLE, DQ_VALIDATIONS_TABLE, RULE_ERRORS
+from plumbline.sources.local import local_rows
 from plumbline.sources.staging import Staging
 
 # Errors of rules that were built but could not be checked: these get a failed
@@ -83,9 +84,11 @@ def run_rules(
         key=lambda s: (s.asset, s.rule_key),
     )
     validation_keys = {s.rule_key: last_validation_key + i for i, s in enumerate(reported, 1)}
-    nothing_counted = {"check_kind": COLUMN, "mostly": 1.0, "table_count": 0, "scope_count": 0, "missing_count": 0, "bad_count": 0}
-    raw = [{**nothing_counted, **counts.get(s.rule_key, {}), "rule_key": s.rule_key} for s in reported]
-    measured = measures(spark.createDataFrame(raw, RAW_COUNTS)).withColumn(
+    nothing_counted = {"check_kind": COLUMN, "mostly": 1.0} | dict.fromkeys(
+        ["table_count", "scope_count", "missing_count", "bad_count"], 0
+    )
+    raw = [({"rule_key": s.rule_key} | nothing_counted | counts.get(s.rule_key, {})) for s in reported]
+    measured = measures(local_rows(spark, [tuple(row.values()) for row in raw], RAW_COUNTS)).withColumn(
         # A rule that could not be checked has not succeeded.
         "success_flag", F.col("success_flag") & ~F.col("rule_key").isin(*errors)
     )
@@ -108,7 +111,8 @@ def run_rules(
     # exceptions, but they are not fixed either.
     tolerated = _stage_exceptions(evaluations, (bad - failing) & prior_rules, staging)
 
-    rule_run = spark.createDataFrame(
+    rule_run = local_rows(
+        spark,
         [
             (
                 s.rule_key,
@@ -128,7 +132,7 @@ def run_rules(
         execution_key=execution_key,
         validations=_validations(measured, rule_run, compared_counts, execution_key, run_ts),
         exceptions=exceptions,
-        errors=spark.createDataFrame([(k, e.reason, e.message) for k, e in sorted(errors.items())], RULE_ERRORS),
+        errors=local_rows(spark, [(k, e.reason, e.message) for k, e in sorted(errors.items())], RULE_ERRORS),
         staging=staging,
     )
 
@@ -180,9 +184,9 @@ def _classify(
     spark, staged, tolerated, prior, rule_run, execution_key, run_ts, last_exception_key, staging
 ) -> tuple[DataFrame, DataFrame]:
     """Ledger rows of the run, and per rule the counts of known and fixed ones."""
-    nothing = spark.createDataFrame([], EXCEPTION_ROWS)
-    known = spark.createDataFrame([], "rule_key long, known_exception_count long")
-    fixed_counts = spark.createDataFrame([], "rule_key long, fixed_exception_count long")
+    nothing = local_rows(spark, [], EXCEPTION_ROWS)
+    known = local_rows(spark, [], "rule_key long, known_exception_count long")
+    fixed_counts = local_rows(spark, [], "rule_key long, fixed_exception_count long")
     # One row per rule of the run.
     run_keys = F.broadcast(rule_run.select("rule_key", "validation_key"))
 

@@ -15,6 +15,7 @@ from plumbline.plans import rulebook as R
 from plumbline.plans.run import RunResult, run_rules
 from plumbline.schemas import DQ_RULE, DQ_RULE_TYPE, RULE_ERRORS
 from plumbline.sources import catalog
+from plumbline.sources.local import local_rows
 from plumbline.sources.staging import Staging
 from plumbline.sources.store import Store
 
@@ -60,7 +61,7 @@ def select_rules(rules: DataFrame, today: date, assets: Iterable[str] | None = N
             specs.append(R.RuleSpec.from_row(row))
         except R.RuleError as error:
             errors.append((row["rule_key"], error.reason, error.message))
-    return Selection(specs, skipped, rules.sparkSession.createDataFrame(errors, RULE_ERRORS))
+    return Selection(specs, skipped, local_rows(rules.sparkSession, errors, RULE_ERRORS))
 
 
 def run_stored_rules(

@@ -101,10 +101,4 @@ DQ_EXCEPTIONS_TABLE = T.StructType(
     [T.StructField("integration_id", _STRING), T.StructField("exception_key", _LONG), *DQ_EXCEPTIONS.fields]
 )
 
-RULE_ERRORS = T.StructType(
-    [
-        T.StructField("rule_key", _LONG),
-        T.StructField("reason", _STRING),
-        T.StructField("message", _STRING),
-    ]
-)
+RULE_ERRORS = "rule_key long, reason string, message string"
