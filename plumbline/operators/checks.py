@@ -26,10 +26,6 @@ from plumbline.sources.staging import Staging
 
 ReadTable = Callable[[str], DataFrame]
 
-# Status of a row under one rule; null when the row is out of scope.
-GOOD, BAD, MISSING = 0, 1, 2
-
-
 @dataclass
 class Check:
     """Common part of all checks. ``value`` is null-valued when the rule's column is absent."""
@@ -60,22 +56,11 @@ class Check:
     def in_scope(self, predicate: Column) -> Column:
         return predicate if self.scope is None else self.scope & predicate
 
-    def status(self) -> Column:
-        """GOOD or MISSING; a row check adds BAD."""
-        return self._scoped(F.when(self.missing, MISSING).otherwise(GOOD))
-
-    def _scoped(self, status: Column) -> Column:
-        status = status.cast("tinyint")
-        return status if self.scope is None else F.when(self.scope, status)
-
 
 @dataclass
 class RowCheck(Check):
     bad: Column = None
 
-    def status(self) -> Column:
-        return self._scoped(F.when(self.missing, MISSING).when(self.bad, BAD).otherwise(GOOD))
-
     def failing(self) -> Column:
         """Plain predicate of the bad rows, in a form that scans can push down."""
         return self.in_scope(self.bad)
@@ -85,6 +70,7 @@ class RowCheck(Check):
 class KeyedCheck(Check):
     keys: list[Column] = None
     find_bad_keys: Callable[[DataFrame, Staging | None], DataFrame] = None
+    null_safe: bool = False
     key_set: KeySet | None = None
 
     def judged(self, df: DataFrame) -> DataFrame:
@@ -101,7 +87,48 @@ class KeyedCheck(Check):
             *[key.alias(f"_key{i}") for i, key in enumerate(self.keys)],
         )
         names = [f"_key{i}" for i in range(len(self.keys))]
-        return probe(narrow, [F.col(n) for n in names], self.key_set, "left_semi").drop(*names)
+        return probe(narrow, [F.col(n) for n in names], self.key_set, "left_semi", self.null_safe).drop(*names)
+
+
+# Keys with a longer text on average are compared by hash before they are shuffled.
+WIDE_KEY_BYTES = 64
+
+
+@dataclass
+class UniqueCheck(KeyedCheck):
+    """Bad keys are those that occur more than once.
+
+    Long keys (whole texts) would make the shuffle as large as the column. Their rows
+    are first reduced to those whose 64-bit hash occurs more than once; equal keys have
+    equal hashes, so the exact comparison of the rest still finds every repetition.
+    """
+
+    candidates: KeySet | None = None
+
+    def judged(self, df: DataFrame) -> DataFrame:
+        rows = super().judged(df)
+        return rows if self.candidates is None else probe(rows, [F.xxhash64(*self.keys)], self.candidates, "left_semi")
+
+    def prepare(self, df: DataFrame, staging: Staging) -> None:
+        if self.key_set is None and self._wide(df):
+            hashes = repeated(self.judged(df), [F.xxhash64(*self.keys)])
+            self.candidates = stage_keys(hashes, staging, "repeated-hashes")
+        super().prepare(df, staging)
+
+    def _wide(self, df: DataFrame) -> bool:
+        # A look at a few rows: it decides how keys are compared, never the result.
+        fixed_width = (T.NumericType, T.BooleanType, T.DatetimeType)
+        if all(isinstance(field.dataType, fixed_width) for field in df.select(*self.keys).schema.fields):
+            return False
+        text = F.concat(*[F.coalesce(key.cast("string"), F.lit("")) for key in self.keys])
+        lengths = [row[0] for row in self.judged(df).select(F.octet_length(text)).take(200)]
+        return sum(lengths) > WIDE_KEY_BYTES * len(lengths)
+
+
+def repeated(rows: DataFrame, keys: list[Column]) -> DataFrame:
+    """Keys that occur more than once. Counts combine map-side, so a hot key is cheap."""
+    counted = rows.groupBy(*[key.alias(f"_k{i}") for i, key in enumerate(keys)]).agg(F.count(F.lit(1)).alias("n"))
+    return counted.filter(F.col("n") > 1)
 
 
 @dataclass
@@ -128,7 +155,7 @@ class SqlCheck(Check):
     def prepare(self, df: DataFrame, staging: Staging) -> None:
         # The query may be costly, so it runs once: counts and rows come from its result.
         if self.staged is None:
-            self.staged = staging.put(self.rows(df), "sql-rows")
+            self.staged = staging.put(self.rows(df).hint("rebalance"), "sql-rows")
             self.row_count, self.missing_count = self.staged.agg(
                 F.count(F.lit(1)), F.count_if(F.col("exception_row_value").isNull())
             ).first()
@@ -198,10 +225,15 @@ class _Builder:
         x = named(self.domain())
         return self.row_check(x.isNull(), bad_value(x))
 
-    def keyed_check(self, missing: Column, keys: list[Column], find_bad_keys) -> KeyedCheck:
-        value = _value_column(self.spec, self.df)
-        return KeyedCheck(
-            spec=self.spec, scope=self.scope, missing=missing, value=value, keys=keys, find_bad_keys=find_bad_keys
+    def unique_check(self, missing: Column, keys: list[Column], null_safe: bool = False) -> UniqueCheck:
+        return UniqueCheck(
+            spec=self.spec,
+            scope=self.scope,
+            missing=missing,
+            value=_value_column(self.spec, self.df),
+            keys=keys,
+            find_bad_keys=lambda judged, _: repeated(judged, keys),
+            null_safe=null_safe,
         )
 
     # -- checks ------------------------------------------------------------
@@ -302,13 +334,20 @@ class _Builder:
             # Grouping first makes the values unique, so no hot value reaches the join.
             return values.groupBy("_k0").agg(*counted).join(known, "_k0", how)
 
-        return self.keyed_check(x.isNull(), [x], find_bad_keys)
+        return KeyedCheck(
+            spec=self.spec,
+            scope=self.scope,
+            missing=x.isNull(),
+            value=_value_column(self.spec, self.df),
+            keys=[x],
+            find_bad_keys=find_bad_keys,
+        )
 
-    def unique(self) -> KeyedCheck:
+    def unique(self) -> UniqueCheck:
         x = named(self.domain())
-        return self.keyed_check(x.isNull(), [x], lambda judged, _: _repeated(judged, [x]))
+        return self.unique_check(x.isNull(), [x])
 
-    def compound_unique(self) -> KeyedCheck:
+    def compound_unique(self) -> UniqueCheck:
         names = self.argument("column_list", list)
         for name in names:
             if name not in self.types:
@@ -324,13 +363,7 @@ class _Builder:
         }
         if ignore not in skips:
             raise RuleError("bad_arguments", f"unknown ignore_row_if: {ignore}")
-        return self.keyed_check(skips[ignore], columns, lambda judged, _: _repeated(judged, columns))
-
-
-def _repeated(judged: DataFrame, keys: list[Column]) -> DataFrame:
-    """Keys that occur more than once. Counts combine map-side, so a hot key is cheap."""
-    counted = judged.groupBy(*[key.alias(f"_k{i}") for i, key in enumerate(keys)]).agg(F.count(F.lit(1)).alias("n"))
-    return counted.filter(F.col("n") > 1)
+        return self.unique_check(skips[ignore], columns, null_safe=ignore != "any_value_is_missing")
 
 
 # The check names that rules may use.
@@ -366,7 +399,7 @@ def build_check(spec: RuleSpec, df: DataFrame, read_table: ReadTable, today: dat
         unknown = [name for name in spec.key_columns if name not in df.columns]
         if unknown:
             raise RuleError("bad_key", f"no key columns {unknown} in {spec.asset}")
-        df.select(check.status(), check.pk, check.value)
+        df.select(check.in_scope(check.missing), check.pk, check.value)
         if isinstance(check, RowCheck):
             df.filter(check.failing())
         else:

@@ -23,8 +23,33 @@ def last_run(validations: DataFrame) -> DataFrame:
     )
 
 
-def max_exception_key(ledger: DataFrame) -> DataFrame:
-    return ledger.agg(F.coalesce(F.max("exception_key"), F.lit(0)).cast("long").alias("max_exception_key"))
+def max_exception_key(ledger: DataFrame, at_least: int = 0) -> DataFrame:
+    """Largest key given out; a known lower bound lets the scan skip what lies below it."""
+    above = ledger.filter(F.col("exception_key") > at_least)
+    return above.agg(F.coalesce(F.max("exception_key"), F.lit(at_least)).cast("long").alias("max_exception_key"))
+
+
+def starting_point(validations: DataFrame, ledger: DataFrame) -> tuple[int, int, int]:
+    """Last validation, execution and exception key in use.
+
+    A run that broke off after its exceptions were stored has no validations. Its keys
+    count as used, so the next run compares itself with it and repeats nothing. Both
+    looks into the ledger filter on keys that grow from run to run, and so read little
+    more than file footers.
+    """
+    last = last_run(validations).first()
+    unfinished = (
+        ledger.filter(F.col("validation_key") > last["validation_key"])
+        .agg(F.max("validation_key").alias("validation_key"), F.max("execution_key").alias("execution_key"))
+        .first()
+    )
+    stored = F.col("known_exception_count") + F.col("new_exception_count") + F.col("fixed_exception_count")
+    numbered = validations.agg(F.coalesce(F.sum(stored), F.lit(0))).first()[0]
+    return (
+        max(last["validation_key"], unfinished["validation_key"] or 0),
+        max(last["execution_key"], unfinished["execution_key"] or 0),
+        max_exception_key(ledger, numbered).first()[0],
+    )
 
 
 def last_evaluated(validations: DataFrame, rule_keys: Collection[int], before: int) -> DataFrame:

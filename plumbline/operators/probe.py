@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import BooleanType, DatetimeType, NumericType
 
 from plumbline.sources.staging import Staging
 
@@ -47,9 +47,9 @@ def stage_keys(keys: DataFrame, staging: Staging, label: str) -> KeySet:
     staged = staging.put(keys, label)
 
     def width(field) -> Column:
-        if isinstance(field.dataType, (StringType, BinaryType)):
-            return F.coalesce(F.octet_length(field.name), F.lit(0)) + _BYTES_PER_FIELD
-        return F.lit(_BYTES_PER_FIELD)
+        if isinstance(field.dataType, (NumericType, BooleanType, DatetimeType)):
+            return F.lit(_BYTES_PER_FIELD)
+        return F.coalesce(F.octet_length(F.col(field.name).cast("string")), F.lit(0)) + _BYTES_PER_FIELD
 
     size = reduce(lambda a, b: a + b, [width(field) for field in staged.schema.fields])
     key_count, row_count, size_in_bytes = staged.agg(
@@ -68,8 +68,8 @@ def hot_hashes(rows: DataFrame, keys: list[Column]) -> list[int]:
     return [item["item"] for item in row["top"] or [] if item["count"] >= max(row["total"] * HOT_SHARE, 2)]
 
 
-def probe(rows: DataFrame, on: list[Column], key_set: KeySet, how: str) -> DataFrame:
-    """``rows`` joined ``how`` (semi, anti or left) to a key set, null keys being equal.
+def probe(rows: DataFrame, on: list[Column], key_set: KeySet, how: str, null_safe: bool = False) -> DataFrame:
+    """``rows`` joined ``how`` (semi, anti or left) to a key set.
 
     A small set is broadcast, so ``rows`` are not shuffled. For a large one both
     sides are shuffled by key; the hot keys of ``rows`` are spread over all shuffle
@@ -80,7 +80,8 @@ def probe(rows: DataFrame, on: list[Column], key_set: KeySet, how: str) -> DataF
     left_names = [f"_probe{i}" for i in range(len(on))]
     left = rows.select("*", *[column.alias(name) for column, name in zip(on, left_names)])
     right = key_set.keys
-    matched = [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left_names, names)]
+    pairs = [(F.col(a), F.col(b)) for a, b in zip(left_names, names)]
+    matched = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
 
     if key_set.size_in_bytes <= broadcast_limit(spark):
         right = F.broadcast(right)

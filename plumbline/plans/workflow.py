@@ -88,8 +88,8 @@ def run_stored_rules(
     rules = R.resolve_rules(store.table(store.rules), store.table(store.rule_types))
     selection = select_rules(rules, today, assets)
     validations, ledger = store.table(store.validations), store.table(store.exceptions)
-    last = L.last_run(validations).first()
-    execution_key = last["execution_key"] + 1
+    last_validation_key, last_execution_key, last_exception_key = L.starting_point(validations, ledger)
+    execution_key = last_execution_key + 1
     earlier = None
     if previous == "last_evaluated":
         keys = [spec.rule_key for spec in selection.specs]
@@ -103,8 +103,8 @@ def run_stored_rules(
         today=today,
         run_ts=run_ts,
         execution_key=execution_key,
-        last_validation_key=last["validation_key"],
-        last_exception_key=L.max_exception_key(ledger).first()[0],
+        last_validation_key=last_validation_key,
+        last_exception_key=last_exception_key,
         ledger=ledger,
         previous=earlier,
         staging=staging,
