@@ -309,6 +309,9 @@ class _Builder:
             return self.in_table(values, negated)
         kind = self.types[self.domain()]
         members = [self.literal(v, kind) for v in values if v is not None]
+        if not members:
+            # Membership of an empty set is false even for nulls.
+            return self.column_check(lambda x: F.lit(False) if negated else x.isNotNull())
         return self.column_check(lambda x: x.isin(*members) if negated else ~x.isin(*members))
 
     def in_table(self, reference: str, negated: bool) -> KeyedCheck:
