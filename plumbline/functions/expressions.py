@@ -16,18 +16,19 @@ SOURCE_DATE_FORMAT = "dd/MM/yyyy"
 WHITESPACE = " \t\r\n"
 
 
-def named(column: str) -> Column:
-    """A column by its exact name, dots and blanks included."""
-    return F.col("`" + column.replace("`", "``") + "`")
+def quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
 
 
-def as_text(column: Column) -> Column:
-    return F.coalesce(column.cast("string"), F.lit(NULL_TEXT))
+def named(column: str) -> Column:
+    """A column by its exact name, dots and blanks included."""
+    return F.col(quoted(column))
 
 
 def row_key(columns: Sequence[str]) -> Column:
     """Visible key of a row: its key columns as text, nulls spelled out."""
-    return F.concat_ws(ROW_KEY_SEPARATOR, *[as_text(named(c)) for c in columns])
+    parts = [f"coalesce(cast({quoted(c)} AS string), '{NULL_TEXT}')" for c in columns]
+    return F.expr(f"concat_ws('{ROW_KEY_SEPARATOR}', {', '.join(parts)})")
 
 
 def generated_id(*parts: Column) -> Column:

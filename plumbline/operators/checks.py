@@ -32,7 +32,7 @@ class Check:
 
     spec: RuleSpec
     scope: Column | None
-    missing: Column
+    missing: Column | None
     value: Column
     counts_nulls: bool = False
 
@@ -74,7 +74,8 @@ class KeyedCheck(Check):
     key_set: KeySet | None = None
 
     def judged(self, df: DataFrame) -> DataFrame:
-        return df.filter(self.in_scope(~self.missing))
+        present = F.lit(True) if self.missing is None else ~self.missing
+        return df.filter(self.in_scope(present))
 
     def prepare(self, df: DataFrame, staging: Staging) -> None:
         if self.key_set is None:
@@ -217,7 +218,7 @@ class _Builder:
 
     # -- shapes ------------------------------------------------------------
 
-    def row_check(self, missing: Column, bad: Column, **extra) -> RowCheck:
+    def row_check(self, missing: Column | None, bad: Column, **extra) -> RowCheck:
         value = _value_column(self.spec, self.df)
         return RowCheck(spec=self.spec, scope=self.scope, missing=missing, value=value, bad=bad, **extra)
 
@@ -225,7 +226,7 @@ class _Builder:
         x = named(self.domain())
         return self.row_check(x.isNull(), bad_value(x))
 
-    def unique_check(self, missing: Column, keys: list[Column], null_safe: bool = False) -> UniqueCheck:
+    def unique_check(self, missing: Column | None, keys: list[Column], null_safe: bool = False) -> UniqueCheck:
         return UniqueCheck(
             spec=self.spec,
             scope=self.scope,
@@ -240,13 +241,13 @@ class _Builder:
 
     def not_null(self) -> RowCheck:
         x = named(self.domain())
-        return self.row_check(F.lit(False), x.isNull(), counts_nulls=True)
+        return self.row_check(None, x.isNull(), counts_nulls=True)
 
     def sql_rows(self) -> SqlCheck:
         return SqlCheck(
             spec=self.spec,
             scope=self.scope,
-            missing=F.lit(False),
+            missing=None,
             value=F.lit(None),
             query=self.argument("unexpected_rows_query", str),
         )
@@ -295,13 +296,15 @@ class _Builder:
         skips = {
             "both_values_are_missing": a.isNull() & b.isNull(),
             "either_value_is_missing": a.isNull() | b.isNull(),
-            "neither": F.lit(False),
+            "neither": None,
         }
         if ignore not in skips:
             raise RuleError("bad_arguments", f"unknown ignore_row_if: {ignore}")
         holds = a >= b if self.argument("or_equal", bool, False) else a > b
+        skipped = skips[ignore]
         # A comparison with one null is not a proof of order, so such a row is bad.
-        return self.row_check(skips[ignore], ~skips[ignore] & ~F.coalesce(holds, F.lit(False)))
+        bad = ~F.coalesce(holds, F.lit(False))
+        return self.row_check(skipped, bad if skipped is None else ~skipped & bad)
 
     def in_set(self, negated: bool = False) -> Check:
         values = self.argument("value_set", (list, str))
@@ -362,7 +365,7 @@ class _Builder:
         skips = {
             "all_values_are_missing": reduce(lambda a, b: a & b, [c.isNull() for c in columns]),
             "any_value_is_missing": reduce(lambda a, b: a | b, [c.isNull() for c in columns]),
-            "never": F.lit(False),
+            "never": None,
         }
         if ignore not in skips:
             raise RuleError("bad_arguments", f"unknown ignore_row_if: {ignore}")
@@ -402,9 +405,8 @@ def build_check(spec: RuleSpec, df: DataFrame, read_table: ReadTable, today: dat
         unknown = [name for name in spec.key_columns if name not in df.columns]
         if unknown:
             raise RuleError("bad_key", f"no key columns {unknown} in {spec.asset}")
-        df.select(check.in_scope(check.missing), check.pk, check.value)
-        if isinstance(check, RowCheck):
-            df.filter(check.failing())
-        else:
+        predicates = [p for p in (check.scope, check.missing, getattr(check, "bad", None)) if p is not None]
+        df.filter(reduce(lambda a, b: a & b, predicates, F.lit(True))).select(check.pk, check.value)
+        if isinstance(check, KeyedCheck):
             check.find_bad_keys(check.judged(df), None)
     return check

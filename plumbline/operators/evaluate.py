@@ -82,9 +82,13 @@ def raw_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     All rules of a group share one scan of their columns and one aggregate. Keyed and
     SQL checks must be prepared; of these only scope and missing rows are counted here.
     """
+    return reduce(DataFrame.unionAll, [_grouped_counts(df, group) for group in _groups(checks, COUNTERS_PER_SCAN)])
+
+
+def _groups(checks: Sequence[Check], size: int) -> list[list[Check]]:
+    """Groups of checks; those of one column stay together, so few columns are read twice."""
     spread = sorted(checks, key=lambda check: str(check.spec.column))
-    groups = [spread[i : i + COUNTERS_PER_SCAN] for i in range(0, len(spread), COUNTERS_PER_SCAN)]
-    return reduce(DataFrame.unionAll, [_grouped_counts(df, group) for group in groups])
+    return [spread[i : i + size] for i in range(0, len(spread), size)]
 
 
 def _count_where(predicate: Column) -> Column:
@@ -94,34 +98,31 @@ def _count_where(predicate: Column) -> Column:
 
 def _grouped_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     counters = [F.count(F.lit(1)).alias("table_count")]
-    for check in checks:
-        if isinstance(check, SqlCheck):
-            continue
-        key = check.rule_key
-        counters.append(_count_where(check.in_scope(F.lit(True))).alias(f"scope_{key}"))
-        counters.append(_count_where(check.in_scope(check.missing)).alias(f"missing_{key}"))
-        if isinstance(check, RowCheck):
-            counters.append(_count_where(check.failing()).alias(f"bad_{key}"))
-    totals = df.agg(*counters)
 
-    def row(check: Check) -> Column:
+    def counter(name: str, predicate: Column) -> str:
+        counters.append(_count_where(predicate).alias(name))
+        return name
+
+    rows = []
+    for check in checks:
         key = check.rule_key
+        scope, missing = "table_count", "0L"
         if isinstance(check, SqlCheck):
-            scope, missing, bad = F.col("table_count"), F.lit(check.missing_count), F.lit(check.row_count)
+            missing, bad = f"{check.missing_count}L", f"{check.row_count}L"
         else:
-            scope, missing = F.col(f"scope_{key}"), F.col(f"missing_{key}")
-            bad = F.col(f"bad_{key}") if isinstance(check, RowCheck) else F.lit(check.key_set.row_count)
-        return F.struct(
-            F.lit(key).cast("long").alias("rule_key"),
-            F.lit(kind_of(check)).alias("check_kind"),
-            F.lit(check.mostly).alias("mostly"),
-            F.col("table_count"),
-            scope.cast("long").alias("scope_count"),
-            missing.cast("long").alias("missing_count"),
-            bad.cast("long").alias("bad_count"),
-        )
-
-    return totals.select(F.inline(F.array(*[row(check) for check in checks])))
+            if check.scope is not None:
+                scope = counter(f"scope_{key}", check.scope)
+            if check.missing is not None:
+                missing = counter(f"missing_{key}", check.in_scope(check.missing))
+            if isinstance(check, RowCheck):
+                bad = counter(f"bad_{key}", check.failing())
+            else:
+                bad = f"{check.key_set.row_count}L"
+        rows.append(f"{key}L, '{kind_of(check)}', {check.mostly!r}D, table_count, {scope}, {missing}, {bad}")
+    # SQL text here and in row_key: each Column operation is a call into the JVM, and
+    # with hundreds of rules these calls add up on the driver.
+    names = ", ".join(field.split()[0] for field in RAW_COUNTS.split(","))
+    return df.agg(*counters).selectExpr(f"stack({len(rows)}, {', '.join(rows)}) AS ({names})")
 
 
 def measures(counts: DataFrame) -> DataFrame:
@@ -164,10 +165,7 @@ def measures(counts: DataFrame) -> DataFrame:
 def exception_rows(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """One row per rule and failing row: rule, key and value (null when missing)."""
     row_checks = [c for c in checks if isinstance(c, RowCheck)]
-    parts = [
-        _row_exceptions(df, row_checks[i : i + ROW_RULES_PER_SCAN])
-        for i in range(0, len(row_checks), ROW_RULES_PER_SCAN)
-    ]
+    parts = [_row_exceptions(df, group) for group in _groups(row_checks, ROW_RULES_PER_SCAN)]
     for check in checks:
         if isinstance(check, KeyedCheck):
             parts.append(check.bad_rows(df).select(_key(check), "exception_row_pk", "exception_row_value"))
@@ -189,8 +187,9 @@ def _row_exceptions(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
     value made. All of this stays within generated code, which an array of structs
     or a filter over the array would leave.
     """
-    failing = df.filter(reduce(lambda a, b: a | b, [check.failing() for check in checks]))
-    broken = F.array(*[F.when(check.failing(), F.lit(check.rule_key).cast("long")) for check in checks])
+    predicates = [check.failing() for check in checks]
+    failing = df.filter(reduce(lambda a, b: a | b, predicates))
+    broken = F.array(*[F.when(p, F.lit(check.rule_key).cast("long")) for p, check in zip(predicates, checks)])
     rows = failing.select("*", F.explode(broken).alias(RULE)).filter(F.col(RULE).isNotNull())
     return rows.select(
         F.col(RULE).alias("rule_key"),

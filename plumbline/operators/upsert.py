@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.expressions import named
+from plumbline.functions.expressions import named, quoted
 
 OVERWRITE, COALESCE = "overwrite", "coalesce"
 
@@ -44,9 +44,6 @@ def repeated_keys(source: DataFrame, key: str) -> DataFrame:
 def merge_statement(target: str, source: str, key: str, columns: Sequence[str]) -> str:
     """MERGE for table formats that support it."""
 
-    def quoted(name: str) -> str:
-        return "`" + name.replace("`", "``") + "`"
-
     updates = ", ".join(f"target.{quoted(c)} = source.{quoted(c)}" for c in columns)
     names = ", ".join(quoted(c) for c in columns)
     values = ", ".join(f"source.{quoted(c)}" for c in columns)

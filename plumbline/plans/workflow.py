@@ -32,7 +32,7 @@ def update_rule_types(store: Store, source: str, staging: Staging) -> bool:
     return True
 
 
-def update_rules(store: Store, rule_tables: Sequence[str], staging: Staging, mode: str = "overwrite") -> None:
+def update_rules(store: Store, rule_tables: Sequence[str], staging: Staging, mode: str | None = None) -> None:
     """Ingest the rule tables and upsert the rules by their business key."""
     if not rule_tables:
         return

@@ -53,13 +53,17 @@ class Store:
 
     def append(self, df: DataFrame, name: str) -> None:
         """Append rows, fitted to the stored table's schema."""
-        rows = align_to_schema(df, self.table(name).schema)
-        rows.write.format(self.format).mode("append").partitionBy("execution_key").saveAsTable(name)
+        align_to_schema(df, self.table(name).schema).write.insertInto(name)
 
     def upsert(
-        self, source: DataFrame, name: str, key: str, schema: StructType, staging: Staging, mode: str = upsert.OVERWRITE
+        self, source: DataFrame, name: str, key: str, schema: StructType, staging: Staging, mode: str | None = None
     ) -> None:
-        """Update the rows of a table by key and add those it lacks."""
+        """Update the rows of a table by key and add those it lacks.
+
+        Unless a mode is given, nulls of the source keep the old values in Hive tables
+        and replace them in others.
+        """
+        mode = mode or (upsert.COALESCE if self.format == "hive" else upsert.OVERWRITE)
         rows = staging.put(align_to_schema(source, schema), "upsert-source")
         if not upsert.repeated_keys(rows, key).isEmpty():
             raise ValueError(f"rows for {name} repeat values of {key}")

@@ -196,3 +196,20 @@ def test_staging_needs_a_shared_folder_and_can_be_cleared(spark, tmp_path):
     staging.clear()
     with pytest.raises(Exception):
         spark.read.parquet(staging.path).count()
+
+
+def test_command_line(spark, schema, capsys):
+    from plumbline.__main__ import main
+
+    save_types(spark, schema, BRONZE_TYPES)
+    broken = (5, "people", "name", "hr", 1, "id", "{", None, "Y", True)
+    rules = spark.createDataFrame(BRONZE_RULES + [broken], RULE_COLUMNS)
+    save_rules(spark, schema, rules.collect())
+    save_people(spark, schema, [(1, "a", 300)])
+    late = spark.table(f"{schema}.bronze_rules_hr").withColumn("expiry_date", F.lit("31/12/9999"))
+    late.write.saveAsTable(f"{schema}.bronze_rules_late")
+    main(["--schema", schema, "--rules-like", "rules_late", "--rule-types", f"{schema}.bronze_types"])
+    lines = capsys.readouterr().out.splitlines()
+    assert lines[0] == "run 1: 2 rules"
+    assert lines[1].startswith("rule ") and "(bad_arguments)" in lines[1]
+    assert Store(spark, schema).table(f"{schema}.dq_exceptions").count() == 1
