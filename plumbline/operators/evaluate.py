@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import date
-from functools import reduce
+from functools import partial, reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
@@ -20,6 +20,7 @@ from plumbline.operators.checks import (
     SqlCheck,
     build_check,
 )
+from plumbline.operators.together import together
 from plumbline.plans.rulebook import RuleError, RuleSpec
 from plumbline.sources.local import local_rows
 from plumbline.sources.staging import Staging
@@ -214,9 +215,8 @@ def check_table(
 ) -> tuple[DataFrame, DataFrame]:
     """Measures per rule and exception rows of rules that are known to be sound."""
     checks = [build_check(spec, df, read_table, today) for spec in specs]
-    for check in checks:
-        if isinstance(check, (KeyedCheck, SqlCheck)):
-            check.prepare(df, staging)
+    prepared = [check for check in checks if isinstance(check, (KeyedCheck, SqlCheck))]
+    together([partial(check.prepare, df, staging) for check in prepared])
     stored = [check for check in checks if check.stores_rows]
     return measures(raw_counts(df, checks)), exception_rows(df, stored)
 
@@ -228,22 +228,30 @@ def evaluate(
     result = Evaluation(df, specs)
     for spec in specs:
         try:
-            check = build_check(spec, df, read_table, today)
-            if isinstance(check, (KeyedCheck, SqlCheck)):
-                check.prepare(df, staging)
-            result.checks.append(check)
+            result.checks.append(build_check(spec, df, read_table, today))
         except Exception as error:
             result.errors[spec.rule_key] = as_rule_error(error)
 
+    def failed(check: Check, error: RuleError) -> None:
+        result.checks.remove(check)
+        result.errors[check.rule_key] = error
+
+    def prepare(check: Check) -> RuleError | None:
+        try:
+            check.prepare(df, staging)
+        except Exception as error:
+            return as_rule_error(error)
+
+    prepared = [check for check in result.checks if isinstance(check, (KeyedCheck, SqlCheck))]
+    for check, error in zip(prepared, together([partial(prepare, check) for check in prepared])):
+        if error is not None:
+            failed(check, error)
+
     def count(checks: list[Check]) -> None:
         for row in raw_counts(df, checks).collect():
             result.counts[row["rule_key"]] = row.asDict()
             result.table_count = row["table_count"]
 
-    def failed(check: Check, error: RuleError) -> None:
-        result.checks.remove(check)
-        result.errors[check.rule_key] = error
-
     isolate(count, list(result.checks), failed)
     if result.errors and not result.counts:
         result.table_count = df.count()

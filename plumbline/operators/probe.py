@@ -12,8 +12,8 @@ from pyspark.sql.types import BooleanType, DatetimeType, NumericType
 
 from plumbline.sources.staging import Staging
 
-# A key is salted when it holds at least this share of the probing rows. The
-# sketch tracks enough items to never miss such a key.
+# A key is salted when it holds at least this share of the probing rows; the sketch
+# tracks many more items than can reach it. A key missed by a hair is only not salted.
 HOT_SHARE = 1 / 256
 _SKETCH_ITEMS = 8192
 _BYTES_PER_FIELD = 16

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +25,7 @@ from plumbline.operators.evaluate import (
     measures,
 )
 from plumbline.operators.numbering import number_staged_rows
+from plumbline.operators.together import AT_ONCE, together
 from plumbline.plans.rulebook import RuleError, RuleSpec
 from plumbline.schemas import DQ_EXCEPTIONS_TABLE, DQ_VALIDATIONS_TABLE, RULE_ERRORS
 from plumbline.sources.local import local_rows
@@ -65,7 +65,7 @@ def run_rules(
     ledger: DataFrame | None = None,
     previous: dict[int, int] | None = None,
     staging: Staging | None = None,
-    parallel_assets: int = 4,
+    parallel_assets: int = AT_ONCE,
 ) -> RunResult:
     """Check rules on their tables and classify the exceptions.
 
@@ -93,7 +93,7 @@ def run_rules(
         "success_flag", F.col("success_flag") & ~F.col("rule_key").isin(*errors)
     )
     unsuccessful = measured.filter(~F.col("success_flag")).select("rule_key")
-    failing = {row["rule_key"] for row in unsuccessful.toLocalIterator()} & set(checks)
+    failing = {row["rule_key"] for row in unsuccessful.collect()} & set(checks)
     kept = {key for key, check in checks.items() if check.stores_rows}
 
     # Earlier exceptions matter only for rules whose failing rows are known now.
@@ -103,7 +103,7 @@ def run_rules(
         if previous is not None:
             compared = {key: previous[key] for key in kept if key in previous}
         prior = L.prior_open(ledger, compared)
-        prior_rules = {row["rule_key"] for row in prior.select("rule_key").distinct().toLocalIterator()}
+        prior_rules = {row["rule_key"] for row in prior.select("rule_key").distinct().collect()}
 
     bad = {key for key in kept if counts[key]["bad_count"] > 0}
     staged = _stage_exceptions(evaluations, bad & failing, staging)
@@ -159,9 +159,8 @@ def _evaluate_assets(
             return None
         return evaluate(df, by_asset[asset], read_table, today, staging)
 
-    # Counting one table leaves a large cluster idle towards the end; a few at a time fill it.
-    with ThreadPoolExecutor(max(parallel, 1)) as pool:
-        evaluations = [e for e in pool.map(evaluate_asset, sorted(by_asset)) if e is not None]
+    evaluated = together([partial(evaluate_asset, asset) for asset in sorted(by_asset)], parallel)
+    evaluations = [evaluation for evaluation in evaluated if evaluation is not None]
     for evaluation in evaluations:
         errors.update(evaluation.errors)
     return evaluations, errors
@@ -200,7 +199,9 @@ def _classify(
         )
     else:
         still_bad = reduce(DataFrame.unionAll, [rows for rows in (staged, tolerated) if rows is not None], nothing)
-        prior_set, current_set = L.prior_keys(prior, staging), L.current_keys(still_bad, staging)
+        prior_set, current_set = together(
+            [partial(L.prior_keys, prior, staging), partial(L.current_keys, still_bad, staging)]
+        )
         current = L.mark_known_and_new(current, prior_set)
         known = L.known_counts(current_set, prior_set)
     now = F.lit(run_ts)

@@ -56,7 +56,7 @@ def select_rules(rules: DataFrame, today: date, assets: Iterable[str] | None = N
     skipped = marked.filter(F.col("status") != "active").select("rule_key", F.col("status").alias("reason"))
     specs, errors = [], []
     active = R.parse_rules(marked.filter(F.col("status") == "active"))
-    for row in active.orderBy("rule_key").toLocalIterator():
+    for row in active.orderBy("rule_key").collect():
         try:
             specs.append(R.RuleSpec.from_row(row))
         except R.RuleError as error:
@@ -93,7 +93,7 @@ def run_stored_rules(
     earlier = None
     if previous == "last_evaluated":
         keys = [spec.rule_key for spec in selection.specs]
-        rows = L.last_evaluated(validations, keys, execution_key).toLocalIterator()
+        rows = L.last_evaluated(validations, keys, execution_key).collect()
         earlier = {row["rule_key"]: row["execution_key"] for row in rows}
     result = run_rules(
         spark,
