@@ -216,7 +216,7 @@ def check_table(
     """Measures per rule and exception rows of rules that are known to be sound."""
     checks = [build_check(spec, df, read_table, today) for spec in specs]
     prepared = [check for check in checks if isinstance(check, (KeyedCheck, SqlCheck))]
-    together([partial(check.prepare, df, staging) for check in prepared])
+    together(df.sparkSession, [partial(check.prepare, df, staging) for check in prepared])
     stored = [check for check in checks if check.stores_rows]
     return measures(raw_counts(df, checks)), exception_rows(df, stored)
 
@@ -243,7 +243,7 @@ def evaluate(
             return as_rule_error(error)
 
     prepared = [check for check in result.checks if isinstance(check, (KeyedCheck, SqlCheck))]
-    for check, error in zip(prepared, together([partial(prepare, check) for check in prepared])):
+    for check, error in zip(prepared, together(df.sparkSession, [partial(prepare, check) for check in prepared])):
         if error is not None:
             failed(check, error)
 

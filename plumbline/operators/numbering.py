@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.operators.probe import broadcast_limit
 from plumbline.sources.staging import Staging
 
+_OFFSET_BYTES = 48
+
 
 def number_staged_rows(staged: DataFrame, name: str, start: int = 0) -> DataFrame:
     """Number the rows of a staged table ``start + 1, start + 2, ...``.
@@ -26,8 +29,11 @@ def number_staged_rows(staged: DataFrame, name: str, start: int = 0) -> DataFram
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select(file, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
     )
-    # One row per file, and files are bounded by the tasks of the write that made them.
-    numbered = rows.join(F.broadcast(offsets), file)
+    # One row per file. Beyond the limit the rows are shuffled by file, which is even.
+    files = staged.inputFiles()
+    if sum(len(path) + _OFFSET_BYTES for path in files) <= broadcast_limit(staged.sparkSession):
+        offsets = F.broadcast(offsets)
+    numbered = rows.join(offsets, file)
     number = F.lit(start).cast("long") + F.col("_offset") + F.col(position) + 1
     return numbered.select(*staged.columns, number.alias(name))
 

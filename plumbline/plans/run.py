@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import date, datetime
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.expressions import NULL_TEXT, generated_id
@@ -58,7 +58,7 @@ def run_rules(
     read_table: ReadTable,
     *,
     today: date,
-    run_ts: datetime,
+    run_ts: datetime | Column,
     execution_key: int = 1,
     last_validation_key: int = 0,
     last_exception_key: int = 0,
@@ -74,7 +74,8 @@ def run_rules(
     counts per rule.
     """
     staging = staging or Staging(spark)
-    evaluations, errors = _evaluate_assets(specs, read_asset, read_table, today, staging, parallel_assets)
+    now = run_ts if isinstance(run_ts, Column) else F.lit(run_ts)
+    evaluations, errors = _evaluate_assets(spark, specs, read_asset, read_table, today, staging, parallel_assets)
     checks = {c.rule_key: c for e in evaluations for c in e.checks}
     counts = {key: row for e in evaluations for key, row in e.counts.items()}
     table_counts = {s.rule_key: e.table_count for e in evaluations for s in e.specs}
@@ -125,12 +126,12 @@ def run_rules(
         RULE_RUN,
     )
     exceptions, compared_counts = _classify(
-        spark, staged, tolerated, prior if prior_rules else None, rule_run, execution_key, run_ts,
+        spark, staged, tolerated, prior if prior_rules else None, rule_run, execution_key, now,
         last_exception_key, staging,
     )
     return RunResult(
         execution_key=execution_key,
-        validations=_validations(measured, rule_run, compared_counts, execution_key, run_ts),
+        validations=_validations(measured, rule_run, compared_counts, execution_key, now),
         exceptions=exceptions,
         errors=local_rows(spark, [(k, e.reason, e.message) for k, e in sorted(errors.items())], RULE_ERRORS),
         staging=staging,
@@ -142,7 +143,7 @@ def _has_validation(error: RuleError | None) -> bool:
 
 
 def _evaluate_assets(
-    specs: Sequence[RuleSpec], read_asset, read_table, today: date, staging: Staging, parallel: int
+    spark: SparkSession, specs: Sequence[RuleSpec], read_asset, read_table, today: date, staging: Staging, parallel: int
 ) -> tuple[list[Evaluation], dict[int, RuleError]]:
     by_asset: dict[str, list[RuleSpec]] = {}
     for spec in specs:
@@ -159,7 +160,7 @@ def _evaluate_assets(
             return None
         return evaluate(df, by_asset[asset], read_table, today, staging)
 
-    evaluated = together([partial(evaluate_asset, asset) for asset in sorted(by_asset)], parallel)
+    evaluated = together(spark, [partial(evaluate_asset, asset) for asset in sorted(by_asset)], parallel)
     evaluations = [evaluation for evaluation in evaluated if evaluation is not None]
     for evaluation in evaluations:
         errors.update(evaluation.errors)
@@ -180,7 +181,7 @@ def _stage_exceptions(evaluations: Sequence[Evaluation], wanted: set[int], stagi
 
 
 def _classify(
-    spark, staged, tolerated, prior, rule_run, execution_key, run_ts, last_exception_key, staging
+    spark, staged, tolerated, prior, rule_run, execution_key, now, last_exception_key, staging
 ) -> tuple[DataFrame, DataFrame]:
     """Ledger rows of the run, and per rule the counts of known and fixed ones."""
     nothing = local_rows(spark, [], EXCEPTION_ROWS)
@@ -200,11 +201,10 @@ def _classify(
     else:
         still_bad = reduce(DataFrame.unionAll, [rows for rows in (staged, tolerated) if rows is not None], nothing)
         prior_set, current_set = together(
-            [partial(L.prior_keys, prior, staging), partial(L.current_keys, still_bad, staging)]
+            spark, [partial(L.prior_keys, prior, staging), partial(L.current_keys, still_bad, staging)]
         )
         current = L.mark_known_and_new(current, prior_set)
         known = L.known_counts(current_set, prior_set)
-    now = F.lit(run_ts)
     rows = _as_ledger(
         current.join(run_keys, "rule_key").withColumns(
             {
@@ -231,7 +231,7 @@ def _as_ledger(rows: DataFrame) -> DataFrame:
     return align_to_schema(keyed, DQ_EXCEPTIONS_TABLE)
 
 
-def _validations(measured, rule_run, compared, execution_key, run_ts) -> DataFrame:
+def _validations(measured, rule_run, compared, execution_key, now) -> DataFrame:
     """Validation rows: measures, plus new, known and fixed exceptions as shares of the table."""
     rows = measured.join(rule_run, "rule_key").join(compared, "rule_key", "left")
     base, stored = F.greatest("asset_count", F.lit(1)), F.col("stored_count")
@@ -246,8 +246,8 @@ def _validations(measured, rule_run, compared, execution_key, run_ts) -> DataFra
     rows = rows.withColumns(
         {
             "execution_key": F.lit(execution_key),
-            "created_at_ts": F.lit(run_ts),
-            "modified_at_ts": F.lit(run_ts),
+            "created_at_ts": now,
+            "modified_at_ts": now,
         }
     )
     rows = rows.withColumn("integration_id", generated_id(F.col("rule_key"), F.col("execution_key")))

@@ -7,7 +7,7 @@ with Spark, so the work of each query grows with its tables.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +31,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 TODAY = date(2001, 1, 1)
-FIRST_RUN, SECOND_RUN = datetime(2001, 1, 1, 6), datetime(2001, 1, 2, 6)
+FIRST_RUN, SECOND_RUN = "2001-01-01 06:00:00", "2001-01-02 06:00:00"
 
 
 def query(name: str, sql: str):
@@ -180,15 +180,15 @@ for _name, _ignore, _where in (
 ):
     check_query(
         _name,
-        # Half of the toxic flags are blanked, so that rows with one, two and no nulls occur.
-        lambda spark, sf_dir: labelled_documents(spark, sf_dir).withColumn("toxic", F.expr("IF(doc_id % 2 = 0, toxic, NULL)")),
+        # The toxic flags of other languages are blanked, so that rows with one, two and no nulls occur.
+        lambda spark, sf_dir: labelled_documents(spark, sf_dir).withColumn("toxic", F.expr("IF(lang = 'en', toxic, NULL)")),
         rule(
             "ExpectColumnPairValuesAToBeGreaterThanB",
             {"column_A": "toxic", "column_B": "quality", "ignore_row_if": _ignore},
             "doc_id", "toxic",
         ),
         text("doc_id"), "toxic",
-        f"(SELECT doc_id, quality, CASE WHEN doc_id % 2 = 0 THEN toxic END AS toxic FROM {DOCUMENTS_LABELS})",
+        f"(SELECT doc_id, quality, CASE WHEN lang = 'en' THEN toxic END AS toxic FROM {DOCUMENTS_LABELS})",
         _where,
     )
 check_query(
@@ -248,7 +248,7 @@ for _name, _ignore, _where in (
 ):
     check_query(
         _name,
-        lambda spark, sf_dir: labelled_documents(spark, sf_dir).withColumn("toxic", F.expr("IF(doc_id % 2 = 0, toxic, NULL)")),
+        lambda spark, sf_dir: labelled_documents(spark, sf_dir).withColumn("toxic", F.expr("IF(lang = 'en', toxic, NULL)")),
         rule(
             "ExpectCompoundColumnsToBeUnique",
             {"column_list": ["quality", "toxic", "source"][: 2 if _ignore != "any_value_is_missing" else 3],
@@ -257,7 +257,7 @@ for _name, _ignore, _where in (
         ),
         text("doc_id"), "quality",
         f"""(SELECT *, count(*) OVER (PARTITION BY quality, toxic{', source' if _ignore == 'any_value_is_missing' else ''}) AS n
-             FROM (SELECT doc_id, source, quality, CASE WHEN doc_id % 2 = 0 THEN toxic END AS toxic FROM {DOCUMENTS_LABELS})
+             FROM (SELECT doc_id, source, quality, CASE WHEN lang = 'en' THEN toxic END AS toxic FROM {DOCUMENTS_LABELS})
              WHERE {_where})""",
         "n > 1",
     )
@@ -514,8 +514,8 @@ def run_asset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Rule rows derived from parts and suppliers, as a rule source holds them.
 PART_SOURCE = """
-    p_partkey % 7 <> 0 AS current_flag,
-    CASE WHEN p_partkey % 11 <> 0 THEN CAST(p_partkey AS INT) END AS rule_no,
+    p_size <> 7 AS current_flag,
+    CASE WHEN p_size <> 11 THEN CAST(p_partkey AS INT) END AS rule_no,
     p_type AS table_name,
     CASE WHEN p_size % 10 <> 0 THEN p_name END AS "column",
     p_brand AS data_domain,
@@ -616,7 +616,7 @@ RULE_TYPE_SOURCE = """
     CAST(p_partkey AS INT) AS rule_type_key, p_name AS rule_type_name, p_brand AS dq_dimension,
     p_type AS gx_expectation, 'size ' || CAST(p_size AS STRING) AS gx_description,
     TIMESTAMP '2020-01-01 00:00:00' AS created_at_ts, TIMESTAMP '2020-01-02 00:00:00' AS modified_at_ts,
-    p_partkey % 3 = 0 AS current_flag
+    p_size > 20 AS current_flag
 """
 
 
@@ -624,10 +624,10 @@ RULE_TYPE_SOURCE = """
     "rule_type_load",
     """
     WITH stored AS (
-        SELECT p_partkey AS k, CAST(p_partkey AS VARCHAR) || '~OLD' AS i, 'OLD' AS e, 'old' AS d FROM part WHERE p_partkey % 2 = 0),
+        SELECT p_partkey AS k, CAST(p_partkey AS VARCHAR) || '~OLD' AS i, 'OLD' AS e, 'old' AS d FROM part WHERE p_size < 30),
     incoming AS (
         SELECT p_partkey AS k, CAST(p_partkey AS VARCHAR) || '~' || p_type AS i, p_type AS e,
-               'size ' || CAST(p_size AS VARCHAR) AS d FROM part WHERE p_partkey % 3 = 0)
+               'size ' || CAST(p_size AS VARCHAR) AS d FROM part WHERE p_size > 20)
     SELECT CAST(coalesce(n.k, o.k) AS INT) AS rule_type_key, coalesce(n.i, o.i) AS integration_id,
            coalesce(n.e, o.e) AS gx_expectation, coalesce(n.d, o.d) AS gx_description
     FROM stored o FULL JOIN incoming n ON o.k = n.k""",
@@ -636,7 +636,7 @@ def rule_type_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     incoming = R.ingest_rule_types(derived(part, RULE_TYPE_SOURCE))
     stored = align_to_schema(
-        part.filter("p_partkey % 2 = 0").select(
+        part.filter("p_size < 30").select(
             F.expr("p_partkey || '~OLD'").alias("integration_id"),
             F.col("p_partkey").alias("rule_type_key"),
             F.lit("OLD").alias("gx_expectation"),
@@ -697,8 +697,8 @@ def rule_active(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "rule_keys",
     """
-    WITH stored AS (SELECT 'r' || CAST(p_partkey AS VARCHAR) AS id, p_partkey * 2 + 1 AS k FROM part WHERE p_partkey % 3 = 0),
-    incoming AS (SELECT 'r' || CAST(p_partkey AS VARCHAR) AS id FROM part WHERE p_partkey % 2 = 0),
+    WITH stored AS (SELECT 'r' || CAST(p_partkey AS VARCHAR) AS id, p_partkey * 2 + 1 AS k FROM part WHERE p_size < 30),
+    incoming AS (SELECT 'r' || CAST(p_partkey AS VARCHAR) AS id FROM part WHERE p_size > 20),
     new AS (SELECT id FROM incoming WHERE id NOT IN (SELECT id FROM stored))
     SELECT id AS integration_id, k AS rule_key FROM stored JOIN incoming USING (id)
     UNION ALL
@@ -706,10 +706,10 @@ def rule_active(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def rule_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = table(spark, sf_dir, "part").select(
-        "p_partkey", F.concat(F.lit("r"), F.col("p_partkey").cast("string")).alias("integration_id")
+        "p_partkey", "p_size", F.concat(F.lit("r"), F.col("p_partkey").cast("string")).alias("integration_id")
     )
-    stored = ids.filter("p_partkey % 3 = 0").select("integration_id", (F.col("p_partkey") * 2 + 1).alias("rule_key"))
-    incoming = align_to_schema(ids.filter("p_partkey % 2 = 0").select("integration_id"), DQ_RULE)
+    stored = ids.filter("p_size < 30").select("integration_id", (F.col("p_partkey") * 2 + 1).alias("rule_key"))
+    incoming = align_to_schema(ids.filter("p_size > 20").select("integration_id"), DQ_RULE)
     return R.assign_rule_keys(incoming, stored, Staging(spark)).select("integration_id", "rule_key")
 
 
@@ -738,7 +738,7 @@ def align_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SUPPLIER_OLD = "s_suppkey, s_name, s_nationkey, s_acctbal"
 SUPPLIER_NEW = """
-    s_suppkey + 50 AS s_suppkey, CASE WHEN s_suppkey % 4 <> 0 THEN 'new ' || s_name END AS s_name,
+    s_suppkey + 5 AS s_suppkey, CASE WHEN s_suppkey % 4 <> 0 THEN 'new ' || s_name END AS s_name,
     CASE WHEN s_suppkey % 5 <> 0 THEN s_nationkey + 1 END AS s_nationkey
 """
 
@@ -746,7 +746,7 @@ SUPPLIER_NEW = """
 def upsert_sql(name: str, nation: str) -> str:
     return f"""
         WITH o AS (SELECT {SUPPLIER_OLD} FROM supplier),
-             n AS (SELECT {SUPPLIER_NEW}, TRUE AS matched FROM supplier WHERE s_suppkey % 3 <> 0)
+             n AS (SELECT {SUPPLIER_NEW}, TRUE AS matched FROM supplier WHERE s_acctbal > 0)
         SELECT coalesce(n.s_suppkey, o.s_suppkey) AS s_suppkey, {name} AS s_name, {nation} AS s_nationkey, o.s_acctbal
         FROM o FULL JOIN n ON o.s_suppkey = n.s_suppkey"""
 
@@ -754,7 +754,7 @@ def upsert_sql(name: str, nation: str) -> str:
 def upsert_query(mode: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         supplier = table(spark, sf_dir, "supplier")
-        newer = derived(supplier.filter("s_suppkey % 3 <> 0"), SUPPLIER_NEW)
+        newer = derived(supplier.filter("s_acctbal > 0"), SUPPLIER_NEW)
         return upserted(supplier, newer, "s_suppkey", mode)
 
     return run
@@ -874,10 +874,10 @@ def segment_rule() -> RuleSpec:
     )
 
 
-def customer_run(spark: SparkSession, sf_dir: str, specs: list[RuleSpec], run_ts: datetime, **options) -> RunResult:
+def customer_run(spark: SparkSession, sf_dir: str, specs: list[RuleSpec], run_ts: str, **options) -> RunResult:
     return run_rules(
         spark, specs, lambda spec: table(spark, sf_dir, spec.table), lambda name: None,
-        today=TODAY, run_ts=run_ts, **options,
+        today=TODAY, run_ts=F.lit(run_ts).cast("timestamp"), **options,
     )
 
 
@@ -999,7 +999,7 @@ def validations_sql() -> str:
     )
     return f"""
         WITH measures AS ({measures}), bad_rows AS ({bad_rows}),
-        prior AS (SELECT o_custkey % 8 AS r, o_orderkey AS pk FROM orders WHERE o_orderkey % 3 = 0 AND o_orderstatus <> 'F'),
+        prior AS (SELECT o_custkey % 8 AS r, o_orderkey AS pk FROM orders WHERE o_orderpriority < '3' AND o_orderstatus <> 'F'),
         failed AS (SELECT b.r, b.pk, EXISTS (SELECT 1 FROM prior p WHERE p.r = b.r AND p.pk = b.pk) AS known
                    FROM bad_rows b JOIN measures m ON b.r = m.rule_key WHERE NOT m.success_flag),
         gone AS (SELECT r FROM prior p WHERE NOT EXISTS (SELECT 1 FROM bad_rows b WHERE b.r = p.r AND b.pk = p.pk)),
@@ -1019,7 +1019,7 @@ def validations_sql() -> str:
 @query("validation_rows", validations_sql())
 def validation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    ledger = orders.filter("o_orderkey % 3 = 0").select(
+    ledger = orders.filter("o_orderpriority < '3'").select(
         F.lit(3).alias("execution_key"),
         (F.col("o_custkey") % 8).alias("rule_key"),
         F.col("o_orderkey").alias("exception_key"),
@@ -1034,6 +1034,6 @@ def validation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     result = run_rules(
         spark, order_rules(), lambda spec: orders, _solvent_customers(spark, sf_dir).__getitem__,
-        today=TODAY, run_ts=SECOND_RUN, execution_key=4, last_validation_key=40, ledger=ledger,
+        today=TODAY, run_ts=F.lit(SECOND_RUN).cast("timestamp"), execution_key=4, last_validation_key=40, ledger=ledger,
     )
     return rounded(result.validations.drop("created_at_ts", "modified_at_ts"))
