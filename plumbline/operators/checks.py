@@ -15,13 +15,14 @@ from datetime import date
 from decimal import Decimal, InvalidOperation
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.expressions import named, row_key
 from plumbline.operators.probe import KeySet, broadcast_limit, probe, stage_keys
-from plumbline.plans.rulebook import RuleError, RuleSpec
+from plumbline.spec import RuleError, RuleSpec
 from plumbline.sources.staging import Staging
 
 ReadTable = Callable[[str], DataFrame]
@@ -323,7 +324,10 @@ class _Builder:
             raise RuleError("bad_arguments", f"value_set is neither a list nor table.column: {reference}")
         domain = self.domain()
         kind, x = self.types[domain], named(domain)
-        members = self.read_table(table).select(named(member).try_cast(kind).alias("_k0")).dropna().distinct()
+        try:
+            members = self.read_table(table).select(named(member).try_cast(kind).alias("_k0")).dropna().distinct()
+        except AnalysisException as error:
+            raise RuleError("bad_value_set", str(error)) from error
         how = "left_semi" if negated else "left_anti"
 
         def find_bad_keys(judged: DataFrame, staging: Staging | None) -> DataFrame:

@@ -21,7 +21,7 @@ from plumbline.operators.checks import (
     build_check,
 )
 from plumbline.operators.together import together
-from plumbline.plans.rulebook import RuleError, RuleSpec
+from plumbline.spec import RuleError, RuleSpec
 from plumbline.sources.local import local_rows
 from plumbline.sources.staging import Staging
 

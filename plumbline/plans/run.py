@@ -26,7 +26,7 @@ from plumbline.operators.evaluate import (
 )
 from plumbline.operators.numbering import number_staged_rows
 from plumbline.operators.together import AT_ONCE, together
-from plumbline.plans.rulebook import RuleError, RuleSpec
+from plumbline.spec import RuleError, RuleSpec
 from plumbline.schemas import DQ_EXCEPTIONS_TABLE, DQ_VALIDATIONS_TABLE, RULE_ERRORS
 from plumbline.sources.local import local_rows
 from plumbline.sources.staging import Staging

@@ -18,6 +18,7 @@ from plumbline.sources import catalog
 from plumbline.sources.local import local_rows
 from plumbline.sources.staging import Staging
 from plumbline.sources.store import Store
+from plumbline.spec import RuleError, RuleSpec
 
 
 def update_rule_types(store: Store, source: str, staging: Staging) -> bool:
@@ -45,7 +46,7 @@ def update_rules(store: Store, rule_tables: Sequence[str], staging: Staging, mod
 class Selection:
     """The rules of a run: those to check, those skipped with a reason, those with an error."""
 
-    specs: list[R.RuleSpec]
+    specs: list[RuleSpec]
     skipped: DataFrame
     errors: DataFrame
 
@@ -58,8 +59,8 @@ def select_rules(rules: DataFrame, today: date, assets: Iterable[str] | None = N
     active = R.parse_rules(marked.filter(F.col("status") == "active"))
     for row in active.orderBy("rule_key").collect():
         try:
-            specs.append(R.RuleSpec.from_row(row))
-        except R.RuleError as error:
+            specs.append(RuleSpec.from_row(row))
+        except RuleError as error:
             errors.append((row["rule_key"], error.reason, error.message))
     return Selection(specs, skipped, local_rows(rules.sparkSession, errors, RULE_ERRORS))
 

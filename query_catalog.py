@@ -20,7 +20,7 @@ from plumbline.operators.evaluate import check_table, raw_counts
 from plumbline.operators.numbering import number_rows
 from plumbline.operators.upsert import COALESCE, OVERWRITE, upserted
 from plumbline.plans import rulebook as R
-from plumbline.plans.rulebook import RuleSpec
+from plumbline.spec import RuleSpec
 from plumbline.plans.run import RunResult, run_rules
 from plumbline.schemas import DQ_RULE, DQ_RULE_TYPE
 from plumbline.sources.staging import Staging

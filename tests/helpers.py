@@ -4,7 +4,7 @@ from datetime import date, datetime
 
 from plumbline.operators.checks import build_check
 from plumbline.operators.evaluate import check_table
-from plumbline.plans.rulebook import RuleSpec
+from plumbline.spec import RuleSpec
 from plumbline.plans.run import run_rules
 from plumbline.sources.staging import Staging
 

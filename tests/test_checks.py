@@ -6,7 +6,7 @@ import pytest
 from helpers import (
     BETWEEN, COMPOUND, IN_SET, LIKE, NOT_IN_SET, NOT_NULL, PAIR, REGEX, SQL, UNIQUE, bad_ids, build, check_one, rule,
 )
-from plumbline.plans.rulebook import RuleError
+from plumbline.spec import RuleError
 from pyspark.sql import functions as F
 
 ROWS = [
