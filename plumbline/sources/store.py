@@ -25,6 +25,9 @@ class Store:
     def __init__(self, spark: SparkSession, schema: str = "dqops", table_format: str = "parquet"):
         if table_format not in FORMATS:
             raise ValueError(f"unsupported table format: {table_format}")
+        if table_format == "hive":
+            # Appends name the run's partition in the rows.
+            spark.conf.set("hive.exec.dynamic.partition.mode", "nonstrict")
         self.spark, self.schema, self.format = spark, schema, table_format
         self.rules = f"{schema}.dq_rule"
         self.rule_types = f"{schema}.dq_rule_type"

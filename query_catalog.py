@@ -510,6 +510,19 @@ def run_asset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measured(table(spark, sf_dir, "orders"), order_rules(), _solvent_customers(spark, sf_dir))
 
 
+@query(
+    "run_asset_exceptions",
+    " UNION ALL ".join(
+        f"""SELECT CAST({spec.rule_key} AS BIGINT) AS rule_key, {text('o_orderkey')} AS exception_row_pk,
+                   {text(spec.column)} AS exception_row_value
+            FROM {ORDERS_JUDGED} WHERE ({scope}) AND ({bad})"""
+        for spec, (_, _, scope, bad, _) in zip(order_rules(), ORDER_RULES_SQL)
+    ),
+)
+def run_asset_exceptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return failing(table(spark, sf_dir, "orders"), order_rules(), _solvent_customers(spark, sf_dir))
+
+
 # -- rules ------------------------------------------------------------------
 
 # Rule rows derived from parts and suppliers, as a rule source holds them.
