@@ -1,6 +1,7 @@
 """The workflow over catalog tables, and the store's sinks."""
 
 from datetime import date, datetime
+from types import SimpleNamespace
 
 import pytest
 from plumbline import run_workflow
@@ -8,7 +9,7 @@ from plumbline.operators.upsert import COALESCE, OVERWRITE, merge_statement
 from plumbline.plans.workflow import run_stored_rules, update_rule_types, update_rules
 from plumbline.schemas import DQ_RULE
 from plumbline.sources import catalog
-from plumbline.sources.staging import Staging
+from plumbline.sources.staging import Staging, staging_root
 from plumbline.sources.store import Store
 from pyspark.sql import functions as F
 
@@ -213,3 +214,13 @@ def test_command_line(spark, schema, capsys):
     assert lines[0] == "run 1: 2 rules"
     assert lines[1].startswith("rule ") and "(bad_arguments)" in lines[1]
     assert Store(spark, schema).table(f"{schema}.dq_exceptions").count() == 1
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(tmp_path):
+    def session(master, folder):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: folder)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: default), sparkContext=context)
+
+    with pytest.raises(ValueError):
+        staging_root(session("yarn", None))
+    assert staging_root(session("yarn", "hdfs:/shared/")) == "hdfs:/shared"
