@@ -7,9 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+import query_catalog
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLES = query_catalog.QUERIES, query_catalog.ORACLES
 
 
 @pytest.fixture(scope="session")
@@ -45,3 +46,8 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+
+
+def test_every_query_is_registered():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql())
