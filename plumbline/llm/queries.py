@@ -2,18 +2,51 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from plumbline.llm.brown import class_scores
+from plumbline.llm.hyperdim import identify
 from plumbline.llm.near_dup import near_duplicates
-from plumbline.llm.words import documents
+from plumbline.llm.repetition import repetition
+from plumbline.llm.sentencepiece_bpe import decode, encode, read_model
+from plumbline.llm.words import documents, id_remainder
+
+
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(documents(spark, sf_dir), id_remainder(F.col("doc_id"), 5) != 0)
+
+
+def op2_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition(documents(spark, sf_dir))
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    coded = decode(encode(documents(spark, sf_dir).select("doc_id", "text"), model).drop("text"), model)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    )
 
 
 def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_scores(documents(spark, sf_dir), id_remainder(F.col("doc_id"), 7) != 2)
+
+
 QUERIES = {
+    "op1_language": op1_language,
+    "op2_repetition": op2_repetition,
+    "op4_sentencepiece": op4_sentencepiece,
     "op9_near_dup": op9_near_dup,
+    "op10_class_lm": op10_class_lm,
 }
 
 ORACLES: dict[str, str] = {}

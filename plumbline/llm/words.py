@@ -108,3 +108,19 @@ def id_remainder(column: Column, divisor: int) -> Column:
 
 def documents(spark, sf_dir: str):
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+class Numbers(dict):
+    """Distinct words of one piece, numbered as they come; ``list(numbers)`` has them in that order."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = len(self)
+        return value
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+
+def sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of ``values[first[i]:first[i + 1]]``, zero for empty stretches."""
+    return np.diff(np.concatenate([[0], np.cumsum(values)])[first])
