@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from plumbline.llm.brown import class_scores
 from plumbline.llm.hyperdim import identify
 from plumbline.llm.near_dup import near_duplicates
+from plumbline.llm.personal_data import BASE_KINDS, find_personal_data, spelled
 from plumbline.llm.repetition import repetition
 from plumbline.llm.sentencepiece_bpe import decode, encode, read_model
 from plumbline.llm.words import documents, id_remainder
@@ -33,6 +34,15 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(documents(spark, sf_dir))
+    count = lambda kind: F.size(F.filter("base", lambda span: span["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *(count(kind).alias(f"n_{kind}") for kind in BASE_KINDS),
+        F.sha2(spelled("base"), 256).alias("base_sha256"), spelled("spans").alias("spans"),
+    )
+
+
 def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
@@ -45,6 +55,7 @@ QUERIES = {
     "op1_language": op1_language,
     "op2_repetition": op2_repetition,
     "op4_sentencepiece": op4_sentencepiece,
+    "op7_personal_data": op7_personal_data,
     "op9_near_dup": op9_near_dup,
     "op10_class_lm": op10_class_lm,
 }
