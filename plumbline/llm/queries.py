@@ -12,6 +12,7 @@ from plumbline.llm.near_dup import near_duplicates
 from plumbline.llm.personal_data import BASE_KINDS, find_personal_data, spelled
 from plumbline.llm.repetition import repetition
 from plumbline.llm.sentencepiece_bpe import decode, encode, read_model
+from plumbline.llm.toxicity import toxicity
 from plumbline.llm.words import documents, id_remainder
 
 
@@ -34,6 +35,11 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity(documents(spark, sf_dir), labels, id_remainder(F.col("doc_id"), 5) != 0)
+
+
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_personal_data(documents(spark, sf_dir))
     count = lambda kind: F.size(F.filter("base", lambda span: span["kind"] == kind)).cast("long")
@@ -55,6 +61,7 @@ QUERIES = {
     "op1_language": op1_language,
     "op2_repetition": op2_repetition,
     "op4_sentencepiece": op4_sentencepiece,
+    "op6_toxicity": op6_toxicity,
     "op7_personal_data": op7_personal_data,
     "op9_near_dup": op9_near_dup,
     "op10_class_lm": op10_class_lm,
