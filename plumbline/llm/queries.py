@@ -12,8 +12,14 @@ from plumbline.llm.near_dup import near_duplicates
 from plumbline.llm.personal_data import BASE_KINDS, find_personal_data, spelled
 from plumbline.llm.repetition import repetition
 from plumbline.llm.sentencepiece_bpe import decode, encode, read_model
+from plumbline.llm.simhash import fingerprint_documents, within_radius
 from plumbline.llm.toxicity import toxicity
+from plumbline.llm.urls import ALLOW, BLOCK, judge_urls
 from plumbline.llm.words import documents, id_remainder
+from plumbline.sources.staging import Staging
+
+URL_RULES = [(BLOCK, "net/"), (ALLOW, "example.net/en/"), (BLOCK, "example.com/de/"), (ALLOW, "org/fr/")]
+SEARCH_EVERY = 20
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +41,20 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Also ``n_near``: for every twentieth id, how many other documents are within the Hamming radius."""
+    staging = Staging(spark)
+    found = staging.put(fingerprint_documents(documents(spark, sf_dir), staging=staging), "fingerprints")
+    asked = F.col("doc_id") % SEARCH_EVERY == 0
+    sizes = found.groupBy(F.col("fingerprint").alias("found")).agg(F.count(F.lit(1)).alias("n"))
+    near = within_radius(found.where(asked), found).join(sizes, "found")
+    near = near.groupBy(F.col("query").alias("fingerprint")).agg((F.sum("n") - 1).alias("near"))
+    return found.join(near, "fingerprint", "left").select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+        F.when(asked, F.col("near")).alias("n_near"),
+    )
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity(documents(spark, sf_dir), labels, id_remainder(F.col("doc_id"), 5) != 0)
@@ -49,6 +69,10 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
+
+
 def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
@@ -61,10 +85,31 @@ QUERIES = {
     "op1_language": op1_language,
     "op2_repetition": op2_repetition,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_simhash": op5_simhash,
     "op6_toxicity": op6_toxicity,
     "op7_personal_data": op7_personal_data,
+    "op8_url_rules": op8_url_rules,
     "op9_near_dup": op9_near_dup,
     "op10_class_lm": op10_class_lm,
 }
 
-ORACLES: dict[str, str] = {}
+_URL_SQL = """
+WITH cut AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^?#]*') ELSE '' END AS rest
+  FROM pages
+), parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         substr(rest, length(regexp_extract(rest, '^[^/]*')) + 1) AS path
+  FROM cut
+), ruled AS (
+  SELECT page_id, host, path, CASE
+    WHEN suffix('.' || host, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN suffix('.' || host, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN suffix('.' || host, '.net') AND starts_with(path, '/') THEN 'net/'
+    WHEN suffix('.' || host, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+  END AS rule FROM parts
+)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM ruled
+"""
+
+ORACLES = {"op8_url_rules": _URL_SQL}
