@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from plumbline.llm.words import MIXER, mix, pieces, texts_of
 
@@ -103,8 +104,8 @@ def _number(values: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
     return distinct, place[values]
 
 
-def _texts(batch: pa.RecordBatch) -> list[str]:
-    return [t.decode("utf-8", "replace") for t in texts_of(batch.column("text"))]
+def _texts(batch: pa.RecordBatch, column: str) -> list[str]:
+    return [t.decode("utf-8", "replace") for t in texts_of(batch.column(column))]
 
 
 def _bundle(dimensions: int, order: int):
@@ -116,7 +117,7 @@ def _bundle(dimensions: int, order: int):
             languages = batch.column("lang").to_pylist()
             names = sorted(set(languages))
             which = np.array([names.index(x) for x in languages])
-            vectors, owner, number, _ = profiles.count(_texts(batch))
+            vectors, owner, number, _ = profiles.count(_texts(batch, "text"))
             counts = np.bincount(which[owner] * len(vectors) + number, minlength=len(names) * len(vectors))
             added = counts.reshape(len(names), -1).astype(np.float64) @ vectors  # whole numbers below 2 ** 53
             for name, vector in zip(names, added.astype(np.int64)):
@@ -144,15 +145,15 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
 
-def _predict(names: list[str], prototypes: np.ndarray, dimensions: int, order: int):
+def _predict(names: list[str], prototypes: np.ndarray, dimensions: int, order: int, carry: list[str]):
     shared = prototypes.mean(axis=0) if len(names) > 1 else np.zeros(dimensions)
     centred = _unit(prototypes - shared).astype(np.float32)
     shared = shared.astype(np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiles = Profiles(dimensions, order)
-        for batch in pieces(batches, "text", 2 << 20):
-            vectors, owner, number, some = profiles.count(_texts(batch))
+        for batch in pieces(batches, "_text", 2 << 20):
+            vectors, owner, number, some = profiles.count(_texts(batch, "_text"))
             picked, score = np.zeros(len(some), np.int64), np.zeros(len(some))
             step = max(1, _MATRIX_CELLS // max(1, len(vectors)))
             bounds = np.searchsorted(owner, np.arange(0, len(some) + step, step))
@@ -166,8 +167,8 @@ def _predict(names: list[str], prototypes: np.ndarray, dimensions: int, order: i
             known = some & bool(names)
             answer = [names[p] if yes else UNDETERMINED for p, yes in zip(picked.tolist(), known.tolist())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("held_out"), pa.array(answer, pa.string()), pa.array(np.where(known, np.clip(score, 0, 1), 0.0))],
-                ["id", "held_out", "lang_pred", "score"],
+                [*(batch.column(c) for c in carry), pa.array(answer, pa.string()), pa.array(np.where(known, np.clip(score, 0, 1), 0.0))],
+                [*carry, "lang_pred", "score"],
             )
 
     return run
@@ -175,21 +176,22 @@ def _predict(names: list[str], prototypes: np.ndarray, dimensions: int, order: i
 
 def identify(
     df: DataFrame, training: Column, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", *,
-    dimensions: int = DIMENSIONS, order: int = ORDER,
+    carry: tuple[str, ...] = (), dimensions: int = DIMENSIONS, order: int = ORDER,
 ) -> DataFrame:
-    """One row per row of ``df``: the id, ``held_out`` (``training`` is false), ``lang_pred``, ``score`` (the cosine, 0 to 1).
+    """One row per row of ``df``: the id, columns named in ``carry``, ``held_out`` (``training`` is false), ``lang_pred``,
+    ``score`` (the cosine, 0 to 1). Carried columns of these names are replaced.
 
     Learns from rows of ``training`` with text and language. A null text, or one without a letter, is ``und`` with score 0,
     and so is everything if there is nothing to learn from. Equal cosines go to the first language in order.
     Repeated rows are answered each; other columns are not looked at.
     """
-    source = df.select(
-        F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(lang_column).alias("lang"),
-        (~F.coalesce(training, F.lit(False))).alias("held_out"),
-    )
-    names, prototypes = train(source.where("not held_out and text is not null and lang is not null"), dimensions, order)
-    kind = source.schema["id"].dataType.simpleString()
-    found = source.select("id", "text", "held_out").mapInArrow(
-        _predict(names, prototypes, dimensions, order), f"id {kind}, held_out boolean, lang_pred string, score double"
+    held_out = ~F.coalesce(training, F.lit(False))
+    learnt = df.where(~held_out & F.col(text_column).isNotNull() & F.col(lang_column).isNotNull())
+    names, prototypes = train(
+        learnt.select(F.col(text_column).alias("text"), F.col(lang_column).alias("lang")), dimensions, order
     )
-    return found.withColumnRenamed("id", id_column)
+    carried = [c for c in dict.fromkeys([id_column, *carry]) if c not in ("held_out", "lang_pred", "score")]
+    source = df.select(*carried, held_out.alias("held_out"), F.col(text_column).alias("_text"))
+    fields = source.schema.fields[:-1]
+    schema = StructType([*fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return source.mapInArrow(_predict(names, prototypes, dimensions, order, [f.name for f in fields]), schema)

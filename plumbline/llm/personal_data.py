@@ -42,6 +42,7 @@ _CANDIDATE = re.compile(r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+@:/-]{4,}(?<=
 _KEY = re.compile(r"([A-Za-z][A-Za-z_-]{1,30})[ ]?[=:][ ]?[\"']?$")
 _KEYED = re.compile(r"(?<![A-Za-z_-])[A-Za-z][A-Za-z_-]{1,30}[ ]?[=:][ ]?[\"']?([^\s\"'<>,;]{4,})")
 _CAPITALS = re.compile(r"[A-Z]{4}(?=[A-Z0-9]{8,}$)")
+MARKED = "[0-9@=:]"  # a text without such a character holds no span
 _MARKS = np.zeros(256, bool)
 _MARKS[[*range(48, 58), ord("@"), ord("="), ord(":")]] = True
 
@@ -206,13 +207,14 @@ _SCANNED = (
 
 def find_personal_data(
     df: DataFrame, id_column: str = "doc_id", text_column: str = "text", *, support: int = SUPPORT,
-    confidence: float = CONFIDENCE, turns: int = TURNS, staging: Staging | None = None,
+    confidence: float = CONFIDENCE, turns: int = TURNS, background: DataFrame | None = None, staging: Staging | None = None,
 ) -> DataFrame:
     """One row per row of ``df``: ``row`` (its number), the id, ``base`` and ``spans``, arrays of (start, end, kind) in code points, end exclusive, sorted.
 
     ``spans`` holds all of ``base`` and what the patterns add, which never overlaps base. A null text is empty and has
     none. Candidates of over 200 characters are not considered. Repeated rows are answered each, and count each
-    as occurrences; a pattern needs ``support`` different seeds. Other columns are not looked at.
+    as occurrences; a pattern needs ``support`` different seeds. ``background`` (default ``df``) are the texts in which words before anything are counted,
+    where ``df`` leaves out texts without digits and marks. Other columns are not looked at.
     """
     staging = staging or Staging(df.sparkSession)
     source = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"), F.col(text_column).alias("text"))
@@ -229,7 +231,8 @@ def find_personal_data(
     places = resting.where("counted").select(F.col("pattern").bitwiseAND((1 << _TABLE_BITS) - 1).alias("place")).distinct()
     bits = np.zeros(1 << _TABLE_BITS, np.uint8)
     bits[places.toArrow().column("place").to_numpy()] = 1  # at most 2 ** _TABLE_BITS places
-    counted = source.select("text").mapInArrow(_occurrences(np.packbits(bits)), "pattern long, n long")
+    corpus = df if background is None else background
+    counted = corpus.select(F.col(text_column).alias("text")).mapInArrow(_occurrences(np.packbits(bits)), "pattern long, n long")
     counted = counted.groupBy("pattern").agg(F.sum("n").alias("total"))
 
     live = edges.join(resting.select("pattern").distinct(), "pattern", "left_semi")
@@ -285,3 +288,16 @@ def redact(text: str, spans: list[Span]) -> str:
             out += [text[last:start], f"<{kind.upper()}>"]
         last = end
     return "".join([*out, text[last:]])
+
+
+def redacting(columns: tuple[str, ...], text_column: str = "text", spans_column: str = "spans"):
+    """A function for ``mapInArrow``: the given columns, the text among them redacted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(batch.column(text_column).to_pylist(), batch.column(spans_column).to_pylist())
+            texts = [text and redact(text, [(s["start"], s["end"], s["kind"]) for s in spans or []]) for text, spans in rows]
+            arrays = [pa.array(texts, pa.string()) if c == text_column else batch.column(c) for c in columns]
+            yield pa.RecordBatch.from_arrays(arrays, list(columns))
+
+    return run

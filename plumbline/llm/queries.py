@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.brown import class_scores
 from plumbline.llm.hyperdim import identify
+from plumbline.llm.mixing import mix_to_targets
 from plumbline.llm.near_dup import near_duplicates
 from plumbline.llm.personal_data import BASE_KINDS, find_personal_data, spelled
 from plumbline.llm.repetition import repetition
@@ -30,6 +31,11 @@ def op2_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(documents(spark, sf_dir))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_to_targets(documents(spark, sf_dir).select("doc_id", "text", "lang", "source"))
+    return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "selected")
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = read_model(public_tokenizers.path("piece_bpe_32k.model"))
     coded = decode(encode(documents(spark, sf_dir).select("doc_id", "text"), model).drop("text"), model)
@@ -84,6 +90,7 @@ def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language": op1_language,
     "op2_repetition": op2_repetition,
+    "op3_mixing": op3_mixing,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_simhash": op5_simhash,
     "op6_toxicity": op6_toxicity,
