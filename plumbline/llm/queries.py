@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.llm import oracles
 from plumbline.llm.brown import class_scores
 from plumbline.llm.hyperdim import identify
 from plumbline.llm.mixing import mix_to_targets
@@ -100,23 +101,8 @@ QUERIES = {
     "op10_class_lm": op10_class_lm,
 }
 
-_URL_SQL = """
-WITH cut AS (
-  SELECT page_id, CASE WHEN contains(url, '://') THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^?#]*') ELSE '' END AS rest
-  FROM pages
-), parts AS (
-  SELECT page_id, translate(regexp_extract(rest, '^[^/]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-         substr(rest, length(regexp_extract(rest, '^[^/]*')) + 1) AS path
-  FROM cut
-), ruled AS (
-  SELECT page_id, host, path, CASE
-    WHEN suffix('.' || host, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
-    WHEN suffix('.' || host, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
-    WHEN suffix('.' || host, '.net') AND starts_with(path, '/') THEN 'net/'
-    WHEN suffix('.' || host, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
-  END AS rule FROM parts
-)
-SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM ruled
-"""
-
-ORACLES = {"op8_url_rules": _URL_SQL}
+ORACLES = {
+    "op2_repetition": oracles.REPETITION,
+    "op8_url_rules": oracles.URL_RULES,
+    "op9_near_dup": oracles.NEAR_DUP,
+}
