@@ -30,7 +30,7 @@ def _key() -> Column:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a determined language, which replaces the given one."""
-    known = identify(docs, id_remainder(F.col("doc_id"), 5) != 0, carry=COLUMNS)
+    known = identify(docs.select(*COLUMNS), id_remainder(F.col("doc_id"), 5) != 0, carry=COLUMNS)
     return known.where(F.col("lang_pred") != UNDETERMINED).select(
         "doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars"
     )
@@ -38,7 +38,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that of the smallest id; repeated rows are one."""
-    keyed = docs.withColumn("_key", _key())
+    keyed = docs.select(*COLUMNS, _key().alias("_key"))
     kept = near_duplicates(keyed, "_key").where("kept").select("_key").distinct()
     return keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(*COLUMNS)
 
@@ -48,15 +48,16 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Only texts that can hold personal data are joined with their spans.
     """
+    docs = docs.select(*COLUMNS)
     marked = F.coalesce(F.col("text").rlike(MARKED), F.lit(False))
     keyed = docs.where(marked).withColumn("_key", _key())
     spans = find_personal_data(keyed, "_key", background=docs).where(F.size("spans") > 0)
     spans = spans.groupBy("_key").agg(F.first("spans").alias("spans"))
     joined = keyed.join(spans, "_key", "left").select(*COLUMNS, "spans")
-    changed = joined.where("spans is not null").mapInArrow(redacting(COLUMNS), docs.select(*COLUMNS).schema)
+    changed = joined.where("spans is not null").mapInArrow(redacting(COLUMNS), docs.schema)
     changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     rest = joined.where("spans is null").select(*COLUMNS)
-    return docs.where(~marked).select(*COLUMNS).union(rest).union(changed.select(*COLUMNS))
+    return docs.where(~marked).union(rest).union(changed.select(*COLUMNS))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -185,7 +185,7 @@ def train(texts: DataFrame, staging: Staging, vocabulary=VOCABULARY, groups=GROU
     transition = (between + _PRIOR * prior) / (between.sum(axis=1, keepdims=True) + _PRIOR)
     emission = np.log10(share)
     emission[len(unit) :] -= np.log10(sizes)
-    model = ClassModel(dict(top), unit, np.log10(transition), emission, label, int(tokens), int(types))
+    model = ClassModel(dict(top), unit, np.log10(np.maximum(transition, 1e-300)), emission, label, int(tokens), int(types))
     return model, counts
 
 
