@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.expressions import named, row_key
-from plumbline.operators.probe import KeySet, broadcast_limit, probe, stage_keys
+from plumbline.operators.probe import KeySet, broadcast_limit, hashable, probe, stage_keys
 from plumbline.spec import RuleError, RuleSpec
 from plumbline.sources.staging import Staging
 
@@ -92,39 +92,22 @@ class KeyedCheck(Check):
         return probe(narrow, [F.col(n) for n in names], self.key_set, "left_semi", self.null_safe).drop(*names)
 
 
-# Keys with a longer text on average are compared by hash before they are shuffled.
+# Longer texts take part in comparisons by their digest.
 WIDE_KEY_BYTES = 64
 
 
-@dataclass
-class UniqueCheck(KeyedCheck):
-    """Bad keys are those that occur more than once.
+def compact(key: Column, kind: T.DataType) -> Column:
+    """A key that is equal for equal values only, and short: a long text is its SHA-256 digest.
 
-    Long keys (whole texts) would make the shuffle as large as the column. Their rows
-    are first reduced to those whose 64-bit hash occurs more than once; equal keys have
-    equal hashes, so the exact comparison of the rest still finds every repetition.
+    Whole texts would make the shuffle as large as the column. Each value decides for
+    itself, so nothing depends on other rows. Only texts that are compared byte by byte have a digest;
+    others (of another collation), and values of fixed width, stay as they are.
     """
-
-    candidates: KeySet | None = None
-
-    def judged(self, df: DataFrame) -> DataFrame:
-        rows = super().judged(df)
-        return rows if self.candidates is None else probe(rows, [F.xxhash64(*self.keys)], self.candidates, "left_semi")
-
-    def prepare(self, df: DataFrame, staging: Staging) -> None:
-        if self.key_set is None and self._wide(df):
-            hashes = repeated(self.judged(df), [F.xxhash64(*self.keys)])
-            self.candidates = stage_keys(hashes, staging, "repeated-hashes")
-        super().prepare(df, staging)
-
-    def _wide(self, df: DataFrame) -> bool:
-        # A look at a few rows: it decides how keys are compared, never the result.
-        fixed_width = (T.NumericType, T.BooleanType, T.DatetimeType)
-        if all(isinstance(field.dataType, fixed_width) for field in df.select(*self.keys).schema.fields):
-            return False
-        text = F.concat(*[F.coalesce(key.cast("string"), F.lit("")) for key in self.keys])
-        lengths = [row[0] for row in self.judged(df).select(F.octet_length(text)).take(200)]
-        return sum(lengths) > WIDE_KEY_BYTES * len(lengths)
+    if not (isinstance(kind, T.BinaryType) or (isinstance(kind, T.StringType) and hashable(kind))):
+        return key
+    data = key.cast("binary")
+    digest = F.concat(F.lit(b"\x01"), F.unhex(F.sha2(data, 256)))
+    return F.when(F.octet_length(data) <= WIDE_KEY_BYTES, F.concat(F.lit(b"\x00"), data)).otherwise(digest)
 
 
 def repeated(rows: DataFrame, keys: list[Column]) -> DataFrame:
@@ -146,7 +129,9 @@ class SqlCheck(Check):
         scoped = df if self.scope is None else df.filter(self.scope)
         scoped.createOrReplaceTempView(view)
         try:
-            result = df.sparkSession.sql(self.query.replace("{batch}", view))
+            # As a subquery, so that a command is refused when it is parsed, before it has any effect.
+            query = self.query.replace("{batch}", view).strip().rstrip(";")
+            result = df.sparkSession.sql(f"SELECT * FROM (\n{query}\n)")
         finally:
             df.sparkSession.catalog.dropTempView(view)
         return result.select(
@@ -169,13 +154,25 @@ def _value_column(spec: RuleSpec, df: DataFrame) -> Column:
     return F.lit(None).cast("string")
 
 
+def fitting_member(given: T.DataType, kind: T.DataType) -> Column:
+    """A member ``_k0`` of a value set in the type of the checked column; null when it has no equal there.
+
+    1.7 is no member for whole numbers, nor a time of day for dates: a cast that loses something is undone and
+    compared. Texts are parsed, and numbers become floating point, as in a list of values.
+    """
+    member = F.col("_k0").try_cast(kind)
+    if given == kind or isinstance(given, T.StringType) or isinstance(kind, (T.StringType, T.FloatType, T.DoubleType)):
+        return member.alias("_k0")
+    return F.when(member.try_cast(given) == F.col("_k0"), member).alias("_k0")
+
+
 class _Builder:
     """Reads the arguments of one rule against the table it checks."""
 
     def __init__(self, spec: RuleSpec, df: DataFrame, read_table: ReadTable, today: date):
         self.spec, self.df, self.read_table, self.today = spec, df, read_table, today
         self.types = {field.name: field.dataType for field in df.schema.fields}
-        condition = (spec.condition or spec.arguments.get("row_condition") or "").strip()
+        condition = (spec.condition or self.argument("row_condition", str, "")).strip()
         self.scope = F.expr(condition) if condition else None
 
     # -- arguments ---------------------------------------------------------
@@ -190,6 +187,12 @@ class _Builder:
             raise RuleError("bad_arguments", f"argument {name} has an unsuitable value: {value!r}")
         return value
 
+    def texts(self, name: str) -> list[str]:
+        values = self.argument(name, list)
+        if not all(isinstance(value, str) for value in values):
+            raise RuleError("bad_arguments", f"argument {name} holds other values than texts: {values!r}")
+        return values
+
     def column_name(self, argument: str = "column", default: str | None = None) -> str:
         name = self.argument(argument, str, default)
         if not name:
@@ -208,13 +211,20 @@ class _Builder:
         if isinstance(kind, T.NumericType) and not isinstance(value, bool):
             try:
                 number = Decimal(str(value))
-            except InvalidOperation as error:
+                exact = float(number)
+            except (InvalidOperation, ValueError) as error:
                 raise RuleError("bad_arguments", f"{value!r} is not a number") from error
+            if isinstance(kind, (T.FloatType, T.DoubleType)):
+                return F.lit(exact).cast(kind)
+            if not number.is_finite():
+                raise RuleError("bad_arguments", f"{value!r} is not a finite number")
             if isinstance(kind, T.DecimalType):
                 return F.lit(number)
             return F.lit(int(number) if number == number.to_integral_value() and abs(number) < 2**63 else float(number))
         if isinstance(value, bool) and isinstance(kind, T.BooleanType):
             return F.lit(value)
+        if isinstance(value, (list, dict)):
+            raise RuleError("bad_arguments", f"{value!r} is not a single value")
         return F.lit(str(value)).cast(kind)
 
     # -- shapes ------------------------------------------------------------
@@ -227,8 +237,10 @@ class _Builder:
         x = named(self.domain())
         return self.row_check(x.isNull(), bad_value(x))
 
-    def unique_check(self, missing: Column | None, keys: list[Column], null_safe: bool = False) -> UniqueCheck:
-        return UniqueCheck(
+    def unique_check(self, missing: Column | None, names: list[str], null_safe: bool = False) -> KeyedCheck:
+        """Bad keys are those that occur more than once."""
+        keys = [compact(named(name), self.types[name]) for name in names]
+        return KeyedCheck(
             spec=self.spec,
             scope=self.scope,
             missing=missing,
@@ -262,12 +274,12 @@ class _Builder:
         return self.column_check(lambda x: x.cast("string").rlike(pattern))
 
     def regex_list(self) -> RowCheck:
-        patterns = self.argument("regex_list", list)
+        patterns = self.texts("regex_list")
         match_on = self.argument("match_on", str, "any")
         if not patterns or match_on not in ("any", "all"):
             raise RuleError("bad_arguments", "regex_list needs patterns, and match_on is any or all")
         combine = (lambda a, b: a | b) if match_on == "any" else (lambda a, b: a & b)
-        return self.column_check(lambda x: ~reduce(combine, [x.cast("string").rlike(str(p)) for p in patterns]))
+        return self.column_check(lambda x: ~reduce(combine, [x.cast("string").rlike(p) for p in patterns]))
 
     def like(self) -> RowCheck:
         pattern = self.argument("like_pattern", str)
@@ -325,7 +337,8 @@ class _Builder:
         domain = self.domain()
         kind, x = self.types[domain], named(domain)
         try:
-            members = self.read_table(table).select(named(member).try_cast(kind).alias("_k0")).dropna().distinct()
+            members = self.read_table(table).select(named(member).alias("_k0"))
+            members = members.select(fitting_member(members.schema["_k0"].dataType, kind)).dropna().distinct()
         except AnalysisException as error:
             raise RuleError("bad_value_set", str(error)) from error
         how = "left_semi" if negated else "left_anti"
@@ -353,12 +366,12 @@ class _Builder:
             find_bad_keys=find_bad_keys,
         )
 
-    def unique(self) -> UniqueCheck:
-        x = named(self.domain())
-        return self.unique_check(x.isNull(), [x])
+    def unique(self) -> KeyedCheck:
+        name = self.domain()
+        return self.unique_check(named(name).isNull(), [name])
 
-    def compound_unique(self) -> UniqueCheck:
-        names = self.argument("column_list", list)
+    def compound_unique(self) -> KeyedCheck:
+        names = self.texts("column_list")
         for name in names:
             if name not in self.types:
                 raise RuleError("unknown_column", f"no column {name} in {self.spec.asset}")
@@ -373,7 +386,7 @@ class _Builder:
         }
         if ignore not in skips:
             raise RuleError("bad_arguments", f"unknown ignore_row_if: {ignore}")
-        return self.unique_check(skips[ignore], columns, null_safe=ignore != "any_value_is_missing")
+        return self.unique_check(skips[ignore], names, null_safe=ignore != "any_value_is_missing")
 
 
 # The check names that rules may use.

@@ -229,6 +229,9 @@ def evaluate(
     for spec in specs:
         try:
             result.checks.append(build_check(spec, df, read_table, today))
+        except (TypeError, ValueError, AttributeError, LookupError, ArithmeticError) as error:
+            # What a rule's arguments bring about while its check is built concerns this rule alone.
+            result.errors[spec.rule_key] = RuleError("bad_arguments", f"{type(error).__name__}: {error}")
         except Exception as error:
             result.errors[spec.rule_key] = as_rule_error(error)
 

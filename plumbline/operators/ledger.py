@@ -43,15 +43,23 @@ def starting_point(validations: DataFrame, ledger: DataFrame) -> tuple[int, int,
         .agg(F.max("validation_key").alias("validation_key"), F.max("execution_key").alias("execution_key"))
         .first()
     )
+    # Fixed rows keep the key of an earlier run, so a run that stored nothing else shows by its validation keys only.
+    begun = 0 if unfinished["validation_key"] is None else max(unfinished["execution_key"] or 0, last["execution_key"] + 1)
     stored = F.col("known_exception_count") + F.col("new_exception_count") + F.col("fixed_exception_count")
     numbered = validations.agg(F.coalesce(F.sum(stored), F.lit(0))).first()[0]
     return (
         max(last["validation_key"], unfinished["validation_key"] or 0),
-        max(last["execution_key"], unfinished["execution_key"] or 0),
+        max(last["execution_key"], begun),
         max_exception_key(ledger, numbered).first()[0],
     )
 
 
+def unfinished_rules(ledger: DataFrame, validations: DataFrame) -> list[int]:
+    """Rules of which a run that broke off before its validations has stored rows."""
+    last = last_run(validations).first()["validation_key"]
+    return [row[0] for row in ledger.filter(F.col("validation_key") > last).select("rule_key").distinct().collect()]
+
+
 def last_evaluated(validations: DataFrame, rule_keys: Collection[int], before: int) -> DataFrame:
     """Per rule the latest run before ``before`` that really checked it.
 

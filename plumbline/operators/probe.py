@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DatetimeType, NumericType
+from pyspark.sql import types as T
 
 from plumbline.sources.staging import Staging
 
-# A key is salted when it holds at least this share of the probing rows; the sketch
-# tracks many more items than can reach it. A key missed by a hair is only not salted.
-HOT_SHARE = 1 / 256
+# Items of the sketch that finds hot keys: many more than keys that can hold a fair partition's rows.
 _SKETCH_ITEMS = 8192
 _BYTES_PER_FIELD = 16
 
@@ -47,7 +46,7 @@ def stage_keys(keys: DataFrame, staging: Staging, label: str) -> KeySet:
     staged = staging.put(keys, label)
 
     def width(field) -> Column:
-        if isinstance(field.dataType, (NumericType, BooleanType, DatetimeType)):
+        if isinstance(field.dataType, (T.NumericType, T.BooleanType, T.DatetimeType)):
             return F.lit(_BYTES_PER_FIELD)
         return F.coalesce(F.octet_length(F.col(field.name).cast("string")), F.lit(0)) + _BYTES_PER_FIELD
 
@@ -58,14 +57,29 @@ def stage_keys(keys: DataFrame, staging: Staging, label: str) -> KeySet:
     return KeySet(staged, key_count, row_count, size_in_bytes)
 
 
-def hot_hashes(rows: DataFrame, keys: list[Column]) -> list[int]:
-    """Hashes of the keys that hold a large share of the rows (at most 1 / HOT_SHARE)."""
+def hashable(kind: T.DataType) -> bool:
+    """Whether equal values of a type have equal hashes. Texts of a collation other than byte by byte may not."""
+    if isinstance(kind, T.StringType):
+        return kind.isUTF8BinaryCollation()
+    if isinstance(kind, T.ArrayType):
+        return hashable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(hashable(field.dataType) for field in kind.fields)
+    return isinstance(kind, (T.NumericType, T.BooleanType, T.DatetimeType, T.BinaryType))
+
+
+def hot_hashes(rows: DataFrame, keys: list[Column], partitions: int) -> dict[int, int]:
+    """Hashes of the keys that hold more rows than a fair partition, and over how many tasks to spread each."""
+    most = min(partitions, _SKETCH_ITEMS // 4)
     found = rows.select(F.xxhash64(*keys).alias("h")).agg(
         F.count(F.lit(1)).alias("total"),
-        F.call_function("approx_top_k", "h", F.lit(int(1 / HOT_SHARE)), F.lit(_SKETCH_ITEMS)).alias("top"),
+        F.call_function("approx_top_k", "h", F.lit(most), F.lit(_SKETCH_ITEMS)).alias("top"),
     )
     row = found.first()
-    return [item["item"] for item in row["top"] or [] if item["count"] >= max(row["total"] * HOT_SHARE, 2)]
+    fair = max(row["total"] / most, 2)
+    hot = [item for item in row["top"] or [] if item["count"] >= fair]
+    # Powers of two: few kinds of salting, and so short expressions, whatever the number of hot keys.
+    return {item["item"]: min(partitions, 1 << math.ceil(math.log2(2 * item["count"] / fair))) for item in hot}
 
 
 def probe(rows: DataFrame, on: list[Column], key_set: KeySet, how: str, null_safe: bool = False) -> DataFrame:
@@ -86,16 +100,19 @@ def probe(rows: DataFrame, on: list[Column], key_set: KeySet, how: str, null_saf
     if key_set.size_in_bytes <= broadcast_limit(spark):
         right = F.broadcast(right)
     else:
-        hot = hot_hashes(left, [F.col(name) for name in left_names])
-        if hot:
-            salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-            is_hot_left = F.xxhash64(*left_names).isin(hot)
-            is_hot_right = F.xxhash64(*names).isin(hot)
-            left = left.withColumn(
-                "_salt_left", F.when(is_hot_left, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(0)
+        kinds = [(left.schema[a].dataType, right.schema[b].dataType) for a, b in zip(left_names, names)]
+        salts: dict[int, list[int]] = {}
+        # Hashes of both sides must agree; for other types Spark's own handling of skew is left.
+        if all(a == b and hashable(a) for a, b in kinds):
+            partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            for key, count in hot_hashes(left, [F.col(name) for name in left_names], partitions).items():
+                salts.setdefault(count, []).append(key)
+        if salts:
+            spread = lambda columns: reduce(
+                lambda other, n: F.when(F.xxhash64(*columns).isin(salts[n]), n).otherwise(other), salts, F.lit(1)
             )
-            copies = F.when(is_hot_right, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-            right = right.withColumn("_salt_right", F.explode(copies))
+            left = left.withColumn("_salt_left", F.pmod(F.spark_partition_id(), spread(left_names)))
+            right = right.withColumn("_salt_right", F.explode(F.sequence(F.lit(0), spread(names) - 1)))
             matched.append(F.col("_salt_left") == F.col("_salt_right"))
     joined = left.join(right, reduce(lambda a, b: a & b, matched), how)
     return joined.drop(*left_names, *names, "_salt_left", "_salt_right")

@@ -8,9 +8,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from plumbline.functions import expressions as X
-from plumbline.operators.align import align_to_schema
+from plumbline.operators.align import align_to_schema, misfits
 from plumbline.operators.numbering import number_rows
 from plumbline.schemas import BRONZE_RULE_TYPE, DQ_RULE, DQ_RULE_TYPE
 from plumbline.sources.staging import Staging
@@ -18,11 +19,33 @@ from plumbline.sources.staging import Staging
 
 def admitted(source: DataFrame) -> DataFrame:
     """Current source rows that are rules: numbered and dated."""
-    return source.filter(
-        F.col("current_flag") & F.col("rule_no").isNotNull() & F.col("created_at_date").isNotNull()
+    current = F.col("current_flag").try_cast("boolean")
+    return source.filter(current & F.col("rule_no").isNotNull() & F.col("created_at_date").isNotNull())
+
+
+# Fields that sources do not give, or that are made anew from what they give.
+_NOT_FROM_SOURCES = ("rule_key", "integration_id", "created_at_ts", "modified_at_ts", "start_date", "expiry_date")
+
+
+def _from_sources() -> StructType:
+    return StructType([field for field in DQ_RULE.fields if field.name not in _NOT_FROM_SOURCES])
+
+
+def unfit_rules(incoming: DataFrame) -> DataFrame:
+    """Ingested rows that the rule table cannot hold (leaked headers, texts for numbers), as rule errors without a key."""
+    names = misfits(incoming, _from_sources())
+    told = [F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in ("table_name", "column", "rule_no")]
+    message = F.concat(F.lit("source row "), F.concat_ws(", ", *told), F.lit(" has unsuitable values of "), names)
+    return incoming.filter(names != "").select(
+        F.lit(None).cast("long").alias("rule_key"), F.lit("bad_source_row").alias("reason"), message.alias("message")
     )
 
 
+def fit_rules(incoming: DataFrame) -> DataFrame:
+    """The other ingested rows."""
+    return incoming.filter(misfits(incoming, _from_sources()) == "")
+
+
 def ingest_rules(sources: Sequence[DataFrame]) -> DataFrame:
     """Rule rows of all sources, united by name, with business key and typed dates."""
     rows = reduce(DataFrame.unionByName, [admitted(source) for source in sources])
@@ -53,7 +76,7 @@ def assign_rule_keys(incoming: DataFrame, stored: DataFrame, staging: Staging) -
     new = rules.join(held, "integration_id", "left_anti")
     numbered = number_rows(new, "rule_key", staging, [F.col("integration_id")], start=last)
     known = rules.join(held, "integration_id")
-    return align_to_schema(known.unionByName(numbered), DQ_RULE)
+    return align_to_schema(known.unionByName(numbered), DQ_RULE, lenient=True)
 
 
 def resolve_rules(rules: DataFrame, rule_types: DataFrame) -> DataFrame:

@@ -112,6 +112,9 @@ def run_rules(
     # exceptions, but they are not fixed either.
     tolerated = _stage_exceptions(evaluations, (bad - failing) & prior_rules, staging)
 
+    # Of the rows that are stored, not of the scan that counted: a condition may look at the clock.
+    stored_counts = {} if staged is None else dict(staged.groupBy("rule_key").count().collect())
+
     rule_run = local_rows(
         spark,
         [
@@ -119,7 +122,7 @@ def run_rules(
                 s.rule_key,
                 validation_keys[s.rule_key],
                 table_counts.get(s.rule_key, 0),
-                counts[s.rule_key]["bad_count"] if s.rule_key in failing & kept else 0,
+                stored_counts.get(s.rule_key, 0),
             )
             for s in reported
         ],
@@ -127,7 +130,7 @@ def run_rules(
     )
     exceptions, compared_counts = _classify(
         spark, staged, tolerated, prior if prior_rules else None, rule_run, execution_key, now,
-        last_exception_key, staging,
+        last_exception_key, sum(stored_counts.values()), staging,
     )
     return RunResult(
         execution_key=execution_key,
@@ -181,7 +184,7 @@ def _stage_exceptions(evaluations: Sequence[Evaluation], wanted: set[int], stagi
 
 
 def _classify(
-    spark, staged, tolerated, prior, rule_run, execution_key, now, last_exception_key, staging
+    spark, staged, tolerated, prior, rule_run, execution_key, now, last_exception_key, stored_count, staging
 ) -> tuple[DataFrame, DataFrame]:
     """Ledger rows of the run, and per rule the counts of known and fixed ones."""
     nothing = local_rows(spark, [], EXCEPTION_ROWS)
@@ -220,8 +223,7 @@ def _classify(
     if prior is not None:
         fixed = staging.put(L.fixed_rows(prior, current_set).drop("exception_key", "validation_key"), "fixed")
         fixed_counts = fixed.groupBy("rule_key").agg(F.count(F.lit(1)).alias("fixed_exception_count"))
-        used = staged.count() if staged is not None else 0
-        fixed = number_staged_rows(fixed, "exception_key", last_exception_key + used)
+        fixed = number_staged_rows(fixed, "exception_key", last_exception_key + stored_count)
         rows = rows.unionByName(_as_ledger(fixed.join(run_keys, "rule_key")))
     return rows, known.join(fixed_counts, "rule_key", "full_outer")
 

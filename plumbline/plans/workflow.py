@@ -33,13 +33,17 @@ def update_rule_types(store: Store, source: str, staging: Staging) -> bool:
     return True
 
 
-def update_rules(store: Store, rule_tables: Sequence[str], staging: Staging, mode: str | None = None) -> None:
-    """Ingest the rule tables and upsert the rules by their business key."""
+def update_rules(store: Store, rule_tables: Sequence[str], staging: Staging, mode: str | None = None) -> DataFrame:
+    """Ingest the rule tables and upsert the rules by their business key.
+
+    Source rows that are no rules by their values are returned as errors and left out; the others are stored.
+    """
     if not rule_tables:
-        return
-    incoming = R.ingest_rules([store.table(name) for name in rule_tables])
-    keyed = R.assign_rule_keys(incoming, store.table(store.rules), staging)
+        return local_rows(store.spark, [], RULE_ERRORS)
+    incoming = staging.put(R.ingest_rules([store.table(name) for name in rule_tables]), "rule-sources")
+    keyed = R.assign_rule_keys(R.fit_rules(incoming), store.table(store.rules), staging)
     store.upsert(keyed, store.rules, "integration_id", DQ_RULE, staging, mode)
+    return R.unfit_rules(incoming)
 
 
 @dataclass
@@ -96,6 +100,8 @@ def run_stored_rules(
         keys = [spec.rule_key for spec in selection.specs]
         rows = L.last_evaluated(validations, keys, execution_key).collect()
         earlier = {row["rule_key"]: row["execution_key"] for row in rows}
+        # A run without validations checked the rules that it left rows of.
+        earlier |= dict.fromkeys(L.unfinished_rules(ledger, validations), last_execution_key)
     result = run_rules(
         spark,
         selection.specs,
@@ -130,5 +136,7 @@ def run_workflow(
     store.create()
     staging = Staging(spark)
     update_rule_types(store, rule_type_table, staging)
-    update_rules(store, rule_tables, staging)
-    return run_stored_rules(store, staging=staging, **run_options)
+    rejected = update_rules(store, rule_tables, staging)
+    result, selection = run_stored_rules(store, staging=staging, **run_options)
+    selection.errors = rejected.unionByName(selection.errors)
+    return result, selection

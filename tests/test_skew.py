@@ -25,8 +25,16 @@ def skewed(spark, rows=6000):
 def test_hot_keys_are_found(spark):
     df = skewed(spark)
     hashes = {row[0] for row in spark.sql("SELECT xxhash64(0L) UNION SELECT xxhash64(cast(NULL AS long))").collect()}
-    assert set(P.hot_hashes(df, [F.col("x")])) == hashes
-    assert P.hot_hashes(spark.range(10000), [F.col("id")]) == []
+    found = P.hot_hashes(df, [F.col("x")], 8)
+    assert set(found) == hashes and all(1 < n <= 8 for n in found.values())
+    assert P.hot_hashes(spark.range(10000), [F.col("id")], 8) == {}
+
+
+def test_a_key_above_a_fair_partition_is_hot(spark):
+    key = F.when(F.col("id") % 300 == 0, -1).otherwise(F.col("id"))
+    df = spark.range(0, 300_000, 1, 8).select(key.alias("x"))
+    (found,) = P.hot_hashes(df, [F.col("x")], 2000).items()
+    assert found[0] == spark.sql("SELECT xxhash64(-1L)").first()[0] and found[1] == 16
 
 
 @pytest.mark.parametrize("null_safe", [False, True])
@@ -102,3 +110,33 @@ def test_numbers_do_not_change_when_recomputed(spark):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert sorted(n for _, n in first) == list(range(1, 1001))
+
+
+@pytest.mark.parametrize("limit", ["-1", "10MB"])
+@pytest.mark.parametrize("padding", [0, 200])
+def test_collated_texts_repeat_whatever_their_spelling(spark, limit, padding):
+    """Long and short texts, and a hot one with several spellings, with and without broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        spelled = F.when(F.col("id") % 2 == 0, F.upper("text")).otherwise(F.col("text"))
+        text = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("v"), F.floor(F.col("id") / 2).cast("string")))
+        df = spark.range(0, 3000, 1, 8).select("id", F.concat(text, F.lit("x" * padding)).alias("text"))
+        plain = df.select("id", spelled.alias("x"))
+        df = plain.select("id", F.collate("x", "UTF8_LCASE").alias("x"))
+        rows = [(r["id"], r["x"].lower()) for r in plain.collect()]
+        times = {}
+        for _, value in rows:
+            times[value] = times.get(value, 0) + 1
+        assert bad_ids(df, rule(UNIQUE, {"column": "x"})) == [i for i, value in rows if times[value] > 1]
+        exact = [r["x"] for r in plain.collect()]
+        assert bad_ids(plain, rule(UNIQUE, {"column": "x"})) == [i for (i, _), x in zip(rows, exact) if exact.count(x) > 1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_probe_of_another_type(spark, no_broadcast):
+    df = skewed(spark).select("id", F.col("x").cast("int").alias("x"))
+    keys = spark.range(0, 500, 2).select(F.col("id").alias("_k0"), F.lit(1).alias("n"))
+    found = P.probe(df, [F.col("x")], P.stage_keys(keys, Staging(spark), "keys"), "left_semi")
+    assert found.count() == df.filter("x % 2 = 0").count()
