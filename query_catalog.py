@@ -225,6 +225,22 @@ check_query(
     rule("ExpectColumnValuesToBeUnique", {"column": "text"}, "doc_id", "source"),
     text("doc_id"), "source", "(SELECT *, count(*) OVER (PARTITION BY text) AS n FROM documents)", "n > 1",
 )
+LETTERS = "'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'"
+check_query(
+    "chk_unique_collated",
+    # Whole texts, every other one spelled in capitals, of a collation that takes no notice.
+    lambda spark, sf_dir: table(spark, sf_dir, "documents").withColumn(
+        "text", F.expr(f"collate(IF(doc_id % 2 = 0, translate(text, {LETTERS}), text), 'UTF8_LCASE')")
+    ),
+    rule("ExpectColumnValuesToBeUnique", {"column": "text"}, "doc_id", "source"),
+    text("doc_id"), "source", "(SELECT *, count(*) OVER (PARTITION BY lower(text)) AS n FROM documents)", "n > 1",
+)
+check_query(
+    "chk_between_float",
+    lambda spark, sf_dir: table(spark, sf_dir, "lineitem").withColumn("l_discount", F.col("l_discount").cast("float")),
+    rule("ExpectColumnValuesToBeBetween", {"column": "l_discount", "min_value": 0.03, "max_value": 0.1}, LINE_KEYS, "l_returnflag"),
+    LINE_KEY, "l_returnflag", "lineitem", "l_discount::FLOAT < 0.03::FLOAT OR l_discount::FLOAT > 0.1::FLOAT",
+)
 check_query(
     "chk_unique_scoped",
     "customer",
@@ -321,6 +337,32 @@ for _name, _check, _exists in (
         return failing(table(spark, sf_dir, "orders"), [spec], _solvent_customers(spark, sf_dir))
 
 
+@query(
+    "chk_in_set_table_types",
+    f"""SELECT CAST(1 AS BIGINT) AS rule_key, {text('o_orderkey')} AS exception_row_pk, {text('o_custkey')} AS exception_row_value
+        FROM orders WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey % 3 <> 0 AND c_custkey = o_custkey)
+        UNION ALL
+        SELECT CAST(2 AS BIGINT), {text('o_orderkey')}, o_orderstatus FROM orders
+        WHERE CAST(o_orderdate AS DATE) NOT IN (
+            SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderkey % 5 = 0 AND o_orderdate = date_trunc('day', o_orderdate))""",
+)
+def chk_in_set_table_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole numbers among fractions, dates among points of time."""
+    orders = table(spark, sf_dir, "orders").withColumn("o_day", F.to_date("o_orderdate"))
+    code = "c_custkey + IF(c_custkey % 3 = 0, 0.5D, 0D) AS code"
+    moment = "o_orderdate + make_interval(0, 0, 0, 0, CAST(IF(o_orderkey % 5 = 0, 0, 10) AS INT)) AS moment"
+    lookups = {
+        "crm.codes": table(spark, sf_dir, "customer").selectExpr(code),
+        "crm.moments": orders.where("o_orderkey % 5 = 0 OR o_orderdate = date_trunc('day', o_orderdate)").selectExpr(moment),
+    }
+    check = "ExpectColumnValuesToBeInSet"
+    specs = [
+        rule(check, {"column": "o_custkey", "value_set": "crm.codes.code"}, "o_orderkey", "o_custkey"),
+        rule(check, {"column": "o_day", "value_set": "crm.moments.moment"}, "o_orderkey", "o_orderstatus", rule_key=2),
+    ]
+    return failing(orders, specs, lookups)
+
+
 # -- metrics ----------------------------------------------------------------
 
 
@@ -580,6 +622,36 @@ def rule_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "rule_ingest_text",
+    """
+    WITH sources AS (
+        SELECT p_type AS table_name, p_name AS "column", p_brand AS data_domain, p_size,
+               CASE WHEN p_size % 10 = 0 THEN 'rule_no' WHEN p_size % 10 = 1 THEN CAST(p_partkey AS VARCHAR) || '.x'
+                    ELSE CAST(p_partkey AS VARCHAR) END AS rule_no,
+               CASE WHEN p_size % 4 = 0 THEN 'high' ELSE CAST(p_size / 100 AS VARCHAR) END AS threshold
+        FROM part WHERE p_size <> 7), marked AS (
+        SELECT *, concat_ws(',', CASE WHEN TRY_CAST(rule_no AS INT) IS NULL THEN 'rule_no' END,
+                            CASE WHEN TRY_CAST(threshold AS DOUBLE) IS NULL THEN 'threshold' END) AS names FROM sources)
+    SELECT concat_ws('~', table_name, "column", rule_no, data_domain) AS rule, NULL AS message FROM marked WHERE names = ''
+    UNION ALL
+    SELECT NULL, 'source row ' || concat_ws(', ', table_name, "column", rule_no) || ' has unsuitable values of ' || names
+    FROM marked WHERE names <> ''""",
+)
+def rule_ingest_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source of texts only, with leaked headers and words for numbers."""
+    source = table(spark, sf_dir, "part").selectExpr(
+        "CAST(p_size <> 7 AS STRING) AS current_flag", "p_type AS table_name", "p_name AS column", "p_brand AS data_domain",
+        "CASE WHEN p_size % 10 = 0 THEN 'rule_no' WHEN p_size % 10 = 1 THEN p_partkey || '.x' ELSE CAST(p_partkey AS STRING) END AS rule_no",
+        "IF(p_size % 4 = 0, 'high', CAST(p_size / 100 AS STRING)) AS threshold",
+        "'01/02/2023' AS created_at_date", "'01/02/2023' AS modified_at_date", "'01/01/2000' AS start_date", "'never' AS expiry_date",
+    )
+    rows = R.ingest_rules([source])
+    stored = align_to_schema(R.fit_rules(rows), DQ_RULE, lenient=True)
+    rejected = R.unfit_rules(rows).select(F.lit(None).cast("string").alias("rule"), "message")
+    return stored.select(F.col("integration_id").alias("rule"), F.lit(None).cast("string").alias("message")).unionAll(rejected)
+
+
 @query(
     "rule_args",
     r"""
