@@ -14,8 +14,8 @@ from plumbline.sources.store import FORMATS
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="plumbline", description=__doc__)
     parser.add_argument("--schema", default="dqops", help="schema of the rule and ledger tables")
-    parser.add_argument("--rules-like", required=True, help="part of the names of the rule source tables")
-    parser.add_argument("--rule-types", required=True, help="source table of the rule types")
+    parser.add_argument("--rules-like", help="part of the names of the rule source tables; without it the stored rules are run")
+    parser.add_argument("--rule-types", help="source table of the rule types; without it the stored types are used")
     parser.add_argument("--format", choices=FORMATS, default="parquet", help="format of the tables created")
     parser.add_argument("--source", choices=[catalog.HIVE, catalog.DELTA], default=catalog.HIVE, help="kind of the checked tables")
     parser.add_argument("--asset", action="append", help="check only this catalog-schema-table; may be repeated")
@@ -25,7 +25,7 @@ def main(arguments: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("plumbline").getOrCreate()
     result, selection = run_workflow(
         spark,
-        catalog.rule_tables(spark, options.schema, options.rules_like),
+        catalog.rule_tables(spark, options.schema, options.rules_like) if options.rules_like else [],
         options.rule_types,
         schema=options.schema,
         table_format=options.format,
@@ -37,7 +37,6 @@ def main(arguments: list[str] | None = None) -> None:
     for errors in (selection.errors, result.errors):
         for row in errors.toLocalIterator():
             print(f"rule {row['rule_key']} not checked ({row['reason']}): {row['message'].splitlines()[0]}")
-    result.staging.clear()
 
 
 if __name__ == "__main__":

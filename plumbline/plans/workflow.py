@@ -119,24 +119,39 @@ def run_stored_rules(
     store.append(result.exceptions, store.exceptions)
     # Validations come last: a run counts as done when they are there.
     store.append(result.validations, store.validations)
+    # What was stored can be read when the staged tables behind it are gone.
+    stored = F.col("validation_key") > last_validation_key
+    result.exceptions = store.table(store.exceptions).filter(stored)
+    result.validations = store.table(store.validations).filter(stored)
     return result, selection
 
 
 def run_workflow(
     spark: SparkSession,
     rule_tables: Sequence[str],
-    rule_type_table: str,
+    rule_type_table: str | None,
     *,
     schema: str = "dqops",
     table_format: str = "parquet",
+    keep_staging: bool = False,
     **run_options,
 ) -> tuple[RunResult, Selection]:
-    """Update rule types and rules from their sources, then run and save."""
+    """Update rule types and rules from their sources (where given), then run and save.
+
+    The staged tables of the run are deleted at its end, also after a failure, unless they
+    are to be kept; who calls the parts of the workflow with a staging of their own clears it.
+    """
     store = Store(spark, schema, table_format)
     store.create()
     staging = Staging(spark)
-    update_rule_types(store, rule_type_table, staging)
-    rejected = update_rules(store, rule_tables, staging)
-    result, selection = run_stored_rules(store, staging=staging, **run_options)
-    selection.errors = rejected.unionByName(selection.errors)
-    return result, selection
+    try:
+        if rule_type_table is not None:
+            update_rule_types(store, rule_type_table, staging)
+        # One row per unsuitable source row, as for other rule errors.
+        rejected = [tuple(row) for row in update_rules(store, rule_tables, staging).collect()]
+        result, selection = run_stored_rules(store, staging=staging, **run_options)
+        selection.errors = local_rows(spark, rejected, RULE_ERRORS).unionByName(selection.errors)
+        return result, selection
+    finally:
+        if not keep_staging:
+            staging.clear()

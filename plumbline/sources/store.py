@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from plumbline.functions.expressions import quoted
 from plumbline.operators import upsert
 from plumbline.operators.align import align_to_schema
 from plumbline.schemas import DQ_EXCEPTIONS_TABLE, DQ_RULE, DQ_RULE_TYPE, DQ_VALIDATIONS_TABLE
@@ -14,17 +16,36 @@ from plumbline.sources.staging import Staging
 
 FORMATS = ("parquet", "hive", "delta")
 
+# The keys that Delta tables number themselves. They refuse other values for them.
+IDENTITY = {"dq_rule": "rule_key", "dq_exceptions": "exception_key"}
+
+
+def create_statement(name: str, schema: StructType, table_format: str, partition: str | None = None, identity: str | None = None) -> str:
+    numbered = " GENERATED ALWAYS AS IDENTITY (START WITH 1 INCREMENT BY 1)"
+    columns = ", ".join(
+        f"`{field.name}` {field.dataType.simpleString()}{numbered if field.name == identity else ''}" for field in schema.fields
+    )
+    partitioned = f" PARTITIONED BY ({partition})" if partition else ""
+    return f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {table_format}{partitioned}"
+
+
+def insert_statement(target: str, source: str, columns: Sequence[str]) -> str:
+    names = ", ".join(quoted(c) for c in columns)
+    return f"INSERT INTO {target} ({names}) SELECT {names} FROM {source}"
+
 
 class Store:
     """Tables of one schema in one format.
 
     Both ledger tables are partitioned by run, so that looking up the previous run
-    reads one partition whatever the length of the history.
+    reads one partition whatever the length of the history. With ``generated_keys`` (default for
+    Delta) the tables number rules and exceptions themselves, so these columns are never written.
     """
 
-    def __init__(self, spark: SparkSession, schema: str = "dqops", table_format: str = "parquet"):
+    def __init__(self, spark: SparkSession, schema: str = "dqops", table_format: str = "parquet", generated_keys: bool | None = None):
         if table_format not in FORMATS:
             raise ValueError(f"unsupported table format: {table_format}")
+        self.generated_keys = table_format == "delta" if generated_keys is None else generated_keys
         if table_format == "hive":
             # Appends name the run's partition in the rows.
             spark.conf.set("hive.exec.dynamic.partition.mode", "nonstrict")
@@ -43,9 +64,14 @@ class Store:
         self._create(self.validations, DQ_VALIDATIONS_TABLE, "execution_key")
 
     def _create(self, name: str, schema: StructType, partition: str | None = None) -> None:
-        columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema.fields)
-        partitioned = f" PARTITIONED BY ({partition})" if partition else ""
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {self.format}{partitioned}")
+        self.spark.sql(create_statement(name, schema, self.format, partition, self.identity(name)))
+
+    def identity(self, name: str) -> str | None:
+        """The column that the table numbers itself."""
+        return IDENTITY.get(name.rpartition(".")[2]) if self.generated_keys else None
+
+    def written(self, name: str, columns: Sequence[str]) -> list[str]:
+        return [column for column in columns if column != self.identity(name)]
 
     def reset_ledger(self, drop: bool = False) -> None:
         """Empty, or drop, the exceptions table."""
@@ -56,7 +82,19 @@ class Store:
 
     def append(self, df: DataFrame, name: str) -> None:
         """Append rows, fitted to the stored table's schema."""
-        align_to_schema(df, self.table(name).schema).write.insertInto(name)
+        rows = align_to_schema(df, self.table(name).schema)
+        if self.identity(name) is None:
+            rows.write.insertInto(name)
+        else:
+            self._with_view(rows, lambda view: insert_statement(name, view, self.written(name, rows.columns)))
+
+    def _with_view(self, rows: DataFrame, statement: Callable[[str], str]) -> None:
+        view = f"rows_{uuid.uuid4().hex}"
+        rows.createOrReplaceTempView(view)
+        try:
+            self.spark.sql(statement(view))
+        finally:
+            self.spark.catalog.dropTempView(view)
 
     def upsert(
         self, source: DataFrame, name: str, key: str, schema: StructType, staging: Staging, mode: str | None = None
@@ -69,12 +107,11 @@ class Store:
         mode = mode or (upsert.COALESCE if self.format == "hive" else upsert.OVERWRITE)
         rows = staging.put(align_to_schema(source, schema), "upsert-source")
         if not upsert.repeated_keys(rows, key).isEmpty():
-            raise ValueError(f"rows for {name} repeat values of {key}")
+            names = [row[0] for row in upsert.repeated_keys(rows, key).limit(20).collect()]
+            raise ValueError(f"rows for {name} repeat values of {key}: {names}")
         if self.format == "delta" and mode == upsert.OVERWRITE:
-            view = f"upsert_{uuid.uuid4().hex}"
-            rows.createOrReplaceTempView(view)
-            self.spark.sql(upsert.merge_statement(name, view, key, rows.columns))
-            self.spark.catalog.dropTempView(view)
+            columns = self.written(name, rows.columns)
+            self._with_view(rows, lambda view: upsert.merge_statement(name, view, key, columns))
             return
         # A table cannot be overwritten while it is read, so the result is staged. The
         # staged copy also survives a failure of the overwrite.

@@ -6,8 +6,10 @@ with Spark, so the work of each query grows with its tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +24,11 @@ from plumbline.operators.upsert import COALESCE, OVERWRITE, upserted
 from plumbline.plans import rulebook as R
 from plumbline.spec import RuleSpec
 from plumbline.plans.run import RunResult, run_rules
+from plumbline.plans.workflow import run_workflow
 from plumbline.schemas import DQ_RULE, DQ_RULE_TYPE
+from plumbline.sources import catalog
 from plumbline.sources.staging import Staging
+from plumbline.sources.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1122,3 +1127,117 @@ def validation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         today=TODAY, run_ts=F.lit(SECOND_RUN).cast("timestamp"), execution_key=4, last_validation_key=40, ledger=ledger,
     )
     return rounded(result.validations.drop("created_at_ts", "modified_at_ts"))
+
+
+# -- catalog and store --------------------------------------------------------
+
+
+def in_database(spark: SparkSession, work: Callable[[Store], DataFrame]) -> DataFrame:
+    """The rows that ``work`` reads from a store in a database of its own, which is dropped behind it."""
+    store = Store(spark, f"plumbline_{uuid.uuid4().hex}")
+    store.create()
+    try:
+        return Staging(spark).put(work(store), "result")
+    finally:
+        spark.sql(f"DROP DATABASE {store.schema} CASCADE")
+
+
+@query(
+    "catalog_rule_tables",
+    "SELECT n_nationkey, n_name FROM nation WHERE n_regionkey % 2 = 0",
+)
+def catalog_rule_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations of every other region, each region a table, found by a part of its name and read by its name."""
+
+    def work(store: Store) -> DataFrame:
+        nations = table(spark, sf_dir, "nation")
+        for region in range(5):
+            kind = "rules" if region % 2 == 0 else "notes"
+            nations.filter(F.col("n_regionkey") == region).write.saveAsTable(f"{store.schema}.{kind}_of_{region}")
+        found = [store.table(name) for name in catalog.rule_tables(spark, store.schema, "rules_of")]
+        return reduce(DataFrame.unionByName, found).select("n_nationkey", "n_name")
+
+    return in_database(spark, work)
+
+
+@query(
+    "store_append",
+    """SELECT o_orderkey AS exception_key, CAST(o_orderkey % 3 + 1 AS INT) AS execution_key, CAST(o_custkey AS VARCHAR) AS exception_row_pk,
+              CAST(NULL AS VARCHAR) AS exception_row_value FROM orders WHERE o_orderkey % 3 > 0""",
+)
+def store_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of three runs: of the first the ledger is emptied, those of the other two stay."""
+
+    def work(store: Store) -> DataFrame:
+        orders = table(spark, sf_dir, "orders")
+        for run in range(3):
+            rows = orders.filter(F.col("o_orderkey") % 3 == run).selectExpr(
+                "o_orderkey AS exception_key", f"{run + 1}L AS execution_key", "o_custkey AS exception_row_pk"
+            )
+            store.append(rows, store.exceptions)
+            if run == 0:
+                store.reset_ledger()
+        return store.table(store.exceptions).select("exception_key", "execution_key", "exception_row_pk", "exception_row_value")
+
+    return in_database(spark, work)
+
+
+def store_upsert(mode: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        def work(store: Store) -> DataFrame:
+            staging = Staging(spark)
+            fields = "CAST(s_suppkey AS STRING) AS integration_id, s_suppkey AS rule_key, s_name AS it_steward, CAST(s_nationkey AS INT) AS rule_no"
+            supplier = table(spark, sf_dir, "supplier")
+            store.upsert(derived(supplier, fields), store.rules, "integration_id", DQ_RULE, staging, mode)
+            newer = derived(derived(supplier.filter("s_acctbal > 0"), SUPPLIER_NEW), fields)
+            store.upsert(newer, store.rules, "integration_id", DQ_RULE, staging, mode)
+            return store.table(store.rules).selectExpr("integration_id", "it_steward AS s_name", "rule_no AS s_nationkey")
+
+        return in_database(spark, work)
+
+    return run
+
+
+for _mode, _name, _nation in (
+    (OVERWRITE, "CASE WHEN n.matched THEN n.s_name ELSE o.s_name END", "CASE WHEN n.matched THEN n.s_nationkey ELSE o.s_nationkey END"),
+    (COALESCE, "coalesce(n.s_name, o.s_name)", "coalesce(n.s_nationkey, o.s_nationkey)"),
+):
+    query(
+        f"store_upsert_{_mode}",
+        f"SELECT CAST(s_suppkey AS VARCHAR) AS integration_id, s_name, CAST(s_nationkey AS INT) AS s_nationkey FROM ({upsert_sql(_name, _nation)})",
+    )(store_upsert(_mode))
+
+
+@query(
+    "workflow_two_runs",
+    """
+    SELECT CAST(c_custkey AS VARCHAR) AS exception_row_pk,
+           CASE WHEN c_acctbal BETWEEN 0 AND 9000 THEN 'new' WHEN c_acctbal + 600 BETWEEN 0 AND 9000 THEN 'fixed' ELSE 'known' END AS kind
+    FROM customer WHERE c_acctbal NOT BETWEEN 0 AND 9000 OR c_acctbal + 600 NOT BETWEEN 0 AND 9000""",
+)
+def workflow_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules from catalog tables, run over customers, and again over customers with other balances."""
+
+    def work(store: Store) -> DataFrame:
+        spark.sql(
+            "SELECT 1 AS rule_type_key, 'range' AS rule_type_name, 'validity' AS dq_dimension, 'ExpectColumnValuesToBeBetween' AS gx_expectation, "
+            "'' AS gx_description, current_timestamp() AS created_at_ts, current_timestamp() AS modified_at_ts, true AS current_flag"
+        ).write.saveAsTable(f"{store.schema}.bronze_types")
+        spark.sql(
+            f"""SELECT 1 AS rule_no, 'customers' AS table_name, 'c_acctbal' AS column, 'crm' AS data_domain, 1 AS rule_type_key, 'main' AS catalog,
+            '{store.schema}' AS schema, 'c_custkey' AS table_key, '{{"column": "c_acctbal", "min_value": 0, "max_value": 9000}}' AS gx_arguments,
+            'Y' AS rule_enabled, true AS current_flag, '01/01/2000' AS created_at_date, '01/01/2000' AS modified_at_date,
+            '01/01/2000' AS start_date, '31/12/2009' AS expiry_date"""
+        ).write.saveAsTable(f"{store.schema}.bronze_rules")
+        customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+        for day, moved in ((1, 0), (2, 600)):
+            balances = customers.withColumn("c_acctbal", F.col("c_acctbal") + moved)
+            balances.write.mode("overwrite").saveAsTable(f"{store.schema}.customers")
+            result, _ = run_workflow(
+                spark, [f"{store.schema}.bronze_rules"], f"{store.schema}.bronze_types", schema=store.schema,
+                today=TODAY, run_ts=datetime(2001, 1, day),
+            )
+        kind = F.when(F.col("fixed_exception_flag"), "fixed").when(F.col("new_exception_flag"), "new").otherwise("known")
+        return result.exceptions.select("exception_row_pk", kind.alias("kind"))
+
+    return in_database(spark, work)

@@ -10,8 +10,9 @@ from plumbline.plans.workflow import run_stored_rules, update_rule_types, update
 from plumbline.schemas import DQ_RULE
 from plumbline.sources import catalog
 from plumbline.sources.staging import Staging, staging_root
-from plumbline.sources.store import Store
+from plumbline.sources.store import Store, create_statement, insert_statement
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 BRONZE_TYPES = [
     (1, "not null", "completeness", "ExpectColumnValuesToNotBeNull", True),
@@ -189,6 +190,20 @@ def test_merge_statement_names_every_column():
     )
 
 
+def test_generated_keys_are_never_written(spark):
+    """The texts of statements for tables that number their rows themselves (such tables cannot be made here)."""
+    store = Store(spark, "s", "delta")
+    assert store.written("s.dq_rule", ["rule_key", "a"]) == ["a"] and store.written("s.dq_validations", ["validation_key"]) == ["validation_key"]
+    assert insert_statement("s.dq_exceptions", "v", store.written("s.dq_exceptions", ["exception_key", "a", "b"])) == (
+        "INSERT INTO s.dq_exceptions (`a`, `b`) SELECT `a`, `b` FROM v"
+    )
+    small = StructType([StructField("rule_key", LongType()), StructField("a", StringType())])
+    assert create_statement("s.dq_rule", small, "delta", None, store.identity("s.dq_rule")) == (
+        "CREATE TABLE IF NOT EXISTS s.dq_rule (`rule_key` bigint GENERATED ALWAYS AS IDENTITY (START WITH 1 INCREMENT BY 1), `a` string) USING delta"
+    )
+    assert Store(spark, "s").identity("s.dq_rule") is None and Store(spark, "s", "delta", generated_keys=False).identity("s.dq_rule") is None
+
+
 def test_staging_needs_a_shared_folder_and_can_be_cleared(spark, tmp_path):
     staging = Staging(spark)
     assert staging.path.startswith(spark.conf.get("spark.checkpoint.dir"))
@@ -214,6 +229,9 @@ def test_command_line(spark, schema, capsys):
     assert lines[0] == "run 1: 2 rules"
     assert lines[1].startswith("rule ") and "(bad_arguments)" in lines[1]
     assert Store(spark, schema).table(f"{schema}.dq_exceptions").count() == 1
+    main(["--schema", schema])  # the stored rules, without sources
+    assert capsys.readouterr().out.splitlines()[0] == "run 2: 2 rules"
+    assert Store(spark, schema).table(f"{schema}.dq_exceptions").count() == 2
 
 
 def test_a_cluster_without_a_shared_folder_is_refused(tmp_path):
