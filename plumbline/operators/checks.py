@@ -347,7 +347,11 @@ class _Builder:
             values = judged.select(x.alias("_k0"))
             counted = [F.count(F.lit(1)).alias("n")]
             if staging is not None:
-                measured = stage_keys(members.withColumn("n", F.lit(1)), staging, "members")
+                # One copy of a reference table for all rules of the run.
+                measured = staging.once(
+                    ("members", reference, kind.json()),
+                    lambda: stage_keys(members.withColumn("n", F.lit(1)), staging, "members"),
+                )
                 known = measured.keys.select("_k0")
                 if measured.size_in_bytes <= broadcast_limit(judged.sparkSession):
                     # Only the bad values are left to be shuffled.

@@ -20,6 +20,7 @@ from plumbline.operators.checks import (
     SqlCheck,
     build_check,
 )
+from plumbline.operators.probe import broadcast_limit
 from plumbline.operators.together import together
 from plumbline.spec import RuleError, RuleSpec
 from plumbline.sources.local import local_rows
@@ -29,6 +30,7 @@ from plumbline.sources.staging import Staging
 # (spark.sql.codegen.maxFields), and one rule takes three counters.
 COUNTERS_PER_SCAN = 30
 ROW_RULES_PER_SCAN = 100
+KEYED_RULES_PER_SCAN = 20
 
 # The rule that a repeated row breaks; a name that no checked table should use.
 RULE = "_plumbline_rule"
@@ -167,8 +169,10 @@ def exception_rows(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """One row per rule and failing row: rule, key and value (null when missing)."""
     row_checks = [c for c in checks if isinstance(c, RowCheck)]
     parts = [_row_exceptions(df, group) for group in _groups(row_checks, ROW_RULES_PER_SCAN)]
+    fused = [c for c in checks if isinstance(c, KeyedCheck) and c.key_set.size_in_bytes <= broadcast_limit(df.sparkSession)]
+    parts += [_keyed_exceptions(df, group) for group in _fitting(fused, broadcast_limit(df.sparkSession))]
     for check in checks:
-        if isinstance(check, KeyedCheck):
+        if isinstance(check, KeyedCheck) and check not in fused:
             parts.append(check.bad_rows(df).select(_key(check), "exception_row_pk", "exception_row_value"))
         elif isinstance(check, SqlCheck):
             parts.append(check.staged.select(_key(check), "exception_row_pk", "exception_row_value"))
@@ -177,6 +181,39 @@ def exception_rows(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
+def _fitting(checks: Sequence[KeyedCheck], limit: int) -> list[list[KeyedCheck]]:
+    """Groups of checks whose bad keys can be broadcast together."""
+    groups, size = [], 0
+    for check in checks:
+        size += check.key_set.size_in_bytes
+        if not groups or size > limit or len(groups[-1]) == KEYED_RULES_PER_SCAN:
+            groups.append([])
+            size = check.key_set.size_in_bytes
+        groups[-1].append(check)
+    return groups
+
+
+def _keyed_exceptions(df: DataFrame, checks: Sequence[KeyedCheck]) -> DataFrame:
+    """Failing rows of several keyed rules from one scan; their (unique) bad keys are broadcast and mark the rows."""
+    rows, marks = df, []
+    for i, check in enumerate(checks):
+        names = [f"{RULE}_{i}_{j}" for j in range(len(check.keys))]
+        mark = f"{RULE}_{i}"
+        bad = check.key_set.keys.select(
+            *[F.col(old).alias(new) for old, new in zip(check.key_set.key_names, names)], F.lit(True).alias(mark)
+        )
+        same = [key.eqNullSafe(F.col(n)) if check.null_safe else key == F.col(n) for key, n in zip(check.keys, names)]
+        judged = check.in_scope(F.lit(True) if check.missing is None else ~check.missing)
+        rows = rows.join(F.broadcast(bad), reduce(lambda a, b: a & b, [judged, *same]), "left").drop(*names)
+        marks.append(F.when(F.col(mark), F.lit(check.rule_key).cast("long")))
+    broken = rows.select("*", F.explode(F.array(*marks)).alias(RULE)).filter(F.col(RULE).isNotNull())
+    return broken.select(
+        F.col(RULE).alias("rule_key"),
+        _by_rule({c.rule_key: (c.spec.key_columns, c.pk) for c in checks}).alias("exception_row_pk"),
+        _by_rule({c.rule_key: (c.spec.column, c.value) for c in checks}).alias("exception_row_value"),
+    )
+
+
 def _key(check: Check) -> Column:
     return F.lit(check.rule_key).cast("long").alias("rule_key")
 

@@ -8,7 +8,10 @@ from __future__ import annotations
 
 import itertools
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable, Hashable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +35,7 @@ class Staging:
         self.spark = spark
         self.path = f"{staging_root(spark)}/plumbline-{uuid.uuid4().hex}"
         self._numbers = itertools.count(1)
+        self._lock, self._shared = threading.Lock(), {}
 
     def put(self, df: DataFrame, label: str) -> DataFrame:
         """Write ``df`` and return the DataFrame that reads the files."""
@@ -39,6 +43,16 @@ class Staging:
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def once(self, key: Hashable, make: Callable[[], Any]) -> Any:
+        """What ``make`` gives for a key, made once in a run, whoever of several threads asks first."""
+        with self._lock:
+            lock, _ = self._shared.setdefault(key, (threading.Lock(), []))
+        with lock:
+            held = self._shared[key][1]
+            if not held:
+                held.append(make())
+            return held[0]
+
     def clear(self) -> None:
         """Delete the folder; DataFrames that still read it become invalid."""
         jvm = self.spark.sparkContext._jvm

@@ -1,8 +1,12 @@
 """What the plans must look like, whatever the data."""
 
+import os
+
 import pytest
-from helpers import BETWEEN, IN_SET, REGEX, UNIQUE, build, rule, run
-from plumbline.operators.evaluate import COUNTERS_PER_SCAN, exception_rows, raw_counts
+from helpers import BETWEEN, IN_SET, REGEX, TODAY, UNIQUE, build, rule, run
+from plumbline.operators.evaluate import COUNTERS_PER_SCAN, check_table, exception_rows, raw_counts
+from plumbline.sources.staging import Staging
+from pyspark.sql import functions as F
 from query_catalog import line_rules
 
 LINEITEM = "/root/testdata/sf0.001/lineitem.parquet"
@@ -69,3 +73,18 @@ def test_regex_and_sets_stay_in_generated_code(lines):
     failing = exception_rows(lines, [build(lines, spec) for spec in specs])
     steps = [line for line in plan(failing).splitlines() if line.strip(" :+-")]
     assert all("*(" in line for line in steps if "FileScan" not in line and "ColumnarToRow" not in line)
+
+
+def test_keyed_rules_of_a_table_share_a_scan(spark):
+    df = spark.range(200).select("id", *[(F.col("id") % (50 + k)).alias(f"c{k}") for k in range(8)]).cache()
+    codes = spark.range(0, 60, 2).select(F.col("id").alias("code"))
+    specs = [rule(UNIQUE, {"column": f"c{k}"}, f"c{k}", rule_key=k + 1, condition="id < 150") for k in range(6)]
+    specs += [rule(IN_SET, {"column": f"c{k}", "value_set": "ref.code"}, f"c{k}", rule_key=k + 1) for k in (6, 7)]
+    staging, read = Staging(spark), []
+    _, rows = check_table(df, specs, lambda name: read.append(name) or codes, TODAY, staging)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("InMemoryTableScan") == 1 and "SortMergeJoin" not in plan
+    assert sum("members" in path for path in os.listdir(staging.path.removeprefix("file:"))) == 1
+    apart = {(r.rule_key, r.exception_row_pk) for spec in specs for r in check_table(df, [spec], lambda _: codes, TODAY, Staging(spark))[1].collect()}
+    assert {(r.rule_key, r.exception_row_pk) for r in rows.collect()} == apart and len(apart) > 500
+    df.unpersist()
