@@ -145,15 +145,15 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
 
-def _predict(names: list[str], prototypes: np.ndarray, dimensions: int, order: int, carry: list[str]):
+def _predict(names: list[str], prototypes: np.ndarray, dimensions: int, order: int, carry: list[str], text_column: str):
     shared = prototypes.mean(axis=0) if len(names) > 1 else np.zeros(dimensions)
     centred = _unit(prototypes - shared).astype(np.float32)
     shared = shared.astype(np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiles = Profiles(dimensions, order)
-        for batch in pieces(batches, "_text", 2 << 20):
-            vectors, owner, number, some = profiles.count(_texts(batch, "_text"))
+        for batch in pieces(batches, text_column, 2 << 20):
+            vectors, owner, number, some = profiles.count(_texts(batch, text_column))
             picked, score = np.zeros(len(some), np.int64), np.zeros(len(some))
             step = max(1, _MATRIX_CELLS // max(1, len(vectors)))
             bounds = np.searchsorted(owner, np.arange(0, len(some) + step, step))
@@ -191,7 +191,8 @@ def identify(
         learnt.select(F.col(text_column).alias("text"), F.col(lang_column).alias("lang")), dimensions, order
     )
     carried = [c for c in dict.fromkeys([id_column, *carry]) if c not in ("held_out", "lang_pred", "score")]
-    source = df.select(*carried, held_out.alias("held_out"), F.col(text_column).alias("_text"))
-    fields = source.schema.fields[:-1]
+    sent = text_column if text_column in carried else "_text"  # a carried text is sent once
+    source = df.select(*carried, held_out.alias("held_out"), *([] if sent in carried else [F.col(text_column).alias(sent)]))
+    fields = source.schema.fields[: len(carried) + 1]
     schema = StructType([*fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return source.mapInArrow(_predict(names, prototypes, dimensions, order, [f.name for f in fields]), schema)
+    return source.mapInArrow(_predict(names, prototypes, dimensions, order, [f.name for f in fields], sent), schema)

@@ -7,7 +7,7 @@ import numpy as np
 from plumbline.llm.words import MIXER, mix
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
-_PIECE = 1 << 17
+_PIECE = 1 << 16
 
 
 def signatures(elements: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
