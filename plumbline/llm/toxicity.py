@@ -1,14 +1,15 @@
 """Toxicity of texts: a linear-chain conditional random field over tokens.
 
 Labels are of whole texts. Tokens get theirs from words that mark toxic texts: the log-odds of
-each word and word beginning over all labelled training texts, counted in Spark. The field learns those tags with
+each word and word beginning over labelled training texts, counted in Spark. The field learns those tags with
 features of the word, its ends and its neighbours, so that it also tags what it has not seen spelled
 that way. Marginal probabilities of the tokens become offsets and, by a logistic model on the
 texts' labels, the score of the text.
 
-The counts cover all labelled training texts. The field and the logistic model are fitted on a bounded
-sample of them: ``sample_texts`` of each label with the smallest hashes of their ids, ``sample_words``
-words of each from its start. Scoring reads whole texts.
+The classifier is fitted on a bounded sample of labelled rows: words are counted in ``fit_texts`` texts of each
+label, those with the smallest hashes of their ids; the field and the logistic model see ``sample_texts`` of
+these, ``sample_words`` words of each. The shares of the labels are of all rows. So only ids are joined with
+labels, and no text is shuffled. Scoring reads whole texts.
 """
 
 from __future__ import annotations
@@ -24,11 +25,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.crf import Crf, train
-from plumbline.llm.words import Memo, Words, pieces, texts_of
+from plumbline.llm.words import Words, pieces, texts_of
 from plumbline.sources.staging import Staging
 
 FEATURES = 1 << 18
 BEGINNINGS = (5, 6, 7, 8)  # characters of word beginnings that are looked at
+FIT_TEXTS = 10_000
 SAMPLE_TEXTS, SAMPLE_WORDS = 600, 1000
 CHAIN = 128  # words of a chain; longer texts are several
 MARKERS = 10_000
@@ -50,6 +52,12 @@ def _units(word: bytes) -> list[bytes]:
     return [bare, *(text[:n].encode() + b" " for n in BEGINNINGS if len(text) > n)] if bare else []
 
 
+class _Units(dict):
+    def __missing__(self, word: bytes) -> list[bytes]:
+        value = self[word] = _units(word)
+        return value
+
+
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In how many toxic and other texts each word and beginning occurs; the row of the empty word counts the texts."""
 
@@ -58,9 +66,12 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(a), pa.array(b)], ["word", "toxic", "clean"])
 
     counts: dict[bytes, list[int]] = {}
+    units = _Units()
     for batch in pieces(batches, "text"):
+        if len(units) > _FLUSH:
+            units.clear()
         for text, toxic in zip(texts_of(batch.column("text")), batch.column("toxic").to_pylist()):
-            for word in {unit for w in set(text.lower().split()) for unit in _units(w)} | {b""}:
+            for word in {b""}.union(*map(units.__getitem__, set(text.lower().split()))):
                 counts.setdefault(word, [0, 0])[0 if toxic else 1] += 1
         if len(counts) > _FLUSH:
             yield rows(counts)
@@ -73,27 +84,47 @@ def _hash(part: bytes) -> int:
     return zlib.crc32(part) % FEATURES
 
 
-def _features(words: Words, memo: dict[str, Memo]) -> tuple[np.ndarray, np.ndarray]:
+_BEGIN_MARKS = [(n, b"b%d " % n) for n in BEGINNINGS]
+_SHORT = _hash(b"short")
+
+
+class _WordFeatures(dict):
+    """Numbers of words, and a table of the features that each has by itself; emptied when it is large."""
+
+    def __init__(self, limit: int = 300_000):
+        super().__init__()
+        self.limit, self.table, self.new = limit, np.empty((0, 2 + len(BEGINNINGS)), np.int64), []
+
+    def __missing__(self, word: bytes) -> int:
+        bare = word.strip(_EDGES)
+        text = bare.decode("utf-8", "replace")
+        begins = [_hash(mark + text[:n].encode()) if len(text) > n else _SHORT for n, mark in _BEGIN_MARKS]  # not the whole word
+        self.new.append((_hash(b"w" + bare), _hash(b"t" + bare[-4:]), *begins))
+        value = self[word] = len(self)
+        return value
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > self.limit:
+            self.clear()
+            self.table = self.table[:0]
+        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if self.new:
+            self.table = np.concatenate([self.table, np.array(self.new, np.int64)])
+            self.new = []
+        return self.table[at]
+
+
+def _features(words: Words, known: _WordFeatures) -> tuple[np.ndarray, np.ndarray]:
     """The features of each word, and the bounds of the chains."""
-    own = memo["word"].of(words.words, np.int64)
-    ends = [memo[k].of(words.words, np.int64) for k in memo if k != "word"]
-    size = len(own)
+    alone = known.of(words.words)
+    own, size = alone[:, 0], len(alone)
     index = np.arange(size) - np.repeat(words.first[:-1], words.counts)
     starts = index % CHAIN == 0
     before, after = np.full(size, _hash(b"<first>")), np.full(size, _hash(b"<last>"))
     before[1:] = np.where(starts[1:], before[1:], (own[:-1] * 31 + 7) % FEATURES)
     after[:-1] = np.where(starts[1:], after[:-1], (own[1:] * 37 + 11) % FEATURES)
     bias = np.full(size, _hash(b"<any>"))
-    return np.stack([own, *ends, before, after, bias], axis=1), np.append(np.flatnonzero(starts), size)
-
-
-def _memo() -> dict[str, Memo]:
-    bare = lambda w: w.strip(_EDGES)
-    text = lambda w: bare(w).decode("utf-8", "replace")
-    memo = {"word": Memo(lambda w: _hash(b"w" + bare(w))), "tail": Memo(lambda w: _hash(b"t" + bare(w)[-4:]))}
-    for n in BEGINNINGS:  # a whole word is not its own beginning
-        memo[f"begins{n}"] = Memo(lambda w, n=n: _hash(b"b%d " % n + text(w)[:n].encode()) if len(text(w)) > n else _hash(b"short"))
-    return memo
+    return np.column_stack([alone, before, after, bias]), np.append(np.flatnonzero(starts), size)
 
 
 def _summary(p: np.ndarray, words: Words) -> np.ndarray:
@@ -128,8 +159,10 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
     return w
 
 
-def fit(labelled: DataFrame, staging: Staging, sample_texts: int = SAMPLE_TEXTS, sample_words: int = SAMPLE_WORDS) -> ToxicityModel:
-    """From columns ``id, text, toxic`` (0 or 1)."""
+def fit(
+    labelled: DataFrame, shares: dict[int, int], staging: Staging, sample_texts: int = SAMPLE_TEXTS, sample_words: int = SAMPLE_WORDS
+) -> ToxicityModel:
+    """From columns ``id, text, toxic`` (0 or 1); ``shares`` are the numbers of either label in all rows."""
     counts = labelled.select("text", "toxic").mapInArrow(_word_counts, "word binary, toxic long, clean long")
     counts = counts.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     counts = staging.put(counts, "word-labels")
@@ -152,7 +185,7 @@ def fit(labelled: DataFrame, staging: Staging, sample_texts: int = SAMPLE_TEXTS,
     ]
     rows = picked[0].union(picked[1]).collect()
     words = Words([r.text.encode() for r in rows], lower=True)
-    features, chains = _features(words, _memo())
+    features, chains = _features(words, _WordFeatures())
     tags = np.array([not markers.isdisjoint(_units(w)) for w in words.words], np.int64)
     # words of clean texts are clean whatever they are; a marker there would be a false friend
     clean = np.array([r.toxic == 0 for r in rows], bool)
@@ -160,7 +193,6 @@ def fit(labelled: DataFrame, staging: Staging, sample_texts: int = SAMPLE_TEXTS,
     field = train(features, chains, tags, FEATURES) if len(tags) else Crf(np.zeros((FEATURES, 2)), np.array([0.0, -9.0]), np.zeros((2, 2)))
 
     # the sample is balanced, the corpus is not: weights of the logistic model restore the labels' shares
-    shares = np.array([texts["clean"], texts["toxic"]], float)
     x, y = _summary(field.marginals(features, chains), words), np.array([r.toxic for r in rows], float)
     logistic = np.array([-4.0, 8.0, 0.0, 0.0, 0.0, 0.0])
     if 0 < y.sum() < len(y):
@@ -171,11 +203,11 @@ def fit(labelled: DataFrame, staging: Staging, sample_texts: int = SAMPLE_TEXTS,
 
 def _score(model: ToxicityModel, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _memo()
+        known = _WordFeatures()
         span = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("probability", pa.float64())])
         for batch in pieces(batches, "text", 2 << 20):
             words = Words(texts_of(batch.column("text")), lower=True)
-            features, chains = _features(words, memo)
+            features, chains = _features(words, known)
             p = model.field.marginals(features, chains)
             score = 1 / (1 + np.exp(-np.clip(_summary(p, words) @ model.logistic, -30, 30)))
             point = np.cumsum((words.raw & 0xC0) != 0x80)  # code points up to each byte
@@ -194,7 +226,7 @@ def _score(model: ToxicityModel, threshold: float):
 
 def toxicity(
     df: DataFrame, labels: DataFrame, training: Column, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic", *,
-    threshold: float = 0.5, sample_texts: int = SAMPLE_TEXTS, sample_words: int = SAMPLE_WORDS, staging: Staging | None = None,
+    threshold: float = 0.5, fit_texts: int = FIT_TEXTS, sample_texts: int = SAMPLE_TEXTS, sample_words: int = SAMPLE_WORDS, staging: Staging | None = None,
 ) -> DataFrame:
     """One row per row of ``df``: the id, ``held_out`` (``training`` is false), ``score``, ``predicted``, ``spans``.
 
@@ -204,11 +236,15 @@ def toxicity(
     """
     staging = staging or Staging(df.sparkSession)
     source = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), (~F.coalesce(training, F.lit(False))).alias("held_out"))
+    learnt = source.where("not held_out")
     marks = labels.where(F.col(label_column).isNotNull()).groupBy(F.col(id_column).alias("id"))
-    marks = marks.agg(F.max(F.col(label_column).cast("int")).alias("toxic"))
-    labelled = source.where("not held_out").join(marks, "id").select("id", "text", "toxic")
-    labelled = staging.put(labelled, "labelled")
-    model = fit(labelled, staging, sample_texts, sample_words)
+    marks = marks.agg(F.max((F.col(label_column) != 0).cast("int")).alias("toxic"))
+    marks = staging.put(marks.join(learnt.select("id"), "id", "left_semi"), "labels")
+    shares = dict(marks.groupBy("toxic").count().collect())
+    chosen = [marks.where(F.col("toxic") == label).orderBy(F.xxhash64("id"), "id").limit(fit_texts) for label in (0, 1)]
+    chosen = staging.put(chosen[0].union(chosen[1]), "chosen")  # at most 2 * fit_texts rows
+    labelled = staging.put(learnt.join(F.broadcast(chosen), "id").select("id", "text", "toxic"), "labelled")
+    model = fit(labelled, shares, staging, sample_texts, sample_words)
     kind = source.schema["id"].dataType.simpleString()
     found = source.mapInArrow(
         _score(model, threshold),
