@@ -4,10 +4,14 @@ Words fall into classes found by exchange clustering; a word's probability is th
 its class after the class before, times that of the word within its class.
 
 * Word counts cover all training texts and stay a distributed table. Only statistics of a
-  stated size reach the driver: the most frequent words, and counts of neighbouring units.
-* A unit is one of the ``vocabulary`` most frequent words, or a group of rarer words with
-  equal hash of their last three bytes; so the clustering sees every token. A rare word has its share of its group.
-* Counts of rarer words come from a join. A text's distinct rare words travel once, and so do its own sums.
+  stated size reach the driver: the most frequent words, and counts of neighbouring units and classes.
+* The ``vocabulary`` most frequent words are exchanged there, together with groups of rarer words with equal hash of their last
+  three bytes, so that the clustering sees every token. A group only gives its words a class to begin with.
+* Then every other word moves, in ``rounds``, to the class that its own counts of classes before and after it fit best. These
+  counts, and the classes, are distributed tables. Classes follow the likelihood: a round that lowers it is taken back.
+* A word that is in no training text has the class of its group, and there the count of nothing.
+* Counts and classes of words outside the ``frequent`` come from joins. A text's distinct ones travel once for each pair of classes
+  around them, neighbouring ones also as a pair, and so do its own sums.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +34,7 @@ from plumbline.sources.staging import Staging
 END = b"\n"  # the end of a text; never a word, as it is white space
 VOCABULARY, GROUPS, CLASSES = 1000, 256, 64
 FREQUENT = 50_000
-SWEEPS = 4
+SWEEPS, ROUNDS = 4, 2
 _FLUSH = 200_000
 _PRIOR = 20.0
 
@@ -45,6 +50,19 @@ class ClassModel:
     unit_class: np.ndarray
     tokens: int
     types: int
+    between: np.ndarray  # counts of neighbouring classes, of two words of the vocabulary
+
+
+@dataclass(frozen=True)
+class WordClasses:
+    """What scoring needs when every word has its class; those of rarer words are in a table."""
+
+    frequent: dict[bytes, tuple[int, int]]  # counts and classes of the most frequent words, and of the end
+    transition: np.ndarray  # log10 P(class | class before)
+    mass: np.ndarray  # log10 of the summed counts of a class, one more for each word and each group of unknown ones
+    unknown: np.ndarray  # the class of each group
+    tokens: int
+    types: int
 
 
 def group_of(word: bytes, groups: int) -> int:
@@ -183,55 +201,242 @@ def train(texts: DataFrame, staging: Staging, vocabulary=VOCABULARY, groups=GROU
     share = (each + 1) / ((each + 1) @ member)[label]
     prior = ((each + 1) @ member) / (each + 1).sum()
     transition = (between + _PRIOR * prior) / (between.sum(axis=1, keepdims=True) + _PRIOR)
+    n = len(unit)
+    inner = member[:n].T @ table[:n, :n] @ member[:n]
     emission = np.log10(share)
     emission[len(unit) :] -= np.log10(sizes)
-    model = ClassModel(dict(top), unit, np.log10(np.maximum(transition, 1e-300)), emission, label, int(tokens), int(types))
+    model = ClassModel(dict(top), unit, np.log10(np.maximum(transition, 1e-300)), emission, label, int(tokens), int(types), inner)
     return model, counts
 
 
-def _score(model: ClassModel, groups: int):
+def _kinds(words: list[bytes], kinds: dict[bytes, int], unknown: np.ndarray | None) -> np.ndarray:
+    """Classes of words; of those not in ``kinds`` the class of the group, or -1 without such."""
+    other = (lambda w: -1) if unknown is None else lambda w: unknown[group_of(w, len(unknown))]
+    return np.array([kinds[w] if w in kinds else other(w) for w in words], np.int64)
+
+
+_BEFORE_FIXED, _BEFORE, _AFTER = 0, 1, 2
+
+
+def _contexts(kinds: dict[bytes, int], unknown: np.ndarray | None, fixed: frozenset[bytes], classes: int, pairs: bool = False):
+    """How often each word that is not fixed has a class before and after it: ``word, code, n``. With ``pairs``
+    instead ``word, after, n`` of neighbours that are not fixed, at least one of which has its class in the table only."""
+
+    common = [w for w in kinds if w not in fixed]  # added up in the task; as many as are frequent
+    index = {w: k for k, w in enumerate(common)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0 if pairs else len(common) * 3 * classes, np.int32)
+        for batch in pieces(batches, "text"):
+            words, numbers = Words(texts_of(batch.column("text")), lower=True), Numbers()
+            codes = numbers.of(words.words)
+            distinct = [*numbers, END]
+            width, dictionary = len(distinct), pa.array(distinct, pa.binary())
+            b, _ = _with_ends(codes, words.counts, width - 1)
+            a = np.concatenate([[width - 1], b[:-1]])
+            kind, moves = _kinds(distinct, kinds, unknown), np.array([w not in fixed for w in distinct])
+            both = moves[a] & moves[b]
+            far = both & ((kind[a] < 0) | (kind[b] < 0))
+            if pairs:
+                found, n = np.unique(a[far] * width + b[far], return_counts=True)
+                second = dictionary.take(pa.array(found % width))
+            else:
+                width = 3 * classes
+                into, out = moves[b] & ~far, moves[a] & ~far
+                side = np.where(both, _BEFORE, _BEFORE_FIXED) * classes
+                keys = [b[into] * width + (side + kind[a])[into], a[out] * width + _AFTER * classes + kind[b[out]]]
+                found, n = np.unique(np.concatenate(keys), return_counts=True)
+                place = np.array([index.get(w, -1) for w in distinct], np.int64)[found // width]
+                total[place[place >= 0] * width + found[place >= 0] % width] += n[place >= 0].astype(np.int32)
+                found, n = found[place < 0], n[place < 0]
+                second = pa.array((found % width).astype(np.int32))
+            if len(found):
+                yield pa.RecordBatch.from_arrays(
+                    [dictionary.take(pa.array(found // width)), second, pa.array(n.astype(np.int64))], ["word", "after" if pairs else "code", "n"]
+                )
+        at = np.flatnonzero(total)
+        for lo in range(0, len(at), 100_000):
+            part = at[lo : lo + 100_000]
+            names = pa.array([common[k] for k in (part // (3 * classes)).tolist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([names, pa.array((part % (3 * classes)).astype(np.int32)), pa.array(total[part].astype(np.int64))], ["word", "code", "n"])
+
+    return run
+
+
+def _entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a batch of words with their contexts: each entry's word, code and count."""
+    lists = batch.column("contexts")
+    flat = lists.flatten()
+    owner = np.repeat(np.arange(len(lists)), pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))
+    return owner, flat.field("code").to_numpy().astype(np.int64), flat.field("n").to_numpy().astype(np.int64)
+
+
+def _between(classes: int):
+    """Counts of neighbouring classes, but for those of two fixed words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(classes * classes, np.int64)
+        for batch in batches:
+            owner, code, n = _entries(batch)
+            own, side, other = batch.column("kind").to_numpy()[owner], code // classes, code % classes
+            at, into = side == _AFTER, side == _BEFORE_FIXED
+            np.add.at(total, own[at] * classes + other[at], n[at])
+            np.add.at(total, other[into] * classes + own[into], n[into])
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["pair", "n"])
+
+    return run
+
+
+def _entropy(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1))
+
+
+def best_classes(owner: np.ndarray, code: np.ndarray, n: np.ndarray, label: np.ndarray, between: np.ndarray) -> np.ndarray:
+    """The classes to which words move by exchange, most frequent first; ``owner`` ascends, and ``between``, which counts each word in its own class,
+    follows the moves. Words that are together a thousandth of the tokens decide at once; what a word counts beside itself stays where it was."""
+    classes, size = len(between), len(label)
+    first = np.searchsorted(owner, np.arange(size + 1))
+    weight = np.bincount(owner, weights=n, minlength=size)
+    order = np.argsort(-weight, kind="stable")
+    entries, tokens = np.cumsum(np.diff(first)[order]), np.cumsum(weight[order])
+    share, new, lo = between.sum() / 1000, label.copy(), 0
+    while lo < size:
+        done, past = (entries[lo - 1], tokens[lo - 1]) if lo else (0, 0)
+        hi = max(lo + 1, min(np.searchsorted(entries, done + 20_000, side="right"), np.searchsorted(tokens, past + share, side="right")))
+        words, lo = order[lo:hi], hi
+        rows, lengths = np.arange(len(words)), first[words + 1] - first[words]
+        who = np.repeat(rows, lengths)
+        at = np.arange(len(who)) + np.repeat(first[words] - np.cumsum(lengths) + lengths, lengths)
+        side, other, m = code[at] // classes, code[at] % classes, n[at].astype(float)[:, None]
+        old = label[words]
+        own = np.zeros((len(words), classes), bool)
+        own[rows, old] = True
+        after = (side == _AFTER)[:, None]
+        rest = np.where(after, between.T[other], between[other]) - np.where(own[who], m, 0)
+        starts = np.cumsum(lengths) - lengths
+        gain = np.add.reduceat(_entropy(rest + m) - _entropy(rest), starts, axis=0)
+        for total, mine in ((between.sum(axis=1), after), (between.sum(axis=0), ~after)):
+            counted = np.bincount(who, weights=(m * mine)[:, 0], minlength=len(words))[:, None]
+            rest = total - np.where(own, counted, 0)
+            gain -= _entropy(rest + counted) - _entropy(rest)
+        best = np.argmax(gain, axis=1)
+        best = np.where(gain[rows, best] > gain[rows, old] + 1e-6, best, old)
+        new[words] = best
+        moved = (best != old)[who]
+        for kind, sign in ((old, -1), (best, 1)):
+            a, b, k = kind[who][moved], other[moved], after[moved, 0]
+            np.add.at(between, (np.where(k, a, b), np.where(k, b, a)), sign * m[moved, 0])
+        np.maximum(between, 0, out=between)
+    return new
+
+
+def _move(between: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counted = between.copy()
+        for batch in batches:
+            label = best_classes(*_entries(batch), batch.column("kind").to_numpy().astype(np.int64), counted)
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), pa.array(label.astype(np.int32))], ["word", "c", "kind"])
+
+    return run
+
+
+def classify(texts: DataFrame, model: ClassModel, counts: DataFrame, staging: Staging, groups=GROUPS, classes=CLASSES, rounds=ROUNDS) -> tuple[WordClasses, DataFrame]:
+    """A class for each training word, starting from those of ``train``: what scoring needs, and the table ``word, c, kind`` of all words but the vocabulary."""
+    spark, size = texts.sparkSession, len(model.unit)
+    unknown, fixed = model.unit_class[size:], frozenset(model.unit)
+    kinds = {w: int(model.unit_class[u]) for w, u in model.unit.items()}
+    few = F.broadcast(spark.createDataFrame([(w,) for w in model.unit], "word binary"))
+    group = F.pmod(F.crc32(F.substring("word", -3, 3)), F.lit(groups))
+    begin = F.broadcast(spark.createDataFrame(list(enumerate(unknown.tolist())), "g long, kind int"))
+    table = counts.join(few, "word", "left_anti").withColumn("g", group.cast("long")).join(begin, "g").select("word", "c", "kind")
+    known, best = spark.createDataFrame([(w,) for w in model.frequent if w not in fixed], "word binary"), None
+    near = kinds | {w: int(unknown[group_of(w, groups)]) for w in model.frequent if w not in fixed}
+    guess = unknown  # in the first round every class is known to each task
+    for turn in range(rounds + 1):
+        table = staging.put(table, f"classes-{turn}")
+        if turn:
+            near, guess = kinds | {bytes(r.word): r.kind for r in table.join(F.broadcast(known), "word", "left_semi").select("word", "kind").collect()}, None
+        around = texts.select("text").mapInArrow(_contexts(near, guess, fixed, classes), "word binary, code int, n long")
+        if turn:
+            pairs = texts.select("text").mapInArrow(_contexts(near, guess, fixed, classes, True), "word binary, after binary, n long")
+            pairs = pairs.groupBy("word", "after").agg(F.sum("n").alias("n"))
+            pairs = pairs.join(table.select("word", F.col("kind").alias("own")), "word").join(table.select(F.col("word").alias("after"), "kind"), "after")
+            sides = [(F.col("after"), F.col("own") + _BEFORE * classes), (F.col("word"), F.col("kind") + _AFTER * classes)]
+            pairs = pairs.select(F.explode(F.array(*(F.struct(w.alias("word"), code.alias("code"), F.col("n")) for w, code in sides))).alias("x"))
+            around = around.union(pairs.select("x.*"))
+        around = around.repartition("word").groupBy("word", "code").agg(F.sum("n").alias("n"))
+        around = around.groupBy("word").agg(F.collect_list(F.struct("code", "n")).alias("contexts")).join(table, "word")
+        around = staging.put(around.sortWithinPartitions("word"), f"contexts-{turn}") if turn < rounds else around
+        between = model.between.copy()
+        found = around.select("kind", "contexts").mapInArrow(_between(classes), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+        for pair, n in found.collect():  # at most classes * classes rows
+            between[divmod(pair, classes)] += n
+        value = _entropy(between).sum() - _entropy(between.sum(axis=1)).sum() - _entropy(between.sum(axis=0)).sum()
+        if best is not None and value <= best[0]:
+            break
+        best = value, between, table, near
+        if turn < rounds:
+            table = around.mapInArrow(_move(between), "word binary, c long, kind int")
+
+    _, between, table, near = best
+    mass = np.bincount(unknown, minlength=classes).astype(float)
+    for word, kind in kinds.items():
+        mass[kind] += model.frequent.get(word, 0) + 1
+    for kind, n in table.groupBy("kind").agg(F.sum(F.col("c") + 1)).collect():
+        mass[kind] += n
+    prior = mass / mass.sum()
+    transition = (between + _PRIOR * prior) / (between.sum(axis=1, keepdims=True) + _PRIOR)
+    frequent = {w: (model.frequent.get(w, 0), _kind) for w, _kind in near.items()}
+    return WordClasses(frequent, np.log10(np.maximum(transition, 1e-300)), np.log10(np.maximum(mass, 1)), unknown, model.tokens, model.types), table
+
+
+def _score(model: WordClasses):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end, size = model.unit[END], len(model.unit)
         base_norm = math.log10(model.tokens + model.types + 1)
         for batch in pieces(batches, "text"):
             words, numbers = Words(texts_of(batch.column("text")), lower=True), Numbers()
             codes = numbers.of(words.words)
             distinct = [*numbers, END]
             codes, first = _with_ends(codes, words.counts, len(distinct) - 1)
-            count = np.array([model.frequent.get(w, -1) for w in distinct], np.int64)
-            unit = _units(distinct, model.unit, groups)
+            count, kind = np.array([model.frequent.get(w, (-1, -1)) for w in distinct], np.int64).T
             bonus = np.log10(np.maximum(count, 0) + 1)  # of rare words: joined later
-            units = unit[codes]
-            kinds = model.unit_class[units]
-            before = np.concatenate([[0], kinds[:-1]])
-            before[first[:-1]] = model.unit_class[end]
-            value = model.transition[before, kinds] + model.emission[units] + np.where(units < size, 0.0, bonus[codes])
+            kinds, end = kind[codes], kind[-1]
+            before, after = np.concatenate([[end], kinds[:-1]]), np.append(kinds[1:], -1)
+            before[first[:-1]], after[first[1:] - 1] = end, -1
+            here = kinds >= 0
+            value = np.where(here & (before >= 0), model.transition[before, kinds], 0.0) + np.where(here, bonus[codes] - model.mass[kinds], 0.0)
             doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
-            n_docs, width = len(first) - 1, len(distinct)
-            at = count[codes] < 0
-            pair, n = np.unique(doc[at] * width + codes[at], return_counts=True)
             rows = batch.column("row")
-            ids = rows.to_numpy()
             dictionary = pa.array(distinct, pa.binary())
-            own = pa.array([b" %d" % k for k in ids.tolist()], pa.binary())  # no word, and another for each text
+            n_docs = len(first) - 1
+            nothing = pa.array(np.full(n_docs, -1, np.int32))
             yield _rows(
-                rows, own, np.diff(first), sums(count[codes] > 0, first), np.add.reduceat(bonus[codes] - base_norm, first[:-1]),
-                np.add.reduceat(value, first[:-1]), batch.column("id"), batch.column("held_out"),
+                rows, pa.nulls(n_docs, pa.binary()), pa.nulls(n_docs, pa.binary()), nothing, nothing, np.diff(first), sums(count[codes] > 0, first),
+                np.add.reduceat(bonus[codes] - base_norm, first[:-1]), np.add.reduceat(value, first[:-1]), batch.column("id"), batch.column("held_out"),
             )
-            no_id, no_flag = pa.scalar(None, batch.column("id").type), pa.scalar(None, pa.bool_())
-            for lo in range(0, len(pair), 200_000):
-                part = pair[lo : lo + 200_000]
-                some, n_some = part // width, n[lo : lo + 200_000]
-                none, zero = np.zeros(len(part), np.int64), np.zeros(len(part))
-                yield _rows(
-                    rows.take(pa.array(some)), dictionary.take(pa.array(part % width)), n_some, none, zero, zero,
-                    pa.repeat(no_id, len(part)), pa.repeat(no_flag, len(part)),
-                )
+            rare, width, wide = ~here, len(distinct), len(model.transition) + 1
+            single = ((doc[rare] * width + codes[rare]) * wide + before[rare] + 1) * wide + after[rare] + 1
+            single, n_single = np.unique(single, return_counts=True)
+            at = np.flatnonzero(rare[:-1] & rare[1:] & (doc[:-1] == doc[1:]))
+            pair, n_pair = np.unique((doc[at] * width + codes[at]) * width + codes[at + 1], return_counts=True)
+            for keys, n, paired in ((single, n_single, False), (pair, n_pair, True)):
+                for lo in range(0, len(keys), 200_000):
+                    part, size = keys[lo : lo + 200_000], len(keys[lo : lo + 200_000])
+                    rest, last = np.divmod(part, width if paired else wide)
+                    rest, left = (rest, np.zeros(size, np.int64)) if paired else np.divmod(rest, wide)
+                    none, zero = np.zeros(size, np.int64), np.zeros(size)
+                    follows = dictionary.take(pa.array(last)) if paired else pa.nulls(size, pa.binary())
+                    beside = [np.full(size, -1)] * 2 if paired else [left - 1, last - 1]
+                    yield _rows(
+                        rows.take(pa.array(rest // width)), dictionary.take(pa.array(rest % width)), follows, *(x.astype(np.int32) for x in beside),
+                        n[lo : lo + 200_000], none, zero, zero, pa.nulls(size, batch.column("id").type), pa.nulls(size, pa.bool_()),
+                    )
 
     return run
 
 
-_NAMES = ["row", "word", "n", "n_known", "base", "score", "id", "held_out"]
+_NAMES = ["row", "word", "follows", "before", "after", "n", "n_known", "base", "score", "id", "held_out"]
 
 
 def _rows(*columns) -> pa.RecordBatch:
@@ -239,9 +444,26 @@ def _rows(*columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, _NAMES)
 
 
+def _joined(model: WordClasses):
+    """What a word outside the frequent ones, or two such side by side, add to the sums of their text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, before, after, kind, last, c = (batch.column(k).to_numpy() for k in ("n", "before", "after", "kind", "last", "c"))
+            paired = last >= 0
+            bonus = np.where(paired, 0.0, np.log10(np.maximum(c, 0) + 1.0))
+            value = np.where(paired, model.transition[kind, last], bonus - model.mass[kind])
+            value += np.where(before >= 0, model.transition[before, kind], 0.0) + np.where(after >= 0, model.transition[kind, after], 0.0)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), pa.array(np.where(paired | (c < 0), 0, n)), pa.array(n * bonus), pa.array(n * value)], ["row", "n_known", "base", "score"]
+            )
+
+    return run
+
+
 def class_scores(
     df: DataFrame, training: Column, id_column: str = "doc_id", text_column: str = "text", *,
-    vocabulary: int = VOCABULARY, groups: int = GROUPS, classes: int = CLASSES, frequent: int = FREQUENT,
+    vocabulary: int = VOCABULARY, groups: int = GROUPS, classes: int = CLASSES, frequent: int = FREQUENT, rounds: int = ROUNDS,
     staging: Staging | None = None,
 ) -> DataFrame:
     """One row per row of ``df``: the id, ``held_out`` (``training`` is false), ``n_tokens``,
@@ -255,25 +477,36 @@ def class_scores(
     source = df.select(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"), (~F.coalesce(training, F.lit(False))).alias("held_out")
     )
-    model, counts = train(source.where("not held_out"), staging, vocabulary, groups, classes, frequent)
+    learnt = source.where("not held_out")
+    seed, counts = train(learnt, staging, vocabulary, groups, classes, frequent)
+    model, table = classify(learnt, seed, counts, staging, groups, classes, rounds)
 
     kind = source.schema["id"].dataType.simpleString()
     scored = source.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
-        _score(model, groups),
-        f"row long, word binary, n long, n_known long, base double, score double, id {kind}, held_out boolean",
+        _score(model),
+        "row long, word binary, follows binary, before int, after int, n long, n_known long, base double, score double, "
+        f"id {kind}, held_out boolean",
     )
-    scored = scored.join(counts, "word", "left")
-    own = F.substring("word", 1, 1) == F.lit(b" ")  # the sums of a text, not one of its words
-    rare = ~own & F.col("c").isNotNull()
-    known = F.when(rare, F.col("n")).otherwise(0)
-    added = F.when(rare, F.col("n") * F.log10(F.col("c") + 1)).otherwise(0.0)
-    totals = scored.groupBy("row").agg(
+    scored = staging.put(scored, "scored")
+    group = lambda name: F.pmod(F.crc32(F.substring(name, -3, 3)), F.lit(groups)).cast("int")
+    guess = F.array(*(F.lit(int(k)) for k in model.unknown))
+    class_of = lambda name, found: F.coalesce(F.col(found), F.element_at(guess, group(name) + 1))
+    fields = ["row", "n", "before", "after"]
+    single = scored.where("word is not null and follows is null").join(table, "word", "left")
+    single = single.select(*fields, class_of("word", "kind").alias("kind"), F.lit(-1).alias("last"), F.coalesce("c", F.lit(-1)).alias("c"))
+    pairs = scored.where("follows is not null").join(table.select("word", "kind"), "word", "left")
+    pairs = pairs.join(table.select(F.col("word").alias("follows"), F.col("kind").alias("last")), "follows", "left")
+    pairs = pairs.select(*fields, class_of("word", "kind").alias("kind"), class_of("follows", "last").alias("last"), F.lit(-1).cast("long").alias("c"))
+    added = single.union(pairs).mapInArrow(_joined(model), "row long, n_known long, base double, score double")
+    none = [F.lit(None).cast(t).alias(n) for n, t in (("id", kind), ("held_out", "boolean"), ("n", "long"))]
+    own = scored.where("word is null").select("row", "n_known", "base", "score", "id", "held_out", "n")
+    totals = own.union(added.select("*", *none)).groupBy("row").agg(
         F.max("id").alias(id_column),
         F.max("held_out").alias("held_out"),
-        F.sum(F.when(own, F.col("n"))).alias("n_tokens"),
-        F.sum(F.col("n_known") + known).alias("n_known"),
+        F.sum("n").alias("n_tokens"),
+        F.sum("n_known").alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
-        F.sum(F.col("base") + added).alias("base_score"),
-        F.sum(F.col("score") + added).alias("score"),
+        F.sum("base").alias("base_score"),
+        F.sum("score").alias("score"),
     )
     return totals.drop("row")

@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from plumbline.llm.brown import class_scores, exchange, group_of, train
+from plumbline.llm.brown import class_scores, classify, exchange, group_of, train
 from plumbline.llm.crf import Crf, forward_backward
 from plumbline.llm.hyperdim import Profiles, identify
 from plumbline.llm.queries import op1_language, op6_toxicity, op10_class_lm
@@ -186,6 +186,43 @@ def test_exchange_finds_alternating_classes():
     assert len(set(label[:4])) == len(set(label[4:])) == 1 and label[0] != label[4]
 
 
+def test_rare_words_have_their_own_classes(spark):
+    """Words outside the vocabulary fall into classes by what is around them, whatever their ends; scores equal a plain sum."""
+    rnd = np.random.default_rng(3)
+    first, second = [f"n{k}xyz" for k in range(20)], [f"v{k}xyz" for k in range(20)]  # one group: equal ends
+    frames = [("the", "a", "my"), first, ("will", "can", "may"), second, ("today", "now", "here")]
+    texts = [" ".join(frame[rnd.integers(len(frame))] for _ in range(12) for frame in frames) for _ in range(60)]
+    texts += [f"the {first[0]} {second[3]} {second[4]} unseenxyz will", f"{first[1]} {first[2]}", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    options = dict(groups=2, classes=16)
+    learnt = df.where("doc_id < 60 or doc_id = 61")
+    seed, counts = train(learnt, Staging(spark), vocabulary=10, frequent=16, **options)
+    model, table = classify(learnt, seed, counts, Staging(spark), **options)
+    kinds = {bytes(r.word): (r.c, r.kind) for r in table.collect()}
+    assert len(kinds) == 40 - len(set(seed.unit) & {w.encode() for w in first + second})
+    assert {kinds[w.encode()][1] for w in first if w.encode() in kinds}.isdisjoint({kinds[w.encode()][1] for w in second if w.encode() in kinds})
+
+    known = kinds | model.frequent
+    for k in range(16):
+        inside = [c for c, kind in known.values() if kind == k]
+        assert math.isclose(10 ** model.mass[k], max(1, sum(inside) + len(inside) + (model.unknown == k).sum()), rel_tol=1e-9)
+    assert np.allclose((10**model.transition).sum(axis=1), 1)
+    between = np.zeros((16, 16))
+    for i, text in enumerate(texts):
+        if i < 60 or i == 61:
+            path = [known[w][1] for w in [b"\n", *text.encode().split(), b"\n"]]
+            for a, b in zip(path, path[1:]):
+                between[a, b] += 1
+    prior = 10**model.mass / (10**model.mass).sum()
+    assert np.allclose(10**model.transition, (between + 20 * prior) / (between.sum(axis=1, keepdims=True) + 20))
+
+    found = {r.doc_id: r.score for r in class_scores(df, (F.col("doc_id") < 60) | (F.col("doc_id") == 61), vocabulary=10, frequent=16, **options).collect()}
+    for i, text in enumerate(texts):
+        path = [known.get(w, (0, model.unknown[group_of(w, 2)])) for w in [b"\n", *(text or "").encode().split(), b"\n"]]
+        want = sum(model.transition[a, b] + math.log10(c + 1) - model.mass[b] for (_, a), (c, b) in zip(path, path[1:]))
+        assert math.isclose(found[i], want, rel_tol=1e-9)
+
+
 def test_odd_scores(spark, odd_documents, no_documents):
     rows = class_scores(odd_documents, F.col("doc_id") != 9).collect()
     assert len(rows) == odd_documents.count()
