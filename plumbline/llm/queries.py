@@ -14,7 +14,7 @@ from plumbline.llm.near_dup import near_duplicates
 from plumbline.llm.personal_data import BASE_KINDS, find_personal_data, spelled
 from plumbline.llm.repetition import repetition
 from plumbline.llm.sentencepiece_bpe import decode, encode, read_model
-from plumbline.llm.simhash import fingerprint_documents, within_radius
+from plumbline.llm.simhash import RADIUS, WIDE_FLIPS, WIDE_RADIUS, fingerprint_documents, within_radius
 from plumbline.llm.toxicity import toxicity
 from plumbline.llm.urls import ALLOW, BLOCK, judge_urls
 from plumbline.llm.words import documents, id_remainder
@@ -49,16 +49,20 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Also ``n_near``: for every twentieth id, how many other documents are within the Hamming radius."""
+    """Also, for every twentieth id: ``n_near``, how many other documents are within the Hamming radius, and ``neighbours``, all fingerprints
+    within the wide radius with their distance and number of documents; these are the rows with that ``fingerprint``."""
     staging = Staging(spark)
     found = staging.put(fingerprint_documents(documents(spark, sf_dir), staging=staging), "fingerprints")
     asked = F.col("doc_id") % SEARCH_EVERY == 0
     sizes = found.groupBy(F.col("fingerprint").alias("found")).agg(F.count(F.lit(1)).alias("n"))
-    near = within_radius(found.where(asked), found).join(sizes, "found")
-    near = near.groupBy(F.col("query").alias("fingerprint")).agg((F.sum("n") - 1).alias("near"))
+    near = within_radius(found.where(asked), found, radius=WIDE_RADIUS, flips=WIDE_FLIPS).join(sizes, "found")
+    near = near.groupBy(F.col("query").alias("fingerprint")).agg(
+        (F.sum(F.when(F.col("distance") <= RADIUS, F.col("n"))) - 1).alias("near"),
+        F.sort_array(F.collect_list(F.struct("distance", F.col("found").alias("fingerprint"), "n"))).alias("around"),
+    )
     return found.join(near, "fingerprint", "left").select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
-        F.when(asked, F.col("near")).alias("n_near"),
+        F.when(asked, F.col("near")).alias("n_near"), F.when(asked, F.col("around")).alias("neighbours"),
     )
 
 

@@ -7,11 +7,14 @@ few counts per term.
 
 Near fingerprints: cut into more blocks than bits may differ, at least one block is equal. There is one
 table per block, keyed by it. Equal fingerprints are one entry. A pair is taken only from the first block that agrees.
+For wider radii queries also ask for blocks with up to ``flips`` bits changed: if fewer than blocks x (flips + 1) bits
+differ, one block differs in no more than ``flips``. So only the queries grow, and nothing within the radius is missed.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +29,7 @@ from plumbline.sources.staging import Staging
 BITS, SHINGLE = 256, 3
 WORD_WEIGHT, SHINGLE_WEIGHT = 1, 2
 RADIUS, BLOCKS = 7, 8
+WIDE_RADIUS, WIDE_FLIPS = 15, 1
 
 
 def fingerprints(texts: list[bytes], hashes, bits: int = BITS, shingle: int = SHINGLE) -> np.ndarray:
@@ -157,28 +161,39 @@ def hamming(a: Column, b: Column, bits: int = BITS) -> Column:
     return sum((F.bit_count(word(a, k).bitwiseXOR(word(b, k))) for k in range(bits // 64)), F.lit(0))
 
 
-def _tables(prints: DataFrame, name: str, bits: int, blocks: int) -> DataFrame:
+def _tables(prints: DataFrame, name: str, bits: int, blocks: int, flips: int = 0) -> DataFrame:
     width = bits // 4 // blocks
-    cut = F.array(*(F.substring(name, k * width + 1, width) for k in range(blocks)))
-    return prints.select("*", F.posexplode(cut).alias("block", "key"))
+    cut = F.array(*(_block(name, k, width) for k in range(blocks)))
+    tables = prints.select("*", F.posexplode(cut).alias("block", "key"))
+    changes = [sum(1 << b for b in bits_) for n in range(flips + 1) for bits_ in itertools.combinations(range(4 * width), n)]
+    if flips:
+        changes = [c - (1 << 64) if c >> 63 else c for c in changes]
+        tables = tables.withColumn("change", F.explode(F.array(*map(F.lit, changes)).cast("array<long>")))
+        tables = tables.withColumn("key", F.col("key").bitwiseXOR(F.col("change"))).drop("change")
+    return tables.withColumn(name, F.unhex(name))
+
+
+def _block(name: str, k: int, width: int) -> Column:
+    return F.conv(F.substring(name, k * width + 1, width), 16, -10).cast("long")
 
 
 def within_radius(
-    queries: DataFrame, entries: DataFrame, column: str = "fingerprint", *, radius: int = RADIUS, bits: int = BITS, blocks: int = BLOCKS
+    queries: DataFrame, entries: DataFrame, column: str = "fingerprint", *, radius: int = RADIUS, bits: int = BITS, blocks: int = BLOCKS, flips: int = 0
 ) -> DataFrame:
     """All pairs ``query, found, distance`` of distinct fingerprints at most ``radius`` bits apart, equal ones included.
 
-    ``blocks`` must exceed ``radius``, so that no pair is missed, and divide the fingerprint's digits. Null fingerprints are left out.
+    ``blocks`` times ``flips`` + 1 must exceed ``radius``, so that no pair is missed, and ``blocks`` divide the fingerprint's digits into
+    blocks of at most 64 bits. Null fingerprints are left out.
     """
-    if blocks <= radius or (bits // 4) % blocks:
+    if blocks * (flips + 1) <= radius or (bits // 4) % blocks or bits // blocks > 64:
         raise ValueError("blocks must exceed radius and divide the digits of a fingerprint")
-    left = _tables(queries.select(F.col(column).alias("query")).where("query is not null").distinct(), "query", bits, blocks)
+    left = _tables(queries.select(F.col(column).alias("query")).where("query is not null").distinct(), "query", bits, blocks, flips)
     right = _tables(entries.select(F.col(column).alias("found")).where("found is not null").distinct(), "found", bits, blocks)
-    width = bits // 4 // blocks
-    piece = lambda c, k: F.substring(c, k * width + 1, width)
+    near = left.join(right, ["block", "key"]).select("block", F.lower(F.hex("query")).alias("query"), F.lower(F.hex("found")).alias("found"))
     first = F.lit(blocks)
     for k in reversed(range(blocks)):
-        first = F.when(piece("query", k) == piece("found", k), k).otherwise(first)
+        differ = F.bit_count(_block("query", k, bits // 4 // blocks).bitwiseXOR(_block("found", k, bits // 4 // blocks)))
+        first = F.when(differ <= flips, k).otherwise(first)
     apart = hamming(F.col("query"), F.col("found"), bits)
-    near = left.join(right, ["block", "key"]).where((first == F.col("block")) & (apart <= radius))
+    near = near.where((first == F.col("block")) & (apart <= radius))
     return near.select("query", "found", apart.alias("distance"))

@@ -95,6 +95,25 @@ def test_radius_search_equals_brute_force(spark):
         within_radius(df, df, radius=8)
 
 
+def test_wide_radius_equals_brute_force_and_gives_neighbours(spark, sf_dir):
+    found = op5_simhash(spark, sf_dir).collect()
+    prints = {r.fingerprint for r in found}
+    rnd = random.Random(9)
+    planted = [f"{int(p, 16) ^ sum(1 << b for b in rnd.sample(range(256), rnd.randint(8, 18))):064x}" for p in sorted(prints)[:40]]
+    df = spark.createDataFrame([(p,) for p in [*prints, *planted]], "fingerprint string")
+    near = {(r.query, r.found) for r in within_radius(df.where(F.col("fingerprint").isin(planted)), df, radius=15, flips=1).collect()}
+    apart = lambda a, b: (int(a, 16) ^ int(b, 16)).bit_count()
+    assert near == {(a, b) for a in planted for b in [*prints, *planted] if apart(a, b) <= 15} and len(near) > 60
+    with pytest.raises(ValueError):
+        within_radius(df, df, radius=16, flips=1)
+    for r in found:
+        if r.doc_id % 20:
+            assert r.neighbours is None
+        else:
+            want = {(apart(r.fingerprint, p), p, sum(x.fingerprint == p for x in found)) for p in prints if apart(r.fingerprint, p) <= 15}
+            assert {tuple(x) for x in r.neighbours} == want
+
+
 def test_odd_fingerprints(spark, odd_documents, no_documents):
     rows = fingerprint_documents(odd_documents).collect()
     assert len(rows) == odd_documents.count()
