@@ -8,7 +8,8 @@ texts' labels, the score of the text.
 
 The classifier is fitted on a bounded sample of labelled rows: words are counted in ``fit_texts`` texts of each
 label, those with the smallest hashes of their ids; the field and the logistic model see ``sample_texts`` of
-these, ``sample_words`` words of each. The shares of the labels are of all rows. So only ids are joined with
+these. The field is fitted on chains of words taken evenly from the whole of each, some ``sample_words`` words; the logistic model
+on what the field says of whole texts. The shares of the labels are of all rows. So only ids are joined with
 labels, and no text is shuffled. Scoring reads whole texts.
 """
 
@@ -159,6 +160,34 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
     return w
 
 
+def _chains(most: int):
+    """Each text's chains; of a text with more than ``most``, so many evenly from its first to its last."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            found, toxic = [], []
+            for text, label in zip(texts_of(batch.column("text")), batch.column("toxic").to_pylist()):
+                words = text.split()
+                chains = -(-len(words) // CHAIN)
+                for k in range(chains) if chains <= most else np.linspace(0, chains - 1, most).round().astype(int).tolist():
+                    found.append(b" ".join(words[k * CHAIN : (k + 1) * CHAIN]).decode("utf-8", "replace"))
+                    toxic.append(label)
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(toxic, pa.int32())], ["text", "toxic"])
+
+    return run
+
+
+def _summaries(field: Crf):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _WordFeatures()
+        for batch in pieces(batches, "text"):
+            words = Words(texts_of(batch.column("text")), lower=True)
+            x = _summary(field.marginals(*_features(words, known)), words)
+            yield pa.RecordBatch.from_arrays([pa.array(x.tolist(), pa.list_(pa.float64())), batch.column("toxic").cast(pa.int32())], ["x", "toxic"])
+
+    return run
+
+
 def fit(
     labelled: DataFrame, shares: dict[int, int], staging: Staging, sample_texts: int = SAMPLE_TEXTS, sample_words: int = SAMPLE_WORDS
 ) -> ToxicityModel:
@@ -178,12 +207,10 @@ def fit(
     markers = {bytes(r.word) for r in ranked.collect()}
 
     sample = labelled.where("text is not null")
-    picked = [
-        sample.where(F.col("toxic") == label).orderBy(F.xxhash64("id"), "id", "text").limit(sample_texts)
-        .select(F.concat_ws(" ", F.slice(F.split("text", "[ \\t\\n\\x0B\\f\\r]+"), 1, sample_words)).alias("text"), "toxic")
-        for label in (0, 1)
-    ]
-    rows = picked[0].union(picked[1]).collect()
+    picked = [sample.where(F.col("toxic") == label).orderBy(F.xxhash64("id"), "id", "text").limit(sample_texts).select("text", "toxic") for label in (0, 1)]
+    picked = staging.put(picked[0].union(picked[1]), "sample")  # at most 2 * sample_texts rows
+    rows = picked.mapInArrow(_chains(-(-sample_words // CHAIN)), "text string, toxic int").collect()
+    rows.sort()
     words = Words([r.text.encode() for r in rows], lower=True)
     features, chains = _features(words, _WordFeatures())
     tags = np.array([not markers.isdisjoint(_units(w)) for w in words.words], np.int64)
@@ -193,12 +220,14 @@ def fit(
     field = train(features, chains, tags, FEATURES) if len(tags) else Crf(np.zeros((FEATURES, 2)), np.array([0.0, -9.0]), np.zeros((2, 2)))
 
     # the sample is balanced, the corpus is not: weights of the logistic model restore the labels' shares
-    x, y = _summary(field.marginals(features, chains), words), np.array([r.toxic for r in rows], float)
+    field = Crf(field.weights.astype(np.float32), field.start, field.step)
+    seen = sorted(picked.mapInArrow(_summaries(field), "x array<double>, toxic int").collect())
+    x, y = np.array([r.x for r in seen]), np.array([r.toxic for r in seen], float)
     logistic = np.array([-4.0, 8.0, 0.0, 0.0, 0.0, 0.0])
     if 0 < y.sum() < len(y):
         logistic = _logistic(x, y)
         logistic[0] += math.log(shares[1] / shares[0]) - math.log(y.sum() / (len(y) - y.sum()))
-    return ToxicityModel(Crf(field.weights.astype(np.float32), field.start, field.step), logistic)
+    return ToxicityModel(field, logistic)
 
 
 def _score(model: ToxicityModel, threshold: float):

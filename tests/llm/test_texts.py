@@ -132,6 +132,22 @@ def test_toxic_words_are_found_with_offsets(spark):
     assert all([rows[k][1][s.start : s.end] for s in found[k].spans] == ["Schüft,"] for k in held if k % 4 == 0)
 
 
+def test_toxic_words_late_in_long_texts_are_learnt(spark):
+    """Toxic words only behind the first 1,000, and long clean texts: both are judged by all of their words."""
+    rnd = np.random.default_rng(8)
+    rows, labels = [], []
+    for k in range(300):
+        words = [f"wort{x}" for x in rnd.integers(0, 300, 1200 if k % 3 else 4000)]
+        toxic = k % 4 == 0
+        for _ in range(3 if toxic else 0):
+            words[int(rnd.integers(1000, 1200))] = "schuft"
+        rows.append((k, " ".join(words)))
+        labels.append((k, int(toxic)))
+    df, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    found = [r for r in toxicity(df, marks, id_remainder(F.col("doc_id"), 5) != 0).collect() if r.held_out]
+    assert len(found) > 30 and all(r.predicted == (r.doc_id % 4 == 0) for r in found)
+
+
 def test_held_out_toxicity(spark, sf_dir):
     rows = op6_toxicity(spark, sf_dir).collect()
     assert all(r.held_out == (remainder(r.doc_id, 5) == 0) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
