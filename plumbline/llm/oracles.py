@@ -94,3 +94,28 @@ FROM judged"""
 
 
 REPETITION = _repetition()
+
+HARD_NEGATIVES = """
+WITH valid AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS positive,
+    CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM valid a JOIN valid b ON a.vec_id <> b.vec_id
+  WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT * FROM pairs WHERE positive
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+), windows AS (
+  SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS place
+  FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.positive
+    AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM windows WHERE place <= 5
+"""

@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 
 from plumbline.llm import oracles
 from plumbline.llm.brown import class_scores
+from plumbline.llm.hard_negatives import mine_hard_negatives
 from plumbline.llm.hyperdim import identify
 from plumbline.llm.mixing import mix_to_targets
 from plumbline.llm.near_dup import near_duplicates
+from plumbline.llm.packing import pack_documents
 from plumbline.llm.personal_data import BASE_KINDS, find_personal_data, spelled
 from plumbline.llm.repetition import repetition
 from plumbline.llm.sentencepiece_bpe import decode, encode, read_model
 from plumbline.llm.simhash import RADIUS, WIDE_FLIPS, WIDE_RADIUS, fingerprint_documents, within_radius
 from plumbline.llm.toxicity import toxicity
 from plumbline.llm.urls import ALLOW, BLOCK, judge_urls
+from plumbline.llm.whitening import whitened_rows
 from plumbline.llm.words import documents, id_remainder
 from plumbline.sources.staging import Staging
 
@@ -92,6 +95,21 @@ def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return class_scores(documents(spark, sf_dir), id_remainder(F.col("doc_id"), 7) != 2)
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), keep_ids=False)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is added to all whole numbers alike leaves every column as it is, so it is not added."""
+    return whitened_rows(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(vectors, F.col("vec_id") % 100 == 0, label=label)
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_repetition": op2_repetition,
@@ -103,10 +121,14 @@ QUERIES = {
     "op8_url_rules": op8_url_rules,
     "op9_near_dup": op9_near_dup,
     "op10_class_lm": op10_class_lm,
+    "op11_packing": op11_packing,
+    "op12_whitening": op12_whitening,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES = {
     "op2_repetition": oracles.REPETITION,
     "op8_url_rules": oracles.URL_RULES,
     "op9_near_dup": oracles.NEAR_DUP,
+    "op13_hard_negatives": oracles.HARD_NEGATIVES,
 }
