@@ -24,7 +24,9 @@ from plumbline.llm.words import MIXER, mix, pieces, texts_of
 DIMENSIONS = 1024
 ORDER = 3
 UNDETERMINED = "und"
-_MATRIX_CELLS = 4_000_000
+_PIECE = 1 << 20  # bytes of text looked at together; a longer text comes alone
+_BLOCK = 4096  # n-grams whose vectors are held at once
+_MATRIX_CELLS = 2_000_000
 _GAP = 0  # what is no letter; a run of it is one symbol
 
 
@@ -57,22 +59,22 @@ class Profiles:
         out[far] = np.array([ord(c) if c.isalpha() else _GAP for c in lower], np.uint32)[at]
         return out
 
-    def count(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct n-grams (vectors, n-grams x dimensions), and for each n-gram in the texts: its text, its number. Last: which texts have a letter."""
+    def count(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Letters; distinct n-grams, as codes over them; for each n-gram in the texts its text (ascending) and its number; which texts have a letter."""
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         raw = np.frombuffer("\0".join(["", *texts, ""]).encode("utf-32-le", "replace"), np.uint32)
         symbol = self.letters(raw)
-        doc = np.zeros(len(raw), np.int64)
+        doc = np.zeros(len(raw), np.int32)
         starts = np.cumsum(np.concatenate([[1], sizes[:-1] + 1])) if len(texts) else np.empty(0, np.int64)
         doc[starts] = 1
-        doc = np.maximum(np.cumsum(doc) - 1, 0)
+        doc = np.maximum(np.cumsum(doc, dtype=np.int32) - 1, 0)
         some = np.bincount(doc[symbol != _GAP], minlength=len(texts)) > 0
         keep = np.concatenate([[True], (symbol[1:] != _GAP) | (symbol[:-1] != _GAP)])
         symbol, doc = symbol[keep], doc[keep]
         kinds, small = _number(symbol, 0x110000)
         n = self.order
         if len(symbol) < n:
-            return np.zeros((0, self.dimensions), np.float32), np.empty(0, np.int64), np.empty(0, np.int64), some
+            return kinds, np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int64), some
         code = np.zeros(len(symbol) - n + 1, np.int64)
         for k in range(n):
             code = code * len(kinds) + small[k : len(small) - n + 1 + k]
@@ -83,13 +85,38 @@ class Profiles:
             inner &= symbol[k : len(symbol) - n + 1 + k] != _GAP
         code, owner = code[inner], owner[inner]
         grams, number = _number(code, len(kinds) ** n)
-        vectors = letter_vectors(kinds, self.dimensions)
+        return kinds, grams, owner, number, some
+
+    def bind(self, letters: np.ndarray, grams: np.ndarray) -> np.ndarray:
+        """Vectors of n-grams, n-grams x dimensions."""
         bound = np.ones((len(grams), self.dimensions), np.int8)
-        rest = grams
-        for k in range(n):
-            bound *= np.roll(vectors, k, axis=1)[rest % len(kinds)]
-            rest = rest // len(kinds)
-        return bound.astype(np.float32), owner, number, some
+        for k in range(self.order):
+            bound *= np.roll(letters, k, axis=1)[grams % len(letters)]
+            grams = grams // len(letters)
+        return bound
+
+    def bundle(self, texts: list[str], rows: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sums of the vectors of all n-grams (``size`` x dimensions; text i adds to ``rows[i]``), and which texts have a letter.
+
+        Vectors exist for one block of n-grams at a time, whatever the number of distinct ones. Sums are exact.
+        """
+        kinds, grams, owner, number, some = self.count(texts)
+        letters, kind = letter_vectors(kinds, self.dimensions), np.float32 if len(owner) < 1 << 24 else np.float64
+        out, owner = np.zeros((size, self.dimensions), kind), rows[owner]
+        if len(grams) > _BLOCK:
+            order = np.argsort(number // _BLOCK, kind="stable")
+            owner, number = owner[order], number[order]
+        ends = np.searchsorted(number // _BLOCK, np.arange(-(-len(grams) // _BLOCK) + 1)) if len(grams) > _BLOCK else [0, len(number)]
+        for k, lo in enumerate(range(0, len(grams), _BLOCK)):
+            to, at = owner[ends[k] : ends[k + 1]], number[ends[k] : ends[k + 1]] - lo
+            vectors = self.bind(letters, grams[lo : lo + _BLOCK]).astype(kind)
+            step = max(1, _MATRIX_CELLS // len(vectors))
+            for first in range(0, size, step):
+                last = min(first + step, size)
+                mine = slice(None) if last - first == size else (to >= first) & (to < last)
+                counts = np.bincount((to[mine] - first) * len(vectors) + at[mine], minlength=(last - first) * len(vectors))
+                out[first:last] += counts.reshape(last - first, -1).astype(kind) @ vectors
+        return out, some
 
 
 def _number(values: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
@@ -113,13 +140,11 @@ def _bundle(dimensions: int, order: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiles, totals = Profiles(dimensions, order), {}
-        for batch in pieces(batches, "text", 2 << 20):
+        for batch in pieces(batches, "text", _PIECE):
             languages = batch.column("lang").to_pylist()
             names = sorted(set(languages))
             which = np.array([names.index(x) for x in languages])
-            vectors, owner, number, _ = profiles.count(_texts(batch, "text"))
-            counts = np.bincount(which[owner] * len(vectors) + number, minlength=len(names) * len(vectors))
-            added = counts.reshape(len(names), -1).astype(np.float64) @ vectors  # whole numbers below 2 ** 53
+            added, _ = profiles.bundle(_texts(batch, "text"), which, len(names))
             for name, vector in zip(names, added.astype(np.int64)):
                 totals[name] = totals.get(name, 0) + vector
         for name, vector in totals.items():
@@ -152,18 +177,12 @@ def _predict(names: list[str], prototypes: np.ndarray, dimensions: int, order: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiles = Profiles(dimensions, order)
-        for batch in pieces(batches, text_column, 2 << 20):
-            vectors, owner, number, some = profiles.count(_texts(batch, text_column))
-            picked, score = np.zeros(len(some), np.int64), np.zeros(len(some))
-            step = max(1, _MATRIX_CELLS // max(1, len(vectors)))
-            bounds = np.searchsorted(owner, np.arange(0, len(some) + step, step))
-            for k, lo in enumerate(range(0, len(some), step)):
-                hi, part = min(lo + step, len(some)), slice(bounds[k], bounds[k + 1])
-                counts = np.bincount((owner[part] - lo) * len(vectors) + number[part], minlength=(hi - lo) * len(vectors))
-                texts = _unit(counts.reshape(hi - lo, -1).astype(np.float32) @ vectors)
-                cosine = _unit(texts - shared) @ centred.T
-                picked[lo:hi] = cosine.argmax(axis=1) if len(names) else 0
-                score[lo:hi] = cosine.max(axis=1) if len(names) else 0
+        for batch in pieces(batches, text_column, _PIECE):
+            texts = _texts(batch, text_column)
+            bundles, some = profiles.bundle(texts, np.arange(len(texts)), len(texts))
+            cosine = _unit(_unit(bundles.astype(np.float32)) - shared) @ centred.T
+            picked = cosine.argmax(axis=1) if names else np.zeros(len(texts), np.int64)
+            score = cosine.max(axis=1) if names else np.zeros(len(texts))
             known = some & bool(names)
             answer = [names[p] if yes else UNDETERMINED for p, yes in zip(picked.tolist(), known.tolist())]
             yield pa.RecordBatch.from_arrays(
