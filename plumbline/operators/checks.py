@@ -8,8 +8,9 @@ derived set of bad keys. A ``SqlCheck`` takes the rows of a query.
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import date
 from decimal import Decimal, InvalidOperation
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.expressions import named, row_key
-from plumbline.operators.probe import KeySet, broadcast_limit, hashable, probe, stage_keys
+from plumbline.operators.probe import KeySet, broadcast_limit, hashable, measured_sets, probe, stage_keys
 from plumbline.spec import RuleError, RuleSpec
 from plumbline.sources.staging import Staging
 
@@ -73,10 +74,23 @@ class KeyedCheck(Check):
     find_bad_keys: Callable[[DataFrame, Staging | None], DataFrame] = None
     null_safe: bool = False
     key_set: KeySet | None = None
+    columns: list[Column] = None
+    kinds: list[T.DataType] = None
+
+    @property
+    def packs(self) -> bool:
+        """Whether the check's repeated keys can be found together with those of other checks."""
+        return self.columns is not None and all(_has_bytes(kind) for kind in self.kinds)
+
+    def packed(self) -> Column:
+        return packed_key(self.columns, self.kinds)
+
+    def judges(self) -> Column:
+        """Whether the check looks at a row."""
+        return self.in_scope(F.lit(True) if self.missing is None else ~self.missing)
 
     def judged(self, df: DataFrame) -> DataFrame:
-        present = F.lit(True) if self.missing is None else ~self.missing
-        return df.filter(self.in_scope(present))
+        return df.filter(self.judges())
 
     def prepare(self, df: DataFrame, staging: Staging) -> None:
         if self.key_set is None:
@@ -110,12 +124,83 @@ def compact(key: Column, kind: T.DataType) -> Column:
     return F.when(F.octet_length(data) <= WIDE_KEY_BYTES, F.concat(F.lit(b"\x00"), data)).otherwise(digest)
 
 
+def keyless(kind: T.DataType) -> bool:
+    """Whether a type has no equality of its own: maps and variants, and what holds them."""
+    if isinstance(kind, T.ArrayType):
+        return keyless(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(keyless(field.dataType) for field in kind.fields)
+    return isinstance(kind, (T.MapType, T.VariantType))
+
+
+def canonical(value: Column, kind: T.DataType) -> Column:
+    """A value with equality for one without: a map is its entries in the order of their keys, a variant its text."""
+    if not keyless(kind):
+        return value
+    if isinstance(kind, T.VariantType):
+        return F.to_json(value)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: canonical(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        # Keys are unique, so their order is that of the entries.
+        entry = lambda x: F.struct(x["key"].alias("key"), canonical(x["value"], kind.valueType).alias("value"))
+        return F.transform(F.array_sort(F.map_keys(value)), lambda k: entry(F.struct(k.alias("key"), F.get(F.map_values(value), F.array_position(F.map_keys(value), k).cast("int") - 1).alias("value"))))
+    fields = [canonical(value.getField(f.name), f.dataType).alias(f.name) for f in kind.fields]
+    return F.when(value.isNotNull(), F.struct(*fields))
+
+
+def _has_bytes(kind: T.DataType) -> bool:
+    """Whether a type's equality is that of some bytes."""
+    return isinstance(kind, (T.NumericType, T.BooleanType, T.DatetimeType, T.BinaryType)) or (isinstance(kind, T.StringType) and hashable(kind))
+
+
+def _bytes_of(value: Column, kind: T.DataType) -> Column:
+    """Bytes that are the same for equal values only."""
+    if isinstance(kind, (T.BinaryType, T.StringType)):
+        return value.cast("binary")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value).cast("string").cast("binary")  # as text, an hour of autumn comes twice
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.when(value == 0, F.lit(0.0).cast(kind)).otherwise(value).cast("string").cast("binary")  # 0.0 equals -0.0
+    return value.cast("string").cast("binary")
+
+
+def packed_key(columns: list[Column], kinds: list[T.DataType]) -> Column:
+    """Key columns as one short binary value, equal for equal keys only (nulls are equal)."""
+    parts = []
+    for column, kind in zip(columns, kinds):
+        data = _bytes_of(column, kind)
+        size = F.lpad(F.octet_length(data).cast("string"), 10, "0").cast("binary")
+        parts.append(F.coalesce(F.concat(size, data), F.lit(b"-")))
+    return compact(F.concat(*parts), T.BinaryType())
+
+
 def repeated(rows: DataFrame, keys: list[Column]) -> DataFrame:
     """Keys that occur more than once. Counts combine map-side, so a hot key is cheap."""
     counted = rows.groupBy(*[key.alias(f"_k{i}") for i, key in enumerate(keys)]).agg(F.count(F.lit(1)).alias("n"))
     return counted.filter(F.col("n") > 1)
 
 
+def repeated_of_all(df: DataFrame, checks: list[KeyedCheck]) -> DataFrame:
+    """Repeated keys of several uniqueness rules, from one scan: ``rule`` (the check's place), ``_k0``, ``n``.
+
+    A row goes into the aggregation once for each rule that judges it, with the rule and the packed key.
+    """
+    judged = [F.when(check.judges(), F.struct(F.lit(i).alias("rule"), check.packed().alias("_k0"))) for i, check in enumerate(checks)]
+    rows = df.select(F.explode(F.array(*judged)).alias("x")).filter(F.col("x").isNotNull()).select("x.*")
+    return rows.groupBy("rule", "_k0").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+
+
+def prepare_repeated(df: DataFrame, checks: list[KeyedCheck], staging: Staging) -> None:
+    """Prepare uniqueness rules that have packed keys together; a rule's set is then that of its packed keys."""
+    if len(checks) == 1:
+        checks[0].prepare(df, staging)
+        return
+    staged = staging.put(repeated_of_all(df, checks), "bad-keys")
+    for (i, check), keys in zip(enumerate(checks), measured_sets(staged, "rule", len(checks))):
+        check.key_set, check.keys, check.null_safe = keys, [check.packed()], False
+
+
 @dataclass
 class SqlCheck(Check):
     query: str = ""
@@ -126,11 +211,13 @@ class SqlCheck(Check):
     def rows(self, df: DataFrame) -> DataFrame:
         """Key and value of every row the query returns for the rows in scope."""
         view = f"batch_{uuid.uuid4().hex}"
+        query = self.query.replace("{batch}", view).strip().rstrip(";")
+        # Alone first: a text that is no query by itself must not become one inside the parentheses below.
+        df.sparkSession._jsparkSession.sessionState().sqlParser().parsePlan(query)
         scoped = df if self.scope is None else df.filter(self.scope)
         scoped.createOrReplaceTempView(view)
         try:
             # As a subquery, so that a command is refused when it is parsed, before it has any effect.
-            query = self.query.replace("{batch}", view).strip().rstrip(";")
             result = df.sparkSession.sql(f"SELECT * FROM (\n{query}\n)")
         finally:
             df.sparkSession.catalog.dropTempView(view)
@@ -148,8 +235,16 @@ class SqlCheck(Check):
             ).first()
 
 
+def has_column(df: DataFrame, name: str) -> bool:
+    """Whether a table has a column of that name, by the session's rule for upper and lower case."""
+    if name in df.columns:
+        return True
+    sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive").lower() == "true"
+    return not sensitive and name.lower() in map(str.lower, df.columns)
+
+
 def _value_column(spec: RuleSpec, df: DataFrame) -> Column:
-    if spec.column and spec.column in df.columns:
+    if spec.column and has_column(df, spec.column):
         return named(spec.column).cast("string")
     return F.lit(None).cast("string")
 
@@ -166,12 +261,47 @@ def fitting_member(given: T.DataType, kind: T.DataType) -> Column:
     return F.when(member.try_cast(given) == F.col("_k0"), member).alias("_k0")
 
 
+def fits(value, kind: T.DataType) -> bool:
+    """Whether a number can equal one of a whole-number type; anything else is left to its literal."""
+    if not isinstance(kind, T.IntegralType) or isinstance(value, bool):
+        return True
+    try:
+        number = Decimal(str(value))
+    except InvalidOperation:
+        return True
+    return number.is_finite() and number == number.to_integral_value() and -(2**63) <= number < 2**63
+
+
+# The beginning of a subquery, once quoted texts are taken out of a condition.
+_QUOTED = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`")
+_SUBQUERY = re.compile(r"\(\s*(?:select|with|from|values|table)\b", re.IGNORECASE)
+
+
+def condition_of(spec: RuleSpec) -> str:
+    """The rule's row condition; empty without one."""
+    condition = spec.condition or spec.arguments.get("row_condition") or ""
+    return condition.strip() if isinstance(condition, str) else ""
+
+
+def has_subquery(condition: str) -> bool:
+    return bool(_SUBQUERY.search(_QUOTED.sub("''", condition)))
+
+
+def columns_named(spec: RuleSpec, df: DataFrame) -> list[str]:
+    """The table's columns that a rule without a condition can look at."""
+    def texts(value) -> Iterable[str]:
+        return [value] if isinstance(value, str) else [v for v in value if isinstance(v, str)] if isinstance(value, list) else []
+
+    wanted = {*spec.key_columns, spec.column or "", *(name for value in spec.arguments.values() for name in texts(value))}
+    lowered = {name.lower() for name in wanted}
+    return [name for name in df.columns if name.lower() in lowered]
+
+
 class _Builder:
     """Reads the arguments of one rule against the table it checks."""
 
     def __init__(self, spec: RuleSpec, df: DataFrame, read_table: ReadTable, today: date):
         self.spec, self.df, self.read_table, self.today = spec, df, read_table, today
-        self.types = {field.name: field.dataType for field in df.schema.fields}
         condition = (spec.condition or self.argument("row_condition", str, "")).strip()
         self.scope = F.expr(condition) if condition else None
 
@@ -197,10 +327,19 @@ class _Builder:
         name = self.argument(argument, str, default)
         if not name:
             raise RuleError("bad_arguments", f"argument {argument} is missing")
-        if name not in self.types:
-            raise RuleError("unknown_column", f"no column {name} in {self.spec.asset}")
+        self.require(name)
         return name
 
+    def require(self, name: str) -> None:
+        if not has_column(self.df, name):
+            raise RuleError("unknown_column", f"no column {name} in {self.spec.asset}")
+
+    def type_of(self, name: str) -> T.DataType:
+        kinds = {field.name: field.dataType for field in self.df.schema.fields}
+        if name not in kinds:
+            kinds = {other.lower(): kind for other, kind in kinds.items()}
+        return kinds[name if name in kinds else name.lower()]
+
     def domain(self) -> str:
         return self.column_name(default=self.spec.column)
 
@@ -219,7 +358,8 @@ class _Builder:
             if not number.is_finite():
                 raise RuleError("bad_arguments", f"{value!r} is not a finite number")
             if isinstance(kind, T.DecimalType):
-                return F.lit(number)
+                # Beyond the digits of a decimal all of them compare alike with a double.
+                return F.lit(number if max(number.adjusted() + 1, 0) - min(number.as_tuple().exponent, 0) <= 38 else exact)
             return F.lit(int(number) if number == number.to_integral_value() and abs(number) < 2**63 else float(number))
         if isinstance(value, bool) and isinstance(kind, T.BooleanType):
             return F.lit(value)
@@ -239,7 +379,8 @@ class _Builder:
 
     def unique_check(self, missing: Column | None, names: list[str], null_safe: bool = False) -> KeyedCheck:
         """Bad keys are those that occur more than once."""
-        keys = [compact(named(name), self.types[name]) for name in names]
+        kinds = [self.type_of(name) for name in names]
+        keys = [compact(canonical(named(name), kind), kind) for name, kind in zip(names, kinds)]
         return KeyedCheck(
             spec=self.spec,
             scope=self.scope,
@@ -248,6 +389,8 @@ class _Builder:
             keys=keys,
             find_bad_keys=lambda judged, _: repeated(judged, keys),
             null_safe=null_safe,
+            columns=[named(name) for name in names],
+            kinds=kinds,
         )
 
     # -- checks ------------------------------------------------------------
@@ -286,7 +429,7 @@ class _Builder:
         return self.column_check(lambda x: ~x.cast("string").like(pattern))
 
     def between(self) -> RowCheck:
-        kind = self.types[self.domain()]
+        kind = self.type_of(self.domain())
         low, high = self.spec.arguments.get("min_value"), self.spec.arguments.get("max_value")
         if low is None and high is None:
             raise RuleError("bad_arguments", "one of min_value and max_value is needed")
@@ -323,8 +466,8 @@ class _Builder:
         values = self.argument("value_set", (list, str))
         if isinstance(values, str):
             return self.in_table(values, negated)
-        kind = self.types[self.domain()]
-        members = [self.literal(v, kind) for v in values if v is not None]
+        kind = self.type_of(self.domain())
+        members = [self.literal(v, kind) for v in values if v is not None and fits(v, kind)]
         if not members:
             # Membership of an empty set is false even for nulls.
             return self.column_check(lambda x: F.lit(False) if negated else x.isNotNull())
@@ -335,7 +478,7 @@ class _Builder:
         if not table or not member:
             raise RuleError("bad_arguments", f"value_set is neither a list nor table.column: {reference}")
         domain = self.domain()
-        kind, x = self.types[domain], named(domain)
+        kind, x = self.type_of(domain), named(domain)
         try:
             members = self.read_table(table).select(named(member).alias("_k0"))
             members = members.select(fitting_member(members.schema["_k0"].dataType, kind)).dropna().distinct()
@@ -377,8 +520,7 @@ class _Builder:
     def compound_unique(self) -> KeyedCheck:
         names = self.texts("column_list")
         for name in names:
-            if name not in self.types:
-                raise RuleError("unknown_column", f"no column {name} in {self.spec.asset}")
+            self.require(name)
         if len(names) < 2:
             raise RuleError("bad_arguments", "column_list needs two or more columns")
         columns = [named(name) for name in names]
@@ -423,7 +565,7 @@ def build_check(spec: RuleSpec, df: DataFrame, read_table: ReadTable, today: dat
     if isinstance(check, SqlCheck):
         check.rows(df)
     else:
-        unknown = [name for name in spec.key_columns if name not in df.columns]
+        unknown = [name for name in spec.key_columns if not has_column(df, name)]
         if unknown:
             raise RuleError("bad_key", f"no key columns {unknown} in {spec.asset}")
         predicates = [p for p in (check.scope, check.missing, getattr(check, "bad", None)) if p is not None]

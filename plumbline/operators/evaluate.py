@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date
 from functools import partial, reduce
 
@@ -12,6 +12,7 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.functions.expressions import named
 from plumbline.operators.checks import (
     Check,
     KeyedCheck,
@@ -19,6 +20,10 @@ from plumbline.operators.checks import (
     RowCheck,
     SqlCheck,
     build_check,
+    columns_named,
+    condition_of,
+    has_subquery,
+    prepare_repeated,
 )
 from plumbline.operators.probe import broadcast_limit
 from plumbline.operators.together import together
@@ -31,6 +36,8 @@ from plumbline.sources.staging import Staging
 COUNTERS_PER_SCAN = 30
 ROW_RULES_PER_SCAN = 100
 KEYED_RULES_PER_SCAN = 20
+# Packing keys costs more than a scan or two of their columns: with fewer uniqueness rules each is faster by itself.
+PACKED_RULES_FROM = 4
 
 # The rule that a repeated row breaks; a name that no checked table should use.
 RULE = "_plumbline_rule"
@@ -251,11 +258,90 @@ def check_table(
     df: DataFrame, specs: Sequence[RuleSpec], read_table: ReadTable, today: date, staging: Staging
 ) -> tuple[DataFrame, DataFrame]:
     """Measures per rule and exception rows of rules that are known to be sound."""
-    checks = [build_check(spec, df, read_table, today) for spec in specs]
-    prepared = [check for check in checks if isinstance(check, (KeyedCheck, SqlCheck))]
-    together(df.sparkSession, [partial(check.prepare, df, staging) for check in prepared])
-    stored = [check for check in checks if check.stores_rows]
-    return measures(raw_counts(df, checks)), exception_rows(df, stored)
+    plain, scoped = _by_scope(specs)
+    counts, rows = [], []
+    for part, some in [(df, plain), *((_rows_in_scope(df, condition, some, staging), some) for condition, some in scoped.items())]:
+        if not some:
+            continue
+        checks = [build_check(spec if part is df else _unconditional(spec), part, read_table, today) for spec in some]
+        _prepare(part, checks, staging, None)
+        counted = raw_counts(part, checks)
+        counts.append(counted if part is df else counted.withColumn("table_count", F.lit(df.count())))
+        rows.append(exception_rows(part, [check for check in checks if check.stores_rows]))
+    return measures(reduce(DataFrame.unionAll, counts)), reduce(DataFrame.unionAll, rows)
+
+
+def _by_scope(specs: Sequence[RuleSpec]) -> tuple[list[RuleSpec], dict[str, list[RuleSpec]]]:
+    """Rules to check on the table, and those on its rows in a scope that only a filter can tell: a condition with a subquery.
+
+    A query of the rule's own filters its rows itself.
+    """
+    plain, scoped = [], {}
+    for spec in specs:
+        own = spec.check == "UnexpectedRowsExpectation" or not has_subquery(condition_of(spec))
+        (plain if own else scoped.setdefault(condition_of(spec), [])).append(spec)
+    return plain, scoped
+
+
+def _rows_in_scope(df: DataFrame, condition: str, specs: Sequence[RuleSpec], staging: Staging) -> DataFrame:
+    """The rows that a condition holds for, with the columns of some rules, staged: their counts and their rows are of the same ones."""
+    wanted = {name for spec in specs for name in columns_named(spec, df)}
+    rows = df.filter(F.expr(condition)).select(*[named(name) for name in df.columns if name in wanted])
+    return staging.put(rows.hint("rebalance"), "scope")
+
+
+def _unconditional(spec: RuleSpec) -> RuleSpec:
+    return replace(spec, condition=None, arguments={k: v for k, v in spec.arguments.items() if k != "row_condition"})
+
+
+def _prepare(df: DataFrame, checks: Sequence[Check], staging: Staging, failed: Callable[[Check, RuleError], None] | None) -> None:
+    """Find bad keys and rows of queries. Uniqueness rules share a scan; without ``failed`` errors are raised."""
+    keyed = [check for check in checks if isinstance(check, KeyedCheck) and check.packs]
+    keyed = keyed if len(keyed) >= PACKED_RULES_FROM else []
+    groups = [keyed[i : i + KEYED_RULES_PER_SCAN] for i in range(0, len(keyed), KEYED_RULES_PER_SCAN)]
+    others = [[check] for check in checks if isinstance(check, (KeyedCheck, SqlCheck)) and check not in keyed]
+
+    def work(some: list[Check]) -> None:
+        if some[0] in keyed:
+            prepare_repeated(df, some, staging)
+        else:
+            some[0].prepare(df, staging)
+
+    def attempt(group: list[Check]) -> list[tuple[Check, RuleError]]:
+        found = []
+        if failed is None:
+            work(group)
+        else:
+            isolate(work, group, lambda check, error: found.append((check, error)))
+        return found
+
+    for found in together(df.sparkSession, [partial(attempt, group) for group in [*groups, *others]]):
+        for check, error in found:
+            failed(check, error)
+
+
+def evaluate_all(
+    df: DataFrame, specs: Sequence[RuleSpec], read_table: ReadTable, today: date, staging: Staging
+) -> list[Evaluation]:
+    """Check one table: one evaluation of the whole table, and one for each scope that only a filter can tell."""
+    plain, scoped = _by_scope(specs)
+    whole = evaluate(df, plain, read_table, today, staging)
+    if not plain:
+        whole.table_count = df.count()
+    results = [whole]
+    for condition, some in scoped.items():
+        try:
+            rows = _rows_in_scope(df, condition, some, staging)
+        except Exception as error:
+            fault = as_rule_error(error)
+            part = Evaluation(df, some, errors={spec.rule_key: fault for spec in some})
+        else:
+            part = evaluate(rows, [_unconditional(spec) for spec in some], read_table, today, staging)
+        part.table_count = whole.table_count
+        for row in part.counts.values():
+            row["table_count"] = whole.table_count
+        results.append(part)
+    return results
 
 
 def evaluate(
@@ -276,16 +362,7 @@ def evaluate(
         result.checks.remove(check)
         result.errors[check.rule_key] = error
 
-    def prepare(check: Check) -> RuleError | None:
-        try:
-            check.prepare(df, staging)
-        except Exception as error:
-            return as_rule_error(error)
-
-    prepared = [check for check in result.checks if isinstance(check, (KeyedCheck, SqlCheck))]
-    for check, error in zip(prepared, together(df.sparkSession, [partial(prepare, check) for check in prepared])):
-        if error is not None:
-            failed(check, error)
+    _prepare(df, list(result.checks), staging, failed)
 
     def count(checks: list[Check]) -> None:
         for row in raw_counts(df, checks).collect():
@@ -308,9 +385,7 @@ def as_rule_error(error: Exception) -> RuleError:
     return RuleError("analysis" if isinstance(error, AnalysisException) else "runtime", message)
 
 
-def isolate(
-    work: Callable[[list[Check]], None], checks: list[Check], failed: Callable[[Check, RuleError], None]
-) -> None:
+def isolate(work: Callable[[list], None], checks: list, failed: Callable[[object, RuleError], None]) -> None:
     """Do fused work; when a rule breaks it, halve the rules until the broken ones stand alone."""
     if not checks:
         return

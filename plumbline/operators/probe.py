@@ -44,17 +44,28 @@ class KeySet:
 def stage_keys(keys: DataFrame, staging: Staging, label: str) -> KeySet:
     """Materialise unique keys and measure them, so a broadcast has a proven bound."""
     staged = staging.put(keys, label)
+    return KeySet(staged, *staged.agg(*_measures(staged)).first())
+
+
+def measured_sets(staged: DataFrame, part: str, parts: int) -> list[KeySet]:
+    """The key sets of a staged table of several, told apart by a number from 0; measured in one pass."""
+    sizes = {row[0]: row[1:] for row in staged.groupBy(part).agg(*_measures(staged)).collect()}
+    keys = [staged.filter(F.col(part) == i).drop(part) for i in range(parts)]
+    return [KeySet(keys[i], *sizes.get(i, (0, 0, 0))) for i in range(parts)]
+
+
+def _measures(staged: DataFrame) -> list[Column]:
+    """Keys, rows they stand for, bytes."""
 
     def width(field) -> Column:
         if isinstance(field.dataType, (T.NumericType, T.BooleanType, T.DatetimeType)):
             return F.lit(_BYTES_PER_FIELD)
+        if isinstance(field.dataType, T.BinaryType):
+            return F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)) + _BYTES_PER_FIELD
         return F.coalesce(F.octet_length(F.col(field.name).cast("string")), F.lit(0)) + _BYTES_PER_FIELD
 
     size = reduce(lambda a, b: a + b, [width(field) for field in staged.schema.fields])
-    key_count, row_count, size_in_bytes = staged.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(size.cast("long")), F.lit(0))
-    ).first()
-    return KeySet(staged, key_count, row_count, size_in_bytes)
+    return [F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(size.cast("long")), F.lit(0))]
 
 
 def hashable(kind: T.DataType) -> bool:

@@ -13,15 +13,16 @@ from pyspark.sql import functions as F
 from plumbline.functions.expressions import NULL_TEXT, generated_id
 from plumbline.operators import ledger as L
 from plumbline.operators.align import align_to_schema
-from plumbline.operators.checks import ReadTable
+from plumbline.operators.checks import Check, ReadTable
 from plumbline.operators.evaluate import (
     COLUMN,
     EXCEPTION_ROWS,
     RAW_COUNTS,
     Evaluation,
     as_rule_error,
-    evaluate,
+    evaluate_all,
     exception_rows,
+    isolate,
     measures,
 )
 from plumbline.operators.numbering import number_staged_rows
@@ -49,6 +50,8 @@ class RunResult:
     exceptions: DataFrame
     errors: DataFrame
     staging: Staging
+    last_validation_key: int
+    last_exception_key: int
 
 
 def run_rules(
@@ -88,29 +91,46 @@ def run_rules(
     nothing_counted = {"check_kind": COLUMN, "mostly": 1.0} | dict.fromkeys(
         ["table_count", "scope_count", "missing_count", "bad_count"], 0
     )
-    raw = [({"rule_key": s.rule_key} | nothing_counted | counts.get(s.rule_key, {})) for s in reported]
-    measured = measures(local_rows(spark, [tuple(row.values()) for row in raw], RAW_COUNTS)).withColumn(
-        # A rule that could not be checked has not succeeded.
-        "success_flag", F.col("success_flag") & ~F.col("rule_key").isin(*errors)
-    )
+
+    def measured_now() -> DataFrame:
+        raw = [
+            {"rule_key": s.rule_key} | nothing_counted | (counts.get(s.rule_key, {}) if s.rule_key not in errors else {})
+            for s in reported
+        ]
+        return measures(local_rows(spark, [tuple(row.values()) for row in raw], RAW_COUNTS)).withColumn(
+            # A rule that could not be checked has not succeeded.
+            "success_flag", F.col("success_flag") & ~F.col("rule_key").isin(*errors)
+        )
+
+    measured = measured_now()
     unsuccessful = measured.filter(~F.col("success_flag")).select("rule_key")
     failing = {row["rule_key"] for row in unsuccessful.collect()} & set(checks)
     kept = {key for key, check in checks.items() if check.stores_rows}
+    bad = {key for key in kept if counts[key]["bad_count"] > 0}
+
+    def spoilt(place: tuple[Evaluation, Check], error: RuleError) -> None:
+        """A rule whose rows cannot be made counts as one that could not be checked."""
+        errors[place[1].rule_key] = error
+        kept.discard(place[1].rule_key)
+
+    staged = _stage_exceptions(evaluations, bad & failing, staging, spoilt)
 
     # Earlier exceptions matter only for rules whose failing rows are known now.
+    compared = {key: execution_key - 1 for key in kept} if previous is None else previous
+
+    def earlier() -> DataFrame:
+        return L.prior_open(ledger, {key: run for key, run in compared.items() if key in kept})
+
     prior, prior_rules = None, set()
     if ledger is not None and kept:
-        compared = {key: execution_key - 1 for key in kept}
-        if previous is not None:
-            compared = {key: previous[key] for key in kept if key in previous}
-        prior = L.prior_open(ledger, compared)
+        prior = earlier()
         prior_rules = {row["rule_key"] for row in prior.select("rule_key").distinct().collect()}
-
-    bad = {key for key in kept if counts[key]["bad_count"] > 0}
-    staged = _stage_exceptions(evaluations, bad & failing, staging)
     # Rows that still fail under a rule that passes as a whole (``mostly``) are not
     # exceptions, but they are not fixed either.
-    tolerated = _stage_exceptions(evaluations, (bad - failing) & prior_rules, staging)
+    tolerated = _stage_exceptions(evaluations, (bad - failing) & prior_rules, staging, spoilt)
+    if not prior_rules <= kept:
+        prior, prior_rules = earlier(), prior_rules & kept
+    measured = measured_now()
 
     # Of the rows that are stored, not of the scan that counted: a condition may look at the clock.
     stored_counts = {} if staged is None else dict(staged.groupBy("rule_key").count().collect())
@@ -128,7 +148,7 @@ def run_rules(
         ],
         RULE_RUN,
     )
-    exceptions, compared_counts = _classify(
+    exceptions, compared_counts, fixed_count = _classify(
         spark, staged, tolerated, prior if prior_rules else None, rule_run, execution_key, now,
         last_exception_key, sum(stored_counts.values()), staging,
     )
@@ -138,6 +158,8 @@ def run_rules(
         exceptions=exceptions,
         errors=local_rows(spark, [(k, e.reason, e.message) for k, e in sorted(errors.items())], RULE_ERRORS),
         staging=staging,
+        last_validation_key=last_validation_key + len(reported),
+        last_exception_key=last_exception_key + sum(stored_counts.values()) + fixed_count,
     )
 
 
@@ -153,40 +175,54 @@ def _evaluate_assets(
         by_asset.setdefault(spec.asset, []).append(spec)
     errors: dict[int, RuleError] = {}
 
-    def evaluate_asset(asset: str) -> Evaluation | None:
+    def evaluate_asset(asset: str) -> list[Evaluation]:
         try:
             df = read_asset(by_asset[asset][0])
         except Exception as error:
             fault = as_rule_error(error)
             for spec in by_asset[asset]:
                 errors[spec.rule_key] = RuleError("asset", f"cannot read {asset}: {fault.message}")
-            return None
-        return evaluate(df, by_asset[asset], read_table, today, staging)
+            return []
+        return evaluate_all(df, by_asset[asset], read_table, today, staging)
 
     evaluated = together(spark, [partial(evaluate_asset, asset) for asset in sorted(by_asset)], parallel)
-    evaluations = [evaluation for evaluation in evaluated if evaluation is not None]
+    evaluations = [evaluation for some in evaluated for evaluation in some]
     for evaluation in evaluations:
         errors.update(evaluation.errors)
     return evaluations, errors
 
 
-def _stage_exceptions(evaluations: Sequence[Evaluation], wanted: set[int], staging: Staging) -> DataFrame | None:
-    """Write the failing rows of the wanted rules of all tables once."""
+def _stage_exceptions(
+    evaluations: Sequence[Evaluation], wanted: set[int], staging: Staging, failed: Callable[[tuple, RuleError], None]
+) -> DataFrame | None:
+    """Write the failing rows of the wanted rules of all tables once.
+
+    A rule that cannot make its rows is told to ``failed``; what others wrote while it was looked for is kept.
+    """
+    places = [(e, check) for e in evaluations for check in e.checks if check.rule_key in wanted]
+    parts: list[DataFrame] = []
+    isolate(lambda some: parts.append(staging.put(_rows_of(some), "exceptions")), places, failed)
+    if len(parts) > 1:
+        return staging.put(reduce(DataFrame.unionAll, parts), "exceptions")
+    return parts[0] if parts else None
+
+
+def _rows_of(places: Sequence[tuple[Evaluation, Check]]) -> DataFrame:
+    by_table: dict[int, tuple[Evaluation, list[Check]]] = {}
+    for evaluation, check in places:
+        by_table.setdefault(id(evaluation), (evaluation, []))[1].append(check)
     parts = []
-    for evaluation in evaluations:
-        checks = [check for check in evaluation.checks if check.rule_key in wanted]
-        if not checks:
-            continue
+    for evaluation, checks in by_table.values():
         rows = exception_rows(evaluation.df, checks)
         bad = sum(evaluation.counts[check.rule_key]["bad_count"] for check in checks)
         parts.append(rows.hint("rebalance") if bad < SPARSE_SHARE * evaluation.table_count else rows)
-    return staging.put(reduce(DataFrame.unionAll, parts), "exceptions") if parts else None
+    return reduce(DataFrame.unionAll, parts)
 
 
 def _classify(
     spark, staged, tolerated, prior, rule_run, execution_key, now, last_exception_key, stored_count, staging
-) -> tuple[DataFrame, DataFrame]:
-    """Ledger rows of the run, and per rule the counts of known and fixed ones."""
+) -> tuple[DataFrame, DataFrame, int]:
+    """Ledger rows of the run, per rule the counts of known and fixed ones, and the number of fixed ones."""
     nothing = local_rows(spark, [], EXCEPTION_ROWS)
     known = local_rows(spark, [], "rule_key long, known_exception_count long")
     fixed_counts = local_rows(spark, [], "rule_key long, fixed_exception_count long")
@@ -220,12 +256,14 @@ def _classify(
             }
         )
     )
+    fixed_count = 0
     if prior is not None:
         fixed = staging.put(L.fixed_rows(prior, current_set).drop("exception_key", "validation_key"), "fixed")
         fixed_counts = fixed.groupBy("rule_key").agg(F.count(F.lit(1)).alias("fixed_exception_count"))
+        fixed_count = fixed.count()
         fixed = number_staged_rows(fixed, "exception_key", last_exception_key + stored_count)
         rows = rows.unionByName(_as_ledger(fixed.join(run_keys, "rule_key")))
-    return rows, known.join(fixed_counts, "rule_key", "full_outer")
+    return rows, known.join(fixed_counts, "rule_key", "full_outer"), fixed_count
 
 
 def _as_ledger(rows: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators import ledger as L
+from plumbline.operators.runs import COMMITTED, STARTED, History, RunEntry, history
 from plumbline.plans import rulebook as R
 from plumbline.plans.run import RunResult, run_rules
 from plumbline.schemas import DQ_RULE, DQ_RULE_TYPE, RULE_ERRORS
@@ -69,6 +70,12 @@ def select_rules(rules: DataFrame, today: date, assets: Iterable[str] | None = N
     return Selection(specs, skipped, local_rows(rules.sparkSession, errors, RULE_ERRORS))
 
 
+def _unlogged(store: Store) -> History:
+    """The history of a ledger from before the run table; its last run counts as committed."""
+    keys = L.starting_point(store.table(store.validations), store.table(store.exceptions))
+    return History(*keys, committed_execution_key=keys[1])
+
+
 def run_stored_rules(
     store: Store,
     *,
@@ -81,6 +88,9 @@ def run_stored_rules(
 ) -> tuple[RunResult, Selection]:
     """Check the stored active rules and append the results to the ledger.
 
+    The run table tells where to begin, and which run to compare with: the last one that was
+    committed. A run that breaks off before it is committed leaves rows that no reader of
+    committed rows sees, so nothing of it has to be undone.
     ``previous`` is what exceptions are compared with: ``last_run``, or
     ``last_evaluated``, the last run in which the rule itself was checked.
     """
@@ -92,16 +102,16 @@ def run_stored_rules(
     today = today or run_ts.date()
     rules = R.resolve_rules(store.table(store.rules), store.table(store.rule_types))
     selection = select_rules(rules, today, assets)
-    validations, ledger = store.table(store.validations), store.table(store.exceptions)
-    last_validation_key, last_execution_key, last_exception_key = L.starting_point(validations, ledger)
-    execution_key = last_execution_key + 1
-    earlier = None
+    past = history(store.table(store.runs)) or _unlogged(store)
+    validations, ledger = past.committed(store.table(store.validations)), past.committed(store.table(store.exceptions))
+    execution_key = past.last_execution_key + 1
+    keys = [spec.rule_key for spec in selection.specs]
+    earlier = dict.fromkeys(keys, past.committed_execution_key)
     if previous == "last_evaluated":
-        keys = [spec.rule_key for spec in selection.specs]
         rows = L.last_evaluated(validations, keys, execution_key).collect()
         earlier = {row["rule_key"]: row["execution_key"] for row in rows}
         # A run without validations checked the rules that it left rows of.
-        earlier |= dict.fromkeys(L.unfinished_rules(ledger, validations), last_execution_key)
+        earlier |= dict.fromkeys(L.unfinished_rules(ledger, validations), past.last_execution_key)
     result = run_rules(
         spark,
         selection.specs,
@@ -110,17 +120,19 @@ def run_stored_rules(
         today=today,
         run_ts=run_ts,
         execution_key=execution_key,
-        last_validation_key=last_validation_key,
-        last_exception_key=last_exception_key,
+        last_validation_key=past.last_validation_key,
+        last_exception_key=past.last_exception_key,
         ledger=ledger,
         previous=earlier,
         staging=staging,
     )
+    entry = RunEntry(execution_key, past.committed_execution_key, past.last_validation_key, result.last_validation_key, result.last_exception_key)
+    store.log_run(entry, STARTED)
     store.append(result.exceptions, store.exceptions)
-    # Validations come last: a run counts as done when they are there.
     store.append(result.validations, store.validations)
+    store.log_run(entry, COMMITTED)
     # What was stored can be read when the staged tables behind it are gone.
-    stored = F.col("validation_key") > last_validation_key
+    stored = F.col("validation_key") > past.last_validation_key
     result.exceptions = store.table(store.exceptions).filter(stored)
     result.validations = store.table(store.validations).filter(stored)
     return result, selection

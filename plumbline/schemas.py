@@ -101,4 +101,15 @@ DQ_EXCEPTIONS_TABLE = T.StructType(
     [T.StructField("integration_id", _STRING), T.StructField("exception_key", _LONG), *DQ_EXCEPTIONS.fields]
 )
 
+# Two rows per run: when it starts to store its results, and when all are stored.
+DQ_RUNS = _schema(
+    ("execution_key", _INT),
+    ("previous_execution_key", _INT),
+    ("first_validation_key", _LONG),
+    ("last_validation_key", _LONG),
+    ("last_exception_key", _LONG),
+    ("state", _STRING),
+    ("logged_at_ts", _TS),
+)
+
 RULE_ERRORS = "rule_key long, reason string, message string"

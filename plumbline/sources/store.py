@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from plumbline.functions.expressions import quoted
-from plumbline.operators import upsert
+from plumbline.operators import runs, upsert
 from plumbline.operators.align import align_to_schema
-from plumbline.schemas import DQ_EXCEPTIONS_TABLE, DQ_RULE, DQ_RULE_TYPE, DQ_VALIDATIONS_TABLE
+from plumbline.schemas import DQ_EXCEPTIONS_TABLE, DQ_RULE, DQ_RULE_TYPE, DQ_RUNS, DQ_VALIDATIONS_TABLE
 from plumbline.sources.staging import Staging
 
 FORMATS = ("parquet", "hive", "delta")
@@ -54,6 +54,7 @@ class Store:
         self.rule_types = f"{schema}.dq_rule_type"
         self.exceptions = f"{schema}.dq_exceptions"
         self.validations = f"{schema}.dq_validations"
+        self.runs = f"{schema}.dq_runs"
 
     def create(self) -> None:
         """Create the tables that do not exist yet."""
@@ -62,6 +63,7 @@ class Store:
         self._create(self.rule_types, DQ_RULE_TYPE)
         self._create(self.exceptions, DQ_EXCEPTIONS_TABLE, "execution_key")
         self._create(self.validations, DQ_VALIDATIONS_TABLE, "execution_key")
+        self._create(self.runs, DQ_RUNS)
 
     def _create(self, name: str, schema: StructType, partition: str | None = None) -> None:
         self.spark.sql(create_statement(name, schema, self.format, partition, self.identity(name)))
@@ -80,6 +82,14 @@ class Store:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.table(name)
 
+    def committed(self, name: str) -> DataFrame:
+        """The exceptions or validations of runs that were stored as a whole."""
+        found = runs.history(self.table(self.runs))
+        return self.table(name) if found is None else found.committed(self.table(name))
+
+    def log_run(self, entry: runs.RunEntry, state: str) -> None:
+        self.append(entry.logged(self.spark, state), self.runs)
+
     def append(self, df: DataFrame, name: str) -> None:
         """Append rows, fitted to the stored table's schema."""
         rows = align_to_schema(df, self.table(name).schema)

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +24,7 @@ from plumbline.operators.upsert import COALESCE, OVERWRITE, upserted
 from plumbline.plans import rulebook as R
 from plumbline.spec import RuleSpec
 from plumbline.plans.run import RunResult, run_rules
-from plumbline.plans.workflow import run_workflow
+from plumbline.plans.workflow import run_stored_rules, run_workflow
 from plumbline.schemas import DQ_RULE, DQ_RULE_TYPE
 from plumbline.sources import catalog
 from plumbline.sources.staging import Staging
@@ -368,6 +368,69 @@ def chk_in_set_table_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return failing(orders, specs, lookups)
 
 
+_BUSY_CUSTOMERS = "SELECT o_custkey FROM orders WHERE o_totalprice > 200000"
+
+
+@query(
+    "chk_row_condition_subquery",
+    f"""SELECT CAST(1 AS BIGINT) AS rule_key, {text('c_custkey')} AS exception_row_pk, {text('c_acctbal')} AS exception_row_value FROM customer
+        WHERE c_custkey IN ({_BUSY_CUSTOMERS}) AND c_acctbal > 5000
+        UNION ALL
+        SELECT CAST(2 AS BIGINT), {text('c_custkey')}, c_mktsegment FROM customer
+        WHERE c_custkey IN ({_BUSY_CUSTOMERS}) AND c_mktsegment NOT IN ('BUILDING', 'MACHINERY')
+        UNION ALL
+        SELECT CAST(3 AS BIGINT), {text('c_custkey')}, {text('c_nationkey')} FROM customer c
+        WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)
+          AND (SELECT count(*) FROM customer d WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = d.c_custkey)
+               AND d.c_nationkey = c.c_nationkey AND d.c_mktsegment = c.c_mktsegment) > 1
+        UNION ALL
+        SELECT CAST(4 AS BIGINT), {text('c_custkey')}, {text('c_acctbal')} FROM customer WHERE c_acctbal < -500""",
+)
+def chk_row_condition_subquery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row conditions with IN and EXISTS, shared by rules of several kinds, and a rule without one."""
+    view = f"orders_{uuid.uuid4().hex}"
+    table(spark, sf_dir, "orders").createOrReplaceTempView(view)
+    busy = _BUSY_CUSTOMERS.replace("orders", view)
+    within = "ExpectColumnValuesToBeBetween"
+    specs = [
+        rule(within, {"column": "c_acctbal", "max_value": 5000}, "c_custkey", "c_acctbal", 1, condition=f"c_custkey IN ({busy})"),
+        rule("ExpectColumnValuesToBeInSet", {"column": "c_mktsegment", "value_set": ["BUILDING", "MACHINERY"]}, "c_custkey", "c_mktsegment", 2, condition=f"c_custkey IN ({busy})"),
+        rule("ExpectCompoundColumnsToBeUnique", {"column_list": ["c_nationkey", "c_mktsegment"]}, "c_custkey", "c_nationkey", 3,
+             condition=f"NOT EXISTS (SELECT 1 FROM {view} WHERE o_custkey = c_custkey)"),
+        rule(within, {"column": "c_acctbal", "min_value": -500}, "c_custkey", "c_acctbal", 4),
+    ]
+    try:
+        return failing(table(spark, sf_dir, "customer"), specs)
+    finally:
+        spark.catalog.dropTempView(view)
+
+
+@query(
+    "chk_unique_many",
+    f"""SELECT CAST(1 AS BIGINT) AS rule_key, {LINE_KEY} AS exception_row_pk, {text('l_partkey')} AS exception_row_value
+        FROM (SELECT *, count(*) OVER (PARTITION BY l_partkey, l_suppkey) AS n FROM lineitem) WHERE n > 1
+        UNION ALL
+        SELECT CAST(2 AS BIGINT), {LINE_KEY}, {text('l_orderkey')}
+        FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem WHERE l_linenumber < 3) WHERE n > 1
+        UNION ALL
+        SELECT CAST(3 AS BIGINT), {LINE_KEY}, {text('l_extendedprice')}
+        FROM (SELECT *, count(*) OVER (PARTITION BY l_extendedprice) AS n FROM lineitem) WHERE n > 1
+        UNION ALL
+        SELECT CAST(4 AS BIGINT), {LINE_KEY}, {text('l_linenumber')}
+        FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber, l_partkey) AS n FROM lineitem) WHERE n > 1""",
+)
+def chk_unique_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several uniqueness rules of one table, whose repeated keys are found in one pass."""
+    one, several = "ExpectColumnValuesToBeUnique", "ExpectCompoundColumnsToBeUnique"
+    specs = [
+        rule(several, {"column_list": ["l_partkey", "l_suppkey"]}, LINE_KEYS, "l_partkey", 1),
+        rule(one, {"column": "l_orderkey"}, LINE_KEYS, "l_orderkey", 2, condition="l_linenumber < 3"),
+        rule(one, {"column": "l_extendedprice"}, LINE_KEYS, "l_extendedprice", 3),
+        rule(several, {"column_list": ["l_orderkey", "l_linenumber", "l_partkey"]}, LINE_KEYS, "l_linenumber", 4),
+    ]
+    return failing(table(spark, sf_dir, "lineitem"), specs)
+
+
 # -- metrics ----------------------------------------------------------------
 
 
@@ -1217,27 +1280,70 @@ for _mode, _name, _nation in (
 )
 def workflow_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules from catalog tables, run over customers, and again over customers with other balances."""
+    return in_database(spark, lambda store: balance_runs(spark, sf_dir, store, [(1, 0), (2, 600)]))
+
+
+@query(
+    "workflow_broken_run",
+    """
+    SELECT CAST(run AS INT) AS execution_key, CAST(c_custkey AS VARCHAR) AS exception_row_pk, kind FROM (
+        SELECT 1 AS run, c_custkey, 'new' AS kind FROM customer WHERE c_acctbal NOT BETWEEN 0 AND 9000
+        UNION ALL
+        SELECT CASE WHEN c_acctbal + 600 BETWEEN 0 AND 9000 THEN 1 ELSE 3 END, c_custkey,
+               CASE WHEN c_acctbal BETWEEN 0 AND 9000 THEN 'new' WHEN c_acctbal + 600 BETWEEN 0 AND 9000 THEN 'fixed' ELSE 'known' END
+        FROM customer WHERE c_acctbal NOT BETWEEN 0 AND 9000 OR c_acctbal + 600 NOT BETWEEN 0 AND 9000)""",
+)
+def workflow_broken_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger after three runs, the second of which broke off with its exceptions stored: nobody sees them, and the third is compared with the first."""
 
     def work(store: Store) -> DataFrame:
-        spark.sql(
-            "SELECT 1 AS rule_type_key, 'range' AS rule_type_name, 'validity' AS dq_dimension, 'ExpectColumnValuesToBeBetween' AS gx_expectation, "
-            "'' AS gx_description, current_timestamp() AS created_at_ts, current_timestamp() AS modified_at_ts, true AS current_flag"
-        ).write.saveAsTable(f"{store.schema}.bronze_types")
-        spark.sql(
-            f"""SELECT 1 AS rule_no, 'customers' AS table_name, 'c_acctbal' AS column, 'crm' AS data_domain, 1 AS rule_type_key, 'main' AS catalog,
-            '{store.schema}' AS schema, 'c_custkey' AS table_key, '{{"column": "c_acctbal", "min_value": 0, "max_value": 9000}}' AS gx_arguments,
-            'Y' AS rule_enabled, true AS current_flag, '01/01/2000' AS created_at_date, '01/01/2000' AS modified_at_date,
-            '01/01/2000' AS start_date, '31/12/2009' AS expiry_date"""
-        ).write.saveAsTable(f"{store.schema}.bronze_rules")
-        customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
-        for day, moved in ((1, 0), (2, 600)):
-            balances = customers.withColumn("c_acctbal", F.col("c_acctbal") + moved)
-            balances.write.mode("overwrite").saveAsTable(f"{store.schema}.customers")
-            result, _ = run_workflow(
-                spark, [f"{store.schema}.bronze_rules"], f"{store.schema}.bronze_types", schema=store.schema,
-                today=TODAY, run_ts=datetime(2001, 1, day),
-            )
-        kind = F.when(F.col("fixed_exception_flag"), "fixed").when(F.col("new_exception_flag"), "new").otherwise("known")
-        return result.exceptions.select("exception_row_pk", kind.alias("kind"))
+        balance_runs(spark, sf_dir, store, [(1, 0), (2, -900), (3, 600)], broken=2)
+        rows = store.committed(store.exceptions)
+        return rows.select("execution_key", "exception_row_pk", kind_of_row().alias("kind"))
 
     return in_database(spark, work)
+
+
+def kind_of_row() -> Column:
+    return F.when(F.col("fixed_exception_flag"), "fixed").when(F.col("new_exception_flag"), "new").otherwise("known")
+
+
+class BrokenOff(Exception):
+    """Stands for whatever ends a run from outside."""
+
+
+class BreakingStore(Store):
+    """A store that loses its cluster when validations are to be stored."""
+
+    def append(self, df: DataFrame, name: str) -> None:
+        if name == self.validations:
+            raise BrokenOff
+        super().append(df, name)
+
+
+def balance_runs(spark: SparkSession, sf_dir: str, store: Store, days: list[tuple[int, float]], broken: int | None = None) -> DataFrame:
+    """Runs of one rule over customers whose balances move from day to day; returns the rows of the last."""
+    spark.sql(
+        "SELECT 1 AS rule_type_key, 'range' AS rule_type_name, 'validity' AS dq_dimension, 'ExpectColumnValuesToBeBetween' AS gx_expectation, "
+        "'' AS gx_description, current_timestamp() AS created_at_ts, current_timestamp() AS modified_at_ts, true AS current_flag"
+    ).write.saveAsTable(f"{store.schema}.bronze_types")
+    spark.sql(
+        f"""SELECT 1 AS rule_no, 'customers' AS table_name, 'c_acctbal' AS column, 'crm' AS data_domain, 1 AS rule_type_key, 'main' AS catalog,
+        '{store.schema}' AS schema, 'c_custkey' AS table_key, '{{"column": "c_acctbal", "min_value": 0, "max_value": 9000}}' AS gx_arguments,
+        'Y' AS rule_enabled, true AS current_flag, '01/01/2000' AS created_at_date, '01/01/2000' AS modified_at_date,
+        '01/01/2000' AS start_date, '31/12/2009' AS expiry_date"""
+    ).write.saveAsTable(f"{store.schema}.bronze_rules")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    for day, moved in days:
+        balances = customers.withColumn("c_acctbal", F.col("c_acctbal") + moved)
+        balances.write.mode("overwrite").saveAsTable(f"{store.schema}.customers")
+        if day == broken:
+            try:
+                run_stored_rules(BreakingStore(spark, store.schema), today=TODAY, run_ts=datetime(2001, 1, day))
+            except BrokenOff:
+                continue
+        result, _ = run_workflow(
+            spark, [f"{store.schema}.bronze_rules"], f"{store.schema}.bronze_types", schema=store.schema,
+            today=TODAY, run_ts=datetime(2001, 1, day),
+        )
+    return result.exceptions.select("exception_row_pk", kind_of_row().alias("kind"))
