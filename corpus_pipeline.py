@@ -19,17 +19,26 @@ from plumbline.llm.words import documents, id_remainder
 from plumbline.sources.staging import Staging
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+# Rows of long texts that cross into Python at once: an executor holds a batch several times for each of its tasks.
+BATCH_BYTES = "4m"
 
 
 def _key() -> Column:
-    """Tells rows apart where ids are null or repeated; the smallest id of a group comes first."""
+    """Tells rows apart where ids are null or repeated; the smallest id of a group comes first, then a fixed order of the other columns."""
     return F.struct(
-        F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("content")
+        F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("content"),
+        F.xxhash64("lang", "source", "n_chars").alias("rest"),
     )
 
 
+def _bounded(spark: SparkSession) -> None:
+    """Keep batches small for the stages' jobs, which run when a stage's result is written."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a determined language, which replaces the given one."""
+    _bounded(spark)
     known = identify(docs.select(*COLUMNS), id_remainder(F.col("doc_id"), 5) != 0, carry=COLUMNS)
     return known.where(F.col("lang_pred") != UNDETERMINED).select(
         "doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars"
@@ -37,17 +46,23 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that of the smallest id; repeated rows are one."""
+    """One document of each group of near duplicates: that of the smallest id (null ids last). Of rows of that id the one whose
+    text, then other columns, have the least hash stays, whatever the order of rows; rows that are equal throughout are one."""
+    _bounded(spark)
     keyed = docs.select(*COLUMNS, _key().alias("_key"))
     kept = near_duplicates(keyed, "_key").where("kept").select("_key").distinct()
-    return keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(*COLUMNS)
+    # By plain columns that are never null, so that texts are dealt out once: repeats meet before the join, and stay where they are for it.
+    fields = {f"_key{i}": expr for i, expr in enumerate(("_key.no_id", "coalesce(_key.id, 0)", "_key.content", "_key.rest"))}
+    plain = lambda df: df.withColumns({name: F.expr(expr) for name, expr in fields.items()}).drop("_key")
+    return plain(keyed).dropDuplicates(list(fields)).join(plain(kept), list(fields), "left_semi").select(*COLUMNS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; personal data is replaced by its kind, and ``n_chars`` of changed texts follows.
 
-    Only texts that can hold personal data are joined with their spans.
+    A null text stays null. Only texts that can hold personal data are joined with their spans.
     """
+    _bounded(spark)
     docs = docs.select(*COLUMNS)
     marked = F.coalesce(F.col("text").rlike(MARKED), F.lit(False))
     keyed = docs.where(marked).withColumn("_key", _key())
@@ -61,12 +76,17 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose tokens have tempered shares of sources, languages and topics."""
+    """A sample whose tokens have tempered shares of sources, languages and topics.
+
+    Null texts have no tokens; null sources and languages are shares of their own. Repeated rows are drawn, or not, together.
+    """
+    _bounded(spark)
     return mix_to_targets(docs.select(*COLUMNS)).where("selected").select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of each text, their number, and the text that they decode to."""
+    """Ids of each text, their number, and the text that they decode to; a null text is empty. Every row is coded by itself."""
+    _bounded(spark)
     model = read_model(public_tokenizers.path("piece_bpe_32k.model"))
     coded = decode(encode(docs.select("doc_id", "lang", "source", "text"), model).drop("text"), model)
     return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
