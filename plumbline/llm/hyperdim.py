@@ -182,7 +182,7 @@ def _predict(names: list[str], prototypes: np.ndarray, dimensions: int, order: i
             bundles, some = profiles.bundle(texts, np.arange(len(texts)), len(texts))
             cosine = _unit(_unit(bundles.astype(np.float32)) - shared) @ centred.T
             picked = cosine.argmax(axis=1) if names else np.zeros(len(texts), np.int64)
-            score = cosine.max(axis=1) if names else np.zeros(len(texts))
+            score = cosine.max(axis=1).astype(float) if names else np.zeros(len(texts))
             known = some & bool(names)
             answer = [names[p] if yes else UNDETERMINED for p, yes in zip(picked.tolist(), known.tolist())]
             yield pa.RecordBatch.from_arrays(

@@ -6,7 +6,8 @@
   (``password=``), or capitals that begin the token. They form a graph with the instances.
 * Spark scores the graph in turns: a pattern by the share of its occurrences whose instance is of a kind,
   an instance by the patterns it occurs in. How often words stand before anything else is counted over all texts.
-* Patterns of high confidence that rest on several different seeds mark further instances as spans.
+* Patterns of high confidence that rest on several different seeds mark further instances as spans: the
+  candidates they surround, and in a last scan any token that follows them, whatever its length or characters.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.words import Words, grams, pieces, texts_of, word_hashes
@@ -41,8 +42,10 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _CANDIDATE = re.compile(r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+@:/-]{4,}(?<=[A-Za-z0-9])")
 _KEY = re.compile(r"([A-Za-z][A-Za-z_-]{1,30})[ ]?[=:][ ]?[\"']?$")
 _KEYED = re.compile(r"(?<![A-Za-z_-])[A-Za-z][A-Za-z_-]{1,30}[ ]?[=:][ ]?[\"']?([^\s\"'<>,;]{4,})")
+_FOLLOWING = re.compile(r"(?<![A-Za-z_-])([A-Za-z][A-Za-z_-]{1,30})[ ]?[=:][ ]?[\"']?([^\s\"'<>,;]+)")
 _CAPITALS = re.compile(r"[A-Z]{4}(?=[A-Z0-9]{8,}$)")
-MARKED = "[0-9@=:]"  # a text without such a character holds no span
+MARKED = "[0-9@=:]"  # a text without such a character holds no seed, candidate or key
+_OPENING, _CLOSING = b"\"'([{<", b".,;:!?)]}>\"'"  # what may stand around a token that is no part of it
 _MARKS = np.zeros(256, bool)
 _MARKS[[*range(48, 58), ord("@"), ord("="), ord(":")]] = True
 
@@ -142,11 +145,11 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 busy = _Busy(spans)
                 for match in _CANDIDATE.finditer(text):
                     token = match.group()
-                    if len(token) <= 200 and any(map(str.isdigit, token)) and not busy(match.start(), match.end()):
+                    if any(map(str.isdigit, token)) and not busy(match.start(), match.end()):
                         found.setdefault((match.start(), match.end()), SECRET if looks_random(token) else None)
                 for match in _KEYED.finditer(text):
                     a, b = match.span(1)
-                    if b - a <= 200 and not busy(a, b) and (a, b) not in found:
+                    if not busy(a, b) and (a, b) not in found:
                         token = match.group(1)
                         found[a, b] = SECRET if looks_random(token) else None
                 for (a, b), seed in sorted(found.items(), key=lambda x: x[0]):
@@ -157,8 +160,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             all_spans.append([dict(zip(("start", "end", "kind"), s)) for s in spans])
             all_candidates.append([dict(zip(("start", "end", "instance", "seed", "patterns"), c)) for c in candidates])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("row"), batch.column("id"), pa.array(all_spans, pa.list_(span)), pa.array(all_candidates, pa.list_(candidate))],
-            ["row", "id", "base", "candidates"],
+            [*(batch.column(c) for c in ("k1", "k2", "id")), pa.array(all_spans, pa.list_(span)), pa.array(all_candidates, pa.list_(candidate))],
+            ["k1", "k2", "id", "base", "candidates"],
         )
 
 
@@ -199,6 +202,61 @@ def _occurrences(table: np.ndarray):
     return run
 
 
+def _followers(table: np.ndarray):
+    """Tokens behind a pattern that the table may hold, apart from base spans: (k1, k2, start, end, pattern)."""
+    mask = np.uint64((1 << _TABLE_BITS) - 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marked = np.unpackbits(table).astype(bool)
+        hashes = word_hashes()
+        for batch in pieces(batches, "text"):
+            texts = texts_of(batch.column("text"))
+            words = Words(texts, lower=True)
+            codes, doc = hashes.of(words.words), words.doc
+            left = words.first[doc + 1] - np.arange(len(codes))
+            found: dict[int, list[tuple[int, int, int]]] = {}  # of a text: start and end, in bytes, and pattern
+            for n in range(1, CONTEXT_WORDS + 1):
+                rolled = grams(codes, n)
+                for at in np.flatnonzero(marked[rolled & mask] & (left[: len(rolled)] > n)).tolist():
+                    k, word = int(doc[at]), at + n
+                    start, end = int(words.start[word] - words.text_start[k]), int(words.end[word] - words.text_start[k])
+                    token = texts[k][start:end]
+                    start += len(token) - len(token.lstrip(_OPENING))
+                    end = start + len(token.lstrip(_OPENING).rstrip(_CLOSING))
+                    if end > start:
+                        found.setdefault(k, []).append((start, end, int(rolled[at].view(np.int64))))
+            rows = []
+            for k, raw in enumerate(texts):
+                keyed = b"=" in raw or b":" in raw
+                if not keyed and k not in found:
+                    continue
+                text = raw.decode("utf-8", "replace")
+                places = [(len(raw[:a].decode("utf-8", "replace")), len(raw[:b].decode("utf-8", "replace")), p) for a, b, p in found.get(k, [])]
+                for match in _FOLLOWING.finditer(text) if keyed else ():
+                    pattern = xxhash.xxh3_64_intdigest(b"key " + match[1].lower().encode())
+                    token = match[2].rstrip(_CLOSING.decode())
+                    if marked[pattern & int(mask)] and token:
+                        places.append((match.start(2), match.start(2) + len(token), _signed(pattern)))
+                if places:
+                    busy = _Busy(base_spans(text))
+                    rows += [(k, a, b, p) for a, b, p in places if not busy(a, b)]
+            at, start, end, pattern = np.array(rows, np.int64).reshape(-1, 4).T
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).take(pa.array(at)) for c in ("k1", "k2")), pa.array(start), pa.array(end), pa.array(pattern)],
+                ["k1", "k2", "start", "end", "pattern"],
+            )
+
+    return run
+
+
+def _table(patterns: DataFrame) -> np.ndarray:
+    """Packed bits that tell which patterns there may be; at most 2 ** _TABLE_BITS places reach the driver."""
+    places = patterns.select(F.col("pattern").bitwiseAND((1 << _TABLE_BITS) - 1).alias("place")).distinct()
+    bits = np.zeros(1 << _TABLE_BITS, np.uint8)
+    bits[places.toArrow().column("place").to_numpy()] = 1
+    return np.packbits(bits)
+
+
 _SCANNED = (
     "base array<struct<start:bigint,end:bigint,kind:string>>, candidates array<struct<start:bigint,end:bigint,"
     "instance:bigint,seed:string,patterns:array<struct<pattern:bigint,counted:boolean>>>>"
@@ -209,30 +267,28 @@ def find_personal_data(
     df: DataFrame, id_column: str = "doc_id", text_column: str = "text", *, support: int = SUPPORT,
     confidence: float = CONFIDENCE, turns: int = TURNS, background: DataFrame | None = None, staging: Staging | None = None,
 ) -> DataFrame:
-    """One row per row of ``df``: ``row`` (its number), the id, ``base`` and ``spans``, arrays of (start, end, kind) in code points, end exclusive, sorted.
+    """One row per row of ``df``: the id, ``base`` and ``spans``, arrays of (start, end, kind) in code points, end exclusive, sorted.
 
-    ``spans`` holds all of ``base`` and what the patterns add, which never overlaps base. A null text is empty and has
-    none. Candidates of over 200 characters are not considered. Repeated rows are answered each, and count each
-    as occurrences; a pattern needs ``support`` different seeds. ``background`` (default ``df``) are the texts in which words before anything are counted,
+    ``spans`` holds all of ``base`` and what the patterns add, which never overlaps base, and none of which lies inside another. A null text
+    is empty and has none. Repeated rows are answered each, and count each as occurrences; a pattern needs ``support`` different seeds. ``background`` (default ``df``) are the texts in which words before anything are counted,
     where ``df`` leaves out texts without digits and marks. Other columns are not looked at.
     """
     staging = staging or Staging(df.sparkSession)
-    source = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    # Two hashes of id and text name a row in both scans; repeated rows share them, as they do their spans.
+    keys = [F.xxhash64(F.col(id_column), F.col(text_column), F.lit(i)).alias(f"k{i}") for i in (1, 2)]
+    source = df.select(*keys, F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
-    scanned = staging.put(source.mapInArrow(_scan, f"row long, id {kind}, {_SCANNED}"), "scanned")
+    scanned = staging.put(source.mapInArrow(_scan, f"k1 long, k2 long, id {kind}, {_SCANNED}"), "scanned")
 
-    one = scanned.select("row", F.explode("candidates").alias("c")).select("row", "c.*")
-    edges = one.select("row", "start", "instance", "seed", F.explode("patterns").alias("p"))
+    one = scanned.select("k1", "k2", F.explode("candidates").alias("c")).select("k1", "k2", "c.*")
+    edges = one.select("start", "instance", "seed", F.explode("patterns").alias("p"))
     edges = edges.groupBy(F.col("p.pattern").alias("pattern"), F.col("p.counted").alias("counted"), "instance", "seed")
     edges = staging.put(edges.agg(F.count(F.lit(1)).alias("n")), "edges")
 
     resting = edges.where("seed is not null").groupBy("pattern", "counted", "seed").agg(F.count(F.lit(1)).alias("seeds"))
     resting = staging.put(resting.where(F.col("seeds") >= support), "patterns")
-    places = resting.where("counted").select(F.col("pattern").bitwiseAND((1 << _TABLE_BITS) - 1).alias("place")).distinct()
-    bits = np.zeros(1 << _TABLE_BITS, np.uint8)
-    bits[places.toArrow().column("place").to_numpy()] = 1  # at most 2 ** _TABLE_BITS places
     corpus = df if background is None else background
-    counted = corpus.select(F.col(text_column).alias("text")).mapInArrow(_occurrences(np.packbits(bits)), "pattern long, n long")
+    counted = corpus.select(F.col(text_column).alias("text")).mapInArrow(_occurrences(_table(resting.where("counted"))), "pattern long, n long")
     counted = counted.groupBy("pattern").agg(F.sum("n").alias("total"))
 
     live = edges.join(resting.select("pattern").distinct(), "pattern", "left_semi")
@@ -254,13 +310,17 @@ def find_personal_data(
     chosen = judged.where(F.col("confidence") >= confidence)
 
     marked = one.where(F.col("seed").isNull() | (F.col("seed") == SECRET))
-    marked = marked.select("row", "start", "end", F.explode("patterns.pattern").alias("pattern")).join(chosen, "pattern")
+    marked = marked.select("k1", "k2", "start", "end", F.explode("patterns.pattern").alias("pattern"))
+    follow = source.select("k1", "k2", "text").mapInArrow(_followers(_table(chosen)), "k1 long, k2 long, start long, end long, pattern long")
     best = F.max(F.struct("confidence", "kind")).alias("best")
-    added = marked.groupBy("row", "start", "end").agg(best).groupBy("row")
+    added = marked.union(follow).join(chosen, "pattern").groupBy("k1", "k2", "start", "end").agg(best)
+    # Of spans of one text those inside an earlier, or equally early and longer, one go.
+    earlier = Window.partitionBy("k1", "k2").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    added = added.withColumn("reach", F.max("end").over(earlier)).where("reach is null or end > reach").groupBy("k1", "k2")
     added = added.agg(F.collect_list(F.struct("start", "end", F.col("best.kind").alias("kind"))).alias("added"))
-    joined = scanned.select("row", "id", "base").join(added, "row", "left")
+    joined = scanned.select("k1", "k2", "id", "base").join(added, ["k1", "k2"], "left")
     kept = F.coalesce("added", F.array().cast("array<struct<start:bigint,end:bigint,kind:string>>"))
-    return joined.select("row", F.col("id").alias(id_column), "base", _sorted(F.concat("base", kept)).alias("spans"))
+    return joined.select(F.col("id").alias(id_column), "base", _sorted(F.concat("base", kept)).alias("spans"))
 
 
 def _place(kind):

@@ -80,6 +80,7 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *(count(kind).alias(f"n_{kind}") for kind in BASE_KINDS),
         F.sha2(spelled("base"), 256).alias("base_sha256"), spelled("spans").alias("spans"),
+        (F.size("spans") - F.size("base")).cast("long").alias("n_added"),
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from plumbline.llm.mixing import lead_topics, measured, mix_to_targets, rake, tempered
-from plumbline.llm.personal_data import base_spans, find_personal_data, redact, spelled
+from plumbline.llm.personal_data import MARKED, base_spans, find_personal_data, redact, spelled
 from plumbline.llm.queries import op3_mixing, op5_simhash, op7_personal_data
 from plumbline.llm.simhash import fingerprint_documents, within_radius
 from plumbline.llm.urls import ALLOW, BLOCK, Trie, judge_urls, split_url
@@ -179,6 +179,50 @@ def test_patterns_find_unseen_identifiers(spark):
     assert all(len(marked[k]) == 1 for k in (0, 3, 30, 35)) and marked[50] == []
 
 
+def marked_in(spark, texts):
+    """The added spans of each text, as text."""
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {r.doc_id: (r.base, r.spans) for r in find_personal_data(df).collect()}
+    return [sorted(texts[k][s.start : s.end] for s in found[k][1] if s not in found[k][0]) for k in range(len(texts))]
+
+
+def test_any_token_behind_a_learnt_pattern(spark):
+    """Whatever its length and characters; taught by phones and by tokens that look random."""
+    digits = [f"{k}{(k * 37) % 90 + 10}" for k in range(2, 10)]
+    taught = [f"please call me at +1555{d}{d}77 soon" for d in digits]
+    taught += [f"set password=aB3{d}xYz{d}QrS9tUv now" for d in digits]
+    long = "q" * 150 + "7" * 173
+    asked = [
+        "you can call me at 9911, or not", "so call me at (johnny) today", f"use password={long} here", "use password=correcthorse here", 'use password: "x9" here',
+        "call me at née@", "they call me at\n\n日本語😀 x", "please call me at +155512345678 soon", "call me at",
+    ]
+    clean = ["we met at noon and talked", "nothing to see here: move on", "the call was at nine", "", "a passwords list = none"]
+    found = marked_in(spark, taught + asked + clean)
+    assert found[len(taught) : len(taught) + len(asked)] == [["9911"], ["johnny"], [long], ["correcthorse"], ["x9"], ["née@"], ["日本語😀"], [], []]
+    assert found[-len(clean) :] == [[]] * len(clean)
+
+
+def test_unseen_identifiers_are_found_and_clean_texts_left_alone(spark, sample):
+    """Identifiers of shapes that no format has, planted behind contexts of which seeds teach a part."""
+    rng = np.random.default_rng(3)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    filler = [text[:300] for _, text, _, _ in sample if text and not re.search(MARKED, text)][:120]
+    contexts = ["my private line is", "reach the owner on", "badge number issued:", "session_token=", "api-key: "]
+    texts, planted = [], []
+    for k, context in enumerate(contexts * 40):
+        gap = "" if context[-1] in "= " else " "
+        if k % 4 < 2:
+            value = f"+31{rng.integers(10**8, 10**9)}" if k % 5 < 3 else "".join(rng.permutation(letters)[:14]) + str(rng.integers(10**7, 10**8))
+        else:
+            value = "".join(rng.permutation(letters)[: rng.integers(3, 12)]) + str(rng.integers(10))
+            planted.append((k, value))
+        texts.append(f"{filler[k % len(filler)]} {context}{gap}{value} {filler[(k + 7) % len(filler)]}")
+    found = marked_in(spark, texts + filler)
+    caught = sum(value in found[k] for k, value in planted)
+    assert caught >= 0.9 * len(planted) and len(planted) == 100
+    assert sum(map(bool, found[len(texts) :])) == 0
+
+
 def test_odd_personal_data(spark, odd_documents, no_documents):
     rows = find_personal_data(odd_documents).select("doc_id", spelled("spans").alias("s")).collect()
     assert len(rows) == odd_documents.count() and {r.s for r in rows} == {""}
