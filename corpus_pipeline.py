@@ -21,6 +21,7 @@ from plumbline.sources.staging import Staging
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # Rows of long texts that cross into Python at once: an executor holds a batch several times for each of its tasks.
 BATCH_BYTES = "4m"
+BROADCAST_SPANS = 50_000  # of some 100 bytes
 
 
 def _key() -> Column:
@@ -60,19 +61,23 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; personal data is replaced by its kind, and ``n_chars`` of changed texts follows.
 
-    A null text stays null. Only texts that can hold personal data are joined with their spans.
+    A null text stays null.
     """
     _bounded(spark)
     docs = docs.select(*COLUMNS)
     marked = F.coalesce(F.col("text").rlike(MARKED), F.lit(False))
-    keyed = docs.where(marked).withColumn("_key", _key())
-    spans = find_personal_data(keyed, "_key", background=docs).where(F.size("spans") > 0)
-    spans = spans.groupBy("_key").agg(F.first("spans").alias("spans"))
-    joined = keyed.join(spans, "_key", "left").select(*COLUMNS, "spans")
+    keyed = docs.withColumn("_key", F.struct(_key().alias("row"), marked.alias("marked")))
+    staging = Staging(spark)
+    spans = find_personal_data(keyed, "_key", staging=staging).where(F.size("spans") > 0)
+    spans = staging.put(spans.groupBy("_key").agg(F.first("spans").alias("spans")), "spans")
+    rare = spans.where(~F.col("_key.marked"))
+    # Few texts without digits and marks hold spans, and as long as they are few all others of that kind stay where they are.
+    few = rare.agg(F.coalesce(F.sum(F.size("spans")), F.lit(0))).first()[0] <= BROADCAST_SPANS
+    joined = keyed.where("_key.marked").join(spans.where("_key.marked"), "_key", "left").select(*COLUMNS, "spans")
+    joined = joined.union(keyed.where("not _key.marked").join(F.broadcast(rare) if few else rare, "_key", "left").select(*COLUMNS, "spans"))
     changed = joined.where("spans is not null").mapInArrow(redacting(COLUMNS), docs.schema)
     changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    rest = joined.where("spans is null").select(*COLUMNS)
-    return docs.where(~marked).union(rest).union(changed.select(*COLUMNS))
+    return joined.where("spans is null").select(*COLUMNS).union(changed.select(*COLUMNS))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
