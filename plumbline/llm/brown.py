@@ -8,7 +8,8 @@ its class after the class before, times that of the word within its class.
 * The ``vocabulary`` most frequent words are exchanged there, together with groups of rarer words with equal hash of their last
   three bytes, so that the clustering sees every token. A group only gives its words a class to begin with.
 * Then every other word moves, in ``rounds``, to the class that its own counts of classes before and after it fit best. These
-  counts, and the classes, are distributed tables. Classes follow the likelihood: a round that lowers it is taken back.
+  counts, summed in the task and packed into a row per word, and the classes are distributed tables, by a 64-bit hash of the word.
+  Counts of neighbouring classes are then taken anew, exactly, and classes follow the likelihood: moves that lower it are taken back.
 * A word that is in no training text has the class of its group, and there the count of nothing.
 * Counts and classes of words outside the ``frequent`` come from joins. A text's distinct ones travel once for each pair of classes
   around them, neighbouring ones also as a pair, and so do its own sums.
@@ -25,17 +26,21 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.words import Numbers, Words, pieces, sums, texts_of
+from plumbline.llm.words import Memo, Numbers, Words, pieces, sums, texts_of
 from plumbline.sources.staging import Staging
 
 END = b"\n"  # the end of a text; never a word, as it is white space
 VOCABULARY, GROUPS, CLASSES = 1000, 256, 64
 FREQUENT = 50_000
-SWEEPS, ROUNDS = 4, 2
+SWEEPS, ROUNDS = 4, 1
 _FLUSH = 200_000
+_HELD = 1_000_000  # contexts that a task sums before it sends them on
+_COUNT_BITS = 40
+_SEED = 42  # of Spark's xxhash64
 _PRIOR = 20.0
 
 
@@ -218,57 +223,159 @@ def _kinds(words: list[bytes], kinds: dict[bytes, int], unknown: np.ndarray | No
 _BEFORE_FIXED, _BEFORE, _AFTER = 0, 1, 2
 
 
-def _contexts(kinds: dict[bytes, int], unknown: np.ndarray | None, fixed: frozenset[bytes], classes: int, pairs: bool = False):
-    """How often each word that is not fixed has a class before and after it: ``word, code, n``. With ``pairs``
-    instead ``word, after, n`` of neighbours that are not fixed, at least one of which has its class in the table only."""
+def word_key(word: bytes) -> int:
+    """The hash that Spark's xxhash64 gives for the word."""
+    value = xxhash.xxh64_intdigest(word, seed=_SEED)
+    return value - (1 << 64) if value >> 63 else value
 
-    common = [w for w in kinds if w not in fixed]  # added up in the task; as many as are frequent
+
+class _Sums:
+    """Sums of counts by (key, code), sorted; held in arrays that are merged when they grow."""
+
+    def __init__(self):
+        self._held, self._size = [], 0
+
+    def add(self, key: np.ndarray, code: np.ndarray, n: np.ndarray) -> bool:
+        """Whether there are by now so many different ones that they should be sent on."""
+        self._held.append((key, code, n))
+        self._size += len(key)
+        if self._size < 2 * _HELD:
+            return False
+        self._held = [self._merged()]
+        self._size = len(self._held[0][0])
+        return self._size >= _HELD
+
+    def _merged(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        key, code, n = (np.concatenate([np.empty(0, np.int64), *x]) for x in zip(*self._held)) if self._held else [np.empty(0, np.int64)] * 3
+        if not len(key):
+            return key, code, n
+        order = np.lexsort((code, key))
+        key, code, n = key[order], code[order], n[order]
+        first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (code[1:] != code[:-1])]))
+        return key[first], code[first], np.add.reduceat(n, first)
+
+    def take(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        merged = self._merged()
+        self._held, self._size = [], 0
+        return merged
+
+
+def _packed(key: np.ndarray, code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """A row per key: its codes with their counts, each pair in one number."""
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
+    offsets = np.append(first, len(key)).astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array((code.astype(np.int64) << _COUNT_BITS) | n))
+    return pa.RecordBatch.from_arrays([pa.array(key[first]), lists], ["key", "contexts"])
+
+
+def _neighbours(words: Words, numbers: Numbers) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Numbers of each token and the one before it, ends of texts among them, and the words they stand for."""
+    codes = numbers.of(words.words)
+    distinct = [*numbers, END]
+    b, _ = _with_ends(codes, words.counts, len(distinct) - 1)
+    return np.concatenate([[len(distinct) - 1], b[:-1]]), b, distinct
+
+
+def _contexts(kinds: dict[bytes, int], unknown: np.ndarray, fixed: frozenset[bytes], classes: int):
+    """How often each word that is not fixed has a class before and after it: ``key, contexts``."""
+
+    common = [w for w in kinds if w not in fixed]  # added up in one array; as many as are frequent
     index = {w: k for k, w in enumerate(common)}
+    width = 3 * classes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0 if pairs else len(common) * 3 * classes, np.int32)
+        total, rare = np.zeros(len(common) * width, np.int32), _Sums()
+        keys_of = Memo(word_key)
         for batch in pieces(batches, "text"):
-            words, numbers = Words(texts_of(batch.column("text")), lower=True), Numbers()
-            codes = numbers.of(words.words)
-            distinct = [*numbers, END]
-            width, dictionary = len(distinct), pa.array(distinct, pa.binary())
-            b, _ = _with_ends(codes, words.counts, width - 1)
-            a = np.concatenate([[width - 1], b[:-1]])
+            a, b, distinct = _neighbours(Words(texts_of(batch.column("text")), lower=True), Numbers())
             kind, moves = _kinds(distinct, kinds, unknown), np.array([w not in fixed for w in distinct])
-            both = moves[a] & moves[b]
-            far = both & ((kind[a] < 0) | (kind[b] < 0))
-            if pairs:
-                found, n = np.unique(a[far] * width + b[far], return_counts=True)
-                second = dictionary.take(pa.array(found % width))
-            else:
-                width = 3 * classes
-                into, out = moves[b] & ~far, moves[a] & ~far
-                side = np.where(both, _BEFORE, _BEFORE_FIXED) * classes
-                keys = [b[into] * width + (side + kind[a])[into], a[out] * width + _AFTER * classes + kind[b[out]]]
-                found, n = np.unique(np.concatenate(keys), return_counts=True)
-                place = np.array([index.get(w, -1) for w in distinct], np.int64)[found // width]
-                total[place[place >= 0] * width + found[place >= 0] % width] += n[place >= 0].astype(np.int32)
-                found, n = found[place < 0], n[place < 0]
-                second = pa.array((found % width).astype(np.int32))
-            if len(found):
-                yield pa.RecordBatch.from_arrays(
-                    [dictionary.take(pa.array(found // width)), second, pa.array(n.astype(np.int64))], ["word", "after" if pairs else "code", "n"]
-                )
+            into, out = moves[b], moves[a]
+            side = np.where(moves[a] & moves[b], _BEFORE, _BEFORE_FIXED) * classes
+            found = np.concatenate([b[into] * width + (side + kind[a])[into], a[out] * width + _AFTER * classes + kind[b[out]]])
+            found, n = np.unique(found, return_counts=True)
+            word, code = np.divmod(found, width)
+            place = np.array([index.get(w, -1) for w in distinct], np.int64)[word]
+            total[place[place >= 0] * width + code[place >= 0]] += n[place >= 0].astype(np.int32)
+            word, code, n = word[place < 0], code[place < 0], n[place < 0]
+            if len(word):
+                named, at = np.unique(word, return_inverse=True)
+                if rare.add(keys_of.of([distinct[w] for w in named.tolist()], np.int64)[at], code, n):
+                    yield _packed(*rare.take())
+        yield _packed(*rare.take())
         at = np.flatnonzero(total)
-        for lo in range(0, len(at), 100_000):
-            part = at[lo : lo + 100_000]
-            names = pa.array([common[k] for k in (part // (3 * classes)).tolist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([names, pa.array((part % (3 * classes)).astype(np.int32)), pa.array(total[part].astype(np.int64))], ["word", "code", "n"])
+        keys = np.fromiter(map(word_key, common), np.int64, len(common))
+        yield _packed(keys[at // width], at % width, total[at].astype(np.int64))
 
     return run
 
 
+def _rare_pairs(kinds: dict[bytes, int], classes: int):
+    """Counts of neighbours: of classes that are both known here (``code``), of a word and a class beside it (``key, code``), of two words (``key, after``)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, beside, pairs = np.zeros(classes * classes, np.int64), _Sums(), _Sums()
+        keys_of = Memo(word_key)
+        none = lambda n: pa.nulls(n, pa.int64())
+
+        def single(key, code, n):
+            return pa.RecordBatch.from_arrays([pa.array(key), none(len(key)), pa.array(code), pa.array(n)], ["key", "after", "code", "n"])
+
+        def double(key, after, n):
+            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(after), none(len(key)), pa.array(n)], ["key", "after", "code", "n"])
+
+        for batch in pieces(batches, "text"):
+            a, b, distinct = _neighbours(Words(texts_of(batch.column("text")), lower=True), Numbers())
+            kind = _kinds(distinct, kinds, None)
+            rare = np.flatnonzero(kind < 0)
+            keys = np.zeros(len(distinct), np.int64)
+            keys[rare] = keys_of.of([distinct[w] for w in rare.tolist()], np.int64)
+            ka, kb = kind[a], kind[b]
+            known += np.bincount(ka[(ka >= 0) & (kb >= 0)] * classes + kb[(ka >= 0) & (kb >= 0)], minlength=classes * classes)
+            after, before, both = (ka < 0) & (kb >= 0), (ka >= 0) & (kb < 0), (ka < 0) & (kb < 0)
+            n = np.ones(len(a), np.int64)
+            key = np.concatenate([keys[a[after]], keys[b[before]]])
+            code = np.concatenate([_AFTER * classes + kb[after], _BEFORE * classes + ka[before]])
+            if beside.add(key, code, n[: len(key)]):
+                yield single(*beside.take())
+            if pairs.add(keys[a[both]], keys[b[both]], n[: int(both.sum())]):
+                yield double(*pairs.take())
+        yield single(*beside.take())
+        yield double(*pairs.take())
+        at = np.flatnonzero(known)
+        yield pa.RecordBatch.from_arrays([none(len(at)), none(len(at)), pa.array(at), pa.array(known[at])], ["key", "after", "code", "n"])
+
+    return run
+
+
+def _counted(texts: DataFrame, kinds: dict[bytes, int], table: DataFrame, classes: int, staging: Staging) -> np.ndarray:
+    """Exact counts of neighbouring classes in the texts; ``table`` has the classes of the words that are not in ``kinds``."""
+    found = texts.select("text").mapInArrow(_rare_pairs(kinds, classes), "key long, after long, code long, n long")
+    found = staging.put(found, "neighbours")
+    own = table.select("key", F.col("kind").cast("long").alias("own"))
+    beside = found.where("key is not null and after is null").join(own, "key")
+    left = F.when(F.col("code") >= _AFTER * classes, F.col("own")).otherwise(F.col("code") - _BEFORE * classes)
+    right = F.when(F.col("code") >= _AFTER * classes, F.col("code") - _AFTER * classes).otherwise(F.col("own"))
+    pairs = found.where("after is not null").join(own, "key").join(own.select(F.col("key").alias("after"), F.col("own").alias("next")), "after")
+    parts = [
+        found.where("key is null").select("code", "n"),
+        beside.select((left * classes + right).alias("code"), "n"),
+        pairs.select((F.col("own") * classes + F.col("next")).alias("code"), "n"),
+    ]
+    between = np.zeros((classes, classes))
+    for part in parts:
+        for code, n in part.groupBy("code").agg(F.sum("n").alias("n")).collect():  # at most classes * classes rows
+            between[divmod(code, classes)] += n
+    return between
+
+
 def _entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of a batch of words with their contexts: each entry's word, code and count."""
+    """Of a batch of words with their contexts: each entry's word, code and count; a word's codes are different."""
     lists = batch.column("contexts")
-    flat = lists.flatten()
+    flat = lists.flatten().to_numpy()
     owner = np.repeat(np.arange(len(lists)), pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))
-    return owner, flat.field("code").to_numpy().astype(np.int64), flat.field("n").to_numpy().astype(np.int64)
+    key, at = np.unique(owner << 20 | flat >> _COUNT_BITS, return_inverse=True)
+    n = np.bincount(at, weights=flat & ((1 << _COUNT_BITS) - 1), minlength=len(key)).astype(np.int64)
+    return key >> 20, key & ((1 << 20) - 1), n
 
 
 def _between(classes: int):
@@ -336,50 +443,45 @@ def _move(between: np.ndarray):
         counted = between.copy()
         for batch in batches:
             label = best_classes(*_entries(batch), batch.column("kind").to_numpy().astype(np.int64), counted)
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), pa.array(label.astype(np.int32))], ["word", "c", "kind"])
+            columns = [batch.column(c) for c in ("key", "word", "c")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(label.astype(np.int32))], ["key", "word", "c", "kind"])
 
     return run
 
 
 def classify(texts: DataFrame, model: ClassModel, counts: DataFrame, staging: Staging, groups=GROUPS, classes=CLASSES, rounds=ROUNDS) -> tuple[WordClasses, DataFrame]:
-    """A class for each training word, starting from those of ``train``: what scoring needs, and the table ``word, c, kind`` of all words but the vocabulary."""
+    """A class for each training word, starting from those of ``train``: what scoring needs, and the table ``word, c, kind`` of all words but the vocabulary.
+
+    While words move, a neighbour outside the frequent ones is seen in its group's class; in the first round all words are in theirs.
+    """
     spark, size = texts.sparkSession, len(model.unit)
     unknown, fixed = model.unit_class[size:], frozenset(model.unit)
     kinds = {w: int(model.unit_class[u]) for w, u in model.unit.items()}
     few = F.broadcast(spark.createDataFrame([(w,) for w in model.unit], "word binary"))
     group = F.pmod(F.crc32(F.substring("word", -3, 3)), F.lit(groups))
     begin = F.broadcast(spark.createDataFrame(list(enumerate(unknown.tolist())), "g long, kind int"))
-    table = counts.join(few, "word", "left_anti").withColumn("g", group.cast("long")).join(begin, "g").select("word", "c", "kind")
-    known, best = spark.createDataFrame([(w,) for w in model.frequent if w not in fixed], "word binary"), None
+    table = counts.join(few, "word", "left_anti").withColumn("g", group.cast("long")).join(begin, "g")
+    table = staging.put(table.select(F.xxhash64("word").alias("key"), "word", "c", "kind"), "classes")
+    known = spark.createDataFrame([(w,) for w in model.frequent if w not in fixed], "word binary")
     near = kinds | {w: int(unknown[group_of(w, groups)]) for w in model.frequent if w not in fixed}
-    guess = unknown  # in the first round every class is known to each task
-    for turn in range(rounds + 1):
-        table = staging.put(table, f"classes-{turn}")
-        if turn:
-            near, guess = kinds | {bytes(r.word): r.kind for r in table.join(F.broadcast(known), "word", "left_semi").select("word", "kind").collect()}, None
-        around = texts.select("text").mapInArrow(_contexts(near, guess, fixed, classes), "word binary, code int, n long")
-        if turn:
-            pairs = texts.select("text").mapInArrow(_contexts(near, guess, fixed, classes, True), "word binary, after binary, n long")
-            pairs = pairs.groupBy("word", "after").agg(F.sum("n").alias("n"))
-            pairs = pairs.join(table.select("word", F.col("kind").alias("own")), "word").join(table.select(F.col("word").alias("after"), "kind"), "after")
-            sides = [(F.col("after"), F.col("own") + _BEFORE * classes), (F.col("word"), F.col("kind") + _AFTER * classes)]
-            pairs = pairs.select(F.explode(F.array(*(F.struct(w.alias("word"), code.alias("code"), F.col("n")) for w, code in sides))).alias("x"))
-            around = around.union(pairs.select("x.*"))
-        around = around.repartition("word").groupBy("word", "code").agg(F.sum("n").alias("n"))
-        around = around.groupBy("word").agg(F.collect_list(F.struct("code", "n")).alias("contexts")).join(table, "word")
-        around = staging.put(around.sortWithinPartitions("word"), f"contexts-{turn}") if turn < rounds else around
+
+    likelihood = lambda m: _entropy(m).sum() - _entropy(m.sum(axis=1)).sum() - _entropy(m.sum(axis=0)).sum()
+    start, between = None, None
+    for turn in range(rounds):
+        around = texts.select("text").mapInArrow(_contexts(near, unknown, fixed, classes), "key long, contexts array<long>")
+        around = around.groupBy("key").agg(F.flatten(F.collect_list("contexts")).alias("contexts")).join(table, "key")
+        around = staging.put(around, "contexts")
         between = model.between.copy()
         found = around.select("kind", "contexts").mapInArrow(_between(classes), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
         for pair, n in found.collect():  # at most classes * classes rows
             between[divmod(pair, classes)] += n
-        value = _entropy(between).sum() - _entropy(between.sum(axis=1)).sum() - _entropy(between.sum(axis=0)).sum()
-        if best is not None and value <= best[0]:
-            break
-        best = value, between, table, near
-        if turn < rounds:
-            table = around.mapInArrow(_move(between), "word binary, c long, kind int")
-
-    _, between, table, near = best
+        start = start or (likelihood(between), between, table, near)
+        table = staging.put(around.mapInArrow(_move(between), "key long, word binary, c long, kind int"), "classes")
+        near = kinds | {bytes(r.word): r.kind for r in table.join(F.broadcast(known), "word", "left_semi").select("word", "kind").collect()}
+    between = _counted(texts, near, table, classes, staging)
+    if start is not None and likelihood(between) <= start[0]:
+        _, between, table, near = start
+    table = table.drop("key")
     mass = np.bincount(unknown, minlength=classes).astype(float)
     for word, kind in kinds.items():
         mass[kind] += model.frequent.get(word, 0) + 1
