@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import heappop, heappush
 from itertools import islice
 
 import numpy as np
@@ -24,6 +25,7 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # fixed values of the file format
 _NONE = np.int64(1 << 40)
 _KEPT_SEGMENTS = 300_000
+_LONG = 512  # symbols from which on a segment is merged by a queue
 _SLOT_BITS = 19
 
 
@@ -100,6 +102,7 @@ class Encoder:
         same = np.concatenate([[False], np.diff(v.scores[order]) == 0])
         rank[order] = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
         self.rank = rank
+        self._made_of: dict[int, int] | None = None  # the pair table as a dict, for long segments
         self._pair_table()
         self._segment_pattern()
         self.forget()
@@ -174,6 +177,41 @@ class Encoder:
         per_text = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
         return out, per_text
 
+    def _merge_long(self, symbols: list[int]) -> list[int]:
+        """The merges of one long segment, from a queue of pairs by rank and place.
+
+        A round looks at the whole segment, and a segment can need as many rounds as it has
+        symbols; here a merge touches only the pairs beside it.
+        """
+        if self._made_of is None:
+            self._made_of = dict(zip(self.pair_keys.tolist(), self.pair_made.tolist()))
+        made_of, rank, size = self._made_of, self.rank, len(symbols)
+        symbols, before, after = list(symbols), list(range(-1, size - 1)), [*range(1, size), -1]
+        queue: list[tuple[int, int, int, int, int]] = []
+
+        def offer(i: int) -> None:
+            j = after[i]
+            if j >= 0 and symbols[i] >= 0 and symbols[j] >= 0:
+                made = made_of.get(symbols[i] << 20 | symbols[j])
+                if made is not None:
+                    heappush(queue, (int(rank[made]), i, symbols[i], symbols[j], made))
+
+        for i in range(size):
+            offer(i)
+        gone = [False] * size
+        while queue:
+            _, i, left, right, made = heappop(queue)
+            j = after[i]
+            if gone[i] or j < 0 or symbols[i] != left or symbols[j] != right:
+                continue  # one of them was merged meanwhile
+            symbols[i], gone[j], after[i] = made, True, after[j]
+            if after[j] >= 0:
+                before[after[j]] = i
+            if before[i] >= 0:
+                offer(before[i])
+            offer(i)
+        return [symbol for symbol, dropped in zip(symbols, gone) if not dropped]
+
     def _merge(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the segments, flat, and their number in each."""
         raw = np.frombuffer("".join(segments).encode("utf-32-le"), np.uint32)
@@ -183,6 +221,13 @@ class Encoder:
         symbols, owner = known[at], np.repeat(np.arange(len(segments)), lengths)
 
         done_symbols, done_owner = [], []
+        first = np.cumsum(lengths) - lengths
+        for k in np.flatnonzero(lengths > _LONG).tolist():
+            merged = self._merge_long(symbols[first[k] : first[k] + lengths[k]].tolist())
+            done_symbols.append(np.array(merged, np.int64))
+            done_owner.append(np.full(len(merged), k))
+        short = (lengths <= _LONG)[owner]
+        symbols, owner = symbols[short], owner[short]
         while len(symbols):
             made = self._pairs(symbols, owner)
             rank = np.where(made >= 0, self.rank[made], _NONE)

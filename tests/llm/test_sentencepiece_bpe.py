@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import random
 
@@ -37,6 +38,19 @@ def test_odd_texts(library, vocabulary):
     ])
 
 
+def test_long_words(library, vocabulary):
+    """On both sides of the length from which a queue merges them; words that need as many rounds as letters end in seconds."""
+    rnd = random.Random(4)
+    letters = lambda n, of="abcdefghijklmnopqrstuvwxyz": "".join(rnd.choices(of, k=n))
+    texts = [letters(n) for n in (500, 511, 512, 513, 514, 600, 5_000)]
+    texts += [letters(n, "ab") for n in (511, 513, 4_000)] + [letters(3_000, "aé日x😀1"), "na" * 700, "x" * 1_025, letters(900, "the an")]
+    texts.append(base64.b64encode(rnd.randbytes(9_000)).decode())
+    texts.append("".join(rnd.choices(["这是", "一个", "没有", "空格", "的", "文本", "。", "あ", "い"], k=4_000)))
+    texts.append(f"before {letters(2_000)} between {letters(300)} after")
+    same(library, vocabulary, texts)
+    same(library, vocabulary, [letters(160_000)])
+
+
 def test_random_texts(library, vocabulary):
     rnd = random.Random(1)
     letters, words = "abcdeinorst  .é\n▁日0123", vocabulary.pieces[259:]

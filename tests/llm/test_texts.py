@@ -2,12 +2,14 @@
 
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
 
+from plumbline.llm import hyperdim
 from plumbline.llm.brown import class_scores, classify, exchange, group_of, train
 from plumbline.llm.crf import Crf, forward_backward
 from plumbline.llm.hyperdim import Profiles, identify
@@ -36,7 +38,7 @@ def test_held_out_languages(spark, sf_dir, sample):
 def test_bundles_are_sums_of_bound_letter_vectors():
     texts = ["Ab, ça!", "", "b  ab", "日本 Éa"]
     profiles = Profiles(128, 3)
-    vectors, owner, number, some = profiles.count(texts)
+    bundles, some = profiles.bundle(texts, np.arange(len(texts)), len(texts))
     assert some.tolist() == [True, False, True, True]
 
     def letter(c):
@@ -48,7 +50,26 @@ def test_bundles_are_sums_of_bound_letter_vectors():
         symbols = " " + re.sub(r"[^a-zéç日本]+", " ", text.lower()).strip() + " " if some[k] else ""
         want = Counter(symbols[i : i + 3] for i in range(len(symbols) - 2) if symbols[i + 1] != " ")
         total = sum((n * np.roll(letter(g[0]), 2) * np.roll(letter(g[1]), 1) * letter(g[2]) for g, n in want.items()), np.zeros(128, int))
-        assert (vectors[number[owner == k]].sum(axis=0) == total).all()
+        assert (bundles[k] == total).all()
+    together, _ = profiles.bundle(texts, np.array([1, 0, 1, 0]), 2)
+    assert (together == [bundles[1] + bundles[3], bundles[0] + bundles[2]]).all()
+
+
+def test_many_distinct_letters_need_little_memory(monkeypatch):
+    """2 MB of text with some 600,000 distinct trigrams; blocks of n-grams and rows give the same sums."""
+    rnd = np.random.default_rng(1)
+    text = "".join(map(chr, rnd.integers(0x4E00, 0x4E00 + 6000, 700_000).tolist()))
+    profiles = Profiles()
+    tracemalloc.start()
+    whole, _ = profiles.bundle([text], np.zeros(1, np.int64), 1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300e6
+    texts = [text[:900], "abc", text[900:2000], text[:50] * 3]
+    want, _ = profiles.bundle(texts, np.arange(4), 4)
+    monkeypatch.setattr(hyperdim, "_BLOCK", 64)
+    monkeypatch.setattr(hyperdim, "_MATRIX_CELLS", 128)
+    assert (profiles.bundle(texts, np.arange(4), 4)[0] == want).all() and abs(whole).sum() > 0
 
 
 def test_odd_languages(spark, odd_documents, no_documents):
