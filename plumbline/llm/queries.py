@@ -52,20 +52,22 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Also, for every twentieth id: ``n_near``, how many other documents are within the Hamming radius, and ``neighbours``, all fingerprints
-    within the wide radius with their distance and number of documents; these are the rows with that ``fingerprint``."""
+    """Also, for every twentieth id: how many other documents are within the Hamming radius (``n_near``) and within the wide radius (``n_wide``), and the
+    nearest other fingerprint of the latter with its distance; its documents are the rows of that ``fingerprint``. Pairs are summed up where they
+    are found, so a group of near copies never becomes a list; ``within_radius`` gives the pairs themselves."""
     staging = Staging(spark)
     found = staging.put(fingerprint_documents(documents(spark, sf_dir), staging=staging), "fingerprints")
     asked = F.col("doc_id") % SEARCH_EVERY == 0
     sizes = found.groupBy(F.col("fingerprint").alias("found")).agg(F.count(F.lit(1)).alias("n"))
     near = within_radius(found.where(asked), found, radius=WIDE_RADIUS, flips=WIDE_FLIPS).join(sizes, "found")
+    other = F.when(F.col("found") != F.col("query"), F.struct("distance", "found"))
     near = near.groupBy(F.col("query").alias("fingerprint")).agg(
-        (F.sum(F.when(F.col("distance") <= RADIUS, F.col("n"))) - 1).alias("near"),
-        F.sort_array(F.collect_list(F.struct("distance", F.col("found").alias("fingerprint"), "n"))).alias("around"),
+        (F.sum(F.when(F.col("distance") <= RADIUS, F.col("n"))) - 1).alias("near"), (F.sum("n") - 1).alias("wide"), F.min(other).alias("other")
     )
     return found.join(near, "fingerprint", "left").select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
-        F.when(asked, F.col("near")).alias("n_near"), F.when(asked, F.col("around")).alias("neighbours"),
+        F.when(asked, F.col("near")).alias("n_near"), F.when(asked, F.col("wide")).alias("n_wide"),
+        F.when(asked, F.col("other.found")).alias("nearest"), F.when(asked, F.col("other.distance")).alias("nearest_distance"),
     )
 
 

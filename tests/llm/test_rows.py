@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -106,12 +107,15 @@ def test_wide_radius_equals_brute_force_and_gives_neighbours(spark, sf_dir):
     assert near == {(a, b) for a in planted for b in [*prints, *planted] if apart(a, b) <= 15} and len(near) > 60
     with pytest.raises(ValueError):
         within_radius(df, df, radius=16, flips=1)
+    counts = Counter(r.fingerprint for r in found)
     for r in found:
         if r.doc_id % 20:
-            assert r.neighbours is None
+            assert r.n_wide is r.nearest is r.nearest_distance is None
         else:
-            want = {(apart(r.fingerprint, p), p, sum(x.fingerprint == p for x in found)) for p in prints if apart(r.fingerprint, p) <= 15}
-            assert {tuple(x) for x in r.neighbours} == want
+            around = sorted((apart(r.fingerprint, p), p) for p in counts if apart(r.fingerprint, p) <= 15)
+            assert r.n_wide == sum(counts[p] for _, p in around) - 1
+            others = [pair for pair in around if pair[1] != r.fingerprint]
+            assert (r.nearest_distance, r.nearest) == (others[0] if others else (None, None))
 
 
 def test_odd_fingerprints(spark, odd_documents, no_documents):
