@@ -24,14 +24,12 @@ def number_staged_rows(staged: DataFrame, name: str, start: int = 0) -> DataFram
     task = F.regexp_extract(file, r"part-(\d+)-", 1).cast("long")
     chunk = F.regexp_extract(file, r"-c(\d+)[^/]*$", 1).cast("long")
     earlier = Window.orderBy(task, chunk, file).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy(file)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(file, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
-    )
-    # One row per file. Beyond the limit the rows are shuffled by file, which is even.
-    files = staged.inputFiles()
-    if sum(len(path) + _OFFSET_BYTES for path in files) <= broadcast_limit(staged.sparkSession):
+    per_file = staged.groupBy(F.col("_metadata.file_path").alias(file)).agg(F.count(F.lit(1)).alias("_rows"))
+    offsets = per_file.select(file, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
+    # One row per file, measured where they are counted: a number reaches the driver, no path. Beyond the
+    # limit the rows are shuffled by file, which is even.
+    size = per_file.agg(F.coalesce(F.sum(F.octet_length(file) + _OFFSET_BYTES), F.lit(0))).first()[0]
+    if size <= broadcast_limit(staged.sparkSession):
         offsets = F.broadcast(offsets)
     numbered = rows.join(offsets, file)
     number = F.lit(start).cast("long") + F.col("_offset") + F.col(position) + 1

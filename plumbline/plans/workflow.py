@@ -153,7 +153,7 @@ def run_workflow(
     The staged tables of the run are deleted at its end, also after a failure, unless they
     are to be kept; who calls the parts of the workflow with a staging of their own clears it.
     """
-    store = Store(spark, schema, table_format)
+    store = Store(spark, schema, table_format, enforce=True)
     store.create()
     staging = Staging(spark)
     try:

@@ -95,11 +95,18 @@ DQ_EXCEPTIONS = _schema(
     ("modified_at_ts", _TS),
 )
 
-# The stored tables also hold the generated key columns.
-DQ_VALIDATIONS_TABLE = T.StructType([T.StructField("integration_id", _STRING), *DQ_VALIDATIONS.fields])
-DQ_EXCEPTIONS_TABLE = T.StructType(
-    [T.StructField("integration_id", _STRING), T.StructField("exception_key", _LONG), *DQ_EXCEPTIONS.fields]
-)
+DEFAULT = "default"  # in a field's metadata: the expression that fills a missing value
+
+
+def _stored(schema: T.StructType, integration_id: str, *keys: T.StructField) -> T.StructType:
+    """A stored table also holds generated key columns, and times that are filled in where they are missing."""
+    now = {"created_at_ts": "current_timestamp()", "modified_at_ts": "current_timestamp()"}
+    fields = [T.StructField(f.name, f.dataType, f.nullable, {DEFAULT: now[f.name]} if f.name in now else {}) for f in schema.fields]
+    return T.StructType([T.StructField("integration_id", _STRING, True, {DEFAULT: integration_id}), *keys, *fields])
+
+
+DQ_VALIDATIONS_TABLE = _stored(DQ_VALIDATIONS, "concat(rule_key, '~', execution_key)")
+DQ_EXCEPTIONS_TABLE = _stored(DQ_EXCEPTIONS, "concat(exception_row_pk, '~', modified_at_ts)", T.StructField("exception_key", _LONG))
 
 # Two rows per run: when it starts to store its results, and when all are stored.
 DQ_RUNS = _schema(

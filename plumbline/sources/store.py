@@ -6,12 +6,13 @@ import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from plumbline.functions.expressions import quoted
 from plumbline.operators import runs, upsert
 from plumbline.operators.align import align_to_schema
-from plumbline.schemas import DQ_EXCEPTIONS_TABLE, DQ_RULE, DQ_RULE_TYPE, DQ_RUNS, DQ_VALIDATIONS_TABLE
+from plumbline.schemas import DEFAULT, DQ_EXCEPTIONS_TABLE, DQ_RULE, DQ_RULE_TYPE, DQ_RUNS, DQ_VALIDATIONS_TABLE
 from plumbline.sources.staging import Staging
 
 FORMATS = ("parquet", "hive", "delta")
@@ -20,10 +21,27 @@ FORMATS = ("parquet", "hive", "delta")
 IDENTITY = {"dq_rule": "rule_key", "dq_exceptions": "exception_key"}
 
 
+def complete_rows(rows: DataFrame, schema: StructType, table: str) -> DataFrame:
+    """Rows as a table's contract wants them: missing values have their defaults, and a null where none may be ends the job, naming the column.
+
+    Defaults may refer to other columns, and see those columns' defaults. Both happen in the projection that the append makes anyway.
+    """
+    defaults = {f.name: f.metadata[DEFAULT] for f in schema.fields if DEFAULT in f.metadata}
+    for name in sorted(defaults, key=lambda n: any(other in defaults[n] for other in defaults)):
+        kind = schema[name].dataType
+        rows = rows.withColumn(name, F.coalesce(F.col(name), F.expr(defaults[name]).cast(kind)))
+    refused = {
+        f.name: F.coalesce(F.col(f.name), F.raise_error(F.lit(f"{table}.{f.name} must not be null")).cast(f.dataType)) for f in schema.fields if not f.nullable
+    }
+    return rows.withColumns(refused)
+
+
 def create_statement(name: str, schema: StructType, table_format: str, partition: str | None = None, identity: str | None = None) -> str:
     numbered = " GENERATED ALWAYS AS IDENTITY (START WITH 1 INCREMENT BY 1)"
+    # Only Delta tables hold to it themselves; for others the store does when it appends.
+    must = lambda field: " NOT NULL" if table_format == "delta" and not field.nullable and field.name != identity else ""
     columns = ", ".join(
-        f"`{field.name}` {field.dataType.simpleString()}{numbered if field.name == identity else ''}" for field in schema.fields
+        f"`{field.name}` {field.dataType.simpleString()}{numbered if field.name == identity else ''}{must(field)}" for field in schema.fields
     )
     partitioned = f" PARTITIONED BY ({partition})" if partition else ""
     return f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {table_format}{partitioned}"
@@ -40,16 +58,19 @@ class Store:
     Both ledger tables are partitioned by run, so that looking up the previous run
     reads one partition whatever the length of the history. With ``generated_keys`` (default for
     Delta) the tables number rules and exceptions themselves, so these columns are never written.
+    With ``enforce`` appended exceptions, validations and runs must keep the contract of their table: see ``complete_rows``.
     """
 
-    def __init__(self, spark: SparkSession, schema: str = "dqops", table_format: str = "parquet", generated_keys: bool | None = None):
+    def __init__(
+        self, spark: SparkSession, schema: str = "dqops", table_format: str = "parquet", generated_keys: bool | None = None, enforce: bool = False
+    ):
         if table_format not in FORMATS:
             raise ValueError(f"unsupported table format: {table_format}")
         self.generated_keys = table_format == "delta" if generated_keys is None else generated_keys
         if table_format == "hive":
             # Appends name the run's partition in the rows.
             spark.conf.set("hive.exec.dynamic.partition.mode", "nonstrict")
-        self.spark, self.schema, self.format = spark, schema, table_format
+        self.spark, self.schema, self.format, self.enforce = spark, schema, table_format, enforce
         self.rules = f"{schema}.dq_rule"
         self.rule_types = f"{schema}.dq_rule_type"
         self.exceptions = f"{schema}.dq_exceptions"
@@ -93,6 +114,9 @@ class Store:
     def append(self, df: DataFrame, name: str) -> None:
         """Append rows, fitted to the stored table's schema."""
         rows = align_to_schema(df, self.table(name).schema)
+        contract = {self.exceptions: DQ_EXCEPTIONS_TABLE, self.validations: DQ_VALIDATIONS_TABLE, self.runs: DQ_RUNS}.get(name)
+        if self.enforce and contract is not None:
+            rows = complete_rows(rows, contract, name).select(rows.columns)
         if self.identity(name) is None:
             rows.write.insertInto(name)
         else:

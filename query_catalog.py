@@ -1207,18 +1207,19 @@ def in_database(spark: SparkSession, work: Callable[[Store], DataFrame]) -> Data
 
 @query(
     "catalog_rule_tables",
-    "SELECT n_nationkey, n_name FROM nation WHERE n_regionkey % 2 = 0",
+    "SELECT c_custkey, c_name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey % 2 = 0",
 )
 def catalog_rule_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations of every other region, each region a table, found by a part of its name and read by its name."""
+    """Customers of every other region, each region's a table, found by a part of its name and read by its name."""
 
     def work(store: Store) -> DataFrame:
-        nations = table(spark, sf_dir, "nation")
+        nations = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
+        customers = table(spark, sf_dir, "customer").join(nations, "c_nationkey")
         for region in range(5):
             kind = "rules" if region % 2 == 0 else "notes"
-            nations.filter(F.col("n_regionkey") == region).write.saveAsTable(f"{store.schema}.{kind}_of_{region}")
+            customers.filter(F.col("n_regionkey") == region).write.saveAsTable(f"{store.schema}.{kind}_of_{region}")
         found = [store.table(name) for name in catalog.rule_tables(spark, store.schema, "rules_of")]
-        return reduce(DataFrame.unionByName, found).select("n_nationkey", "n_name")
+        return reduce(DataFrame.unionByName, found).select("c_custkey", "c_name")
 
     return in_database(spark, work)
 

@@ -3,7 +3,7 @@
 import pytest
 from helpers import IN_SET, UNIQUE, bad_ids, rule
 from plumbline.operators import probe as P
-from plumbline.operators.numbering import number_rows
+from plumbline.operators.numbering import number_rows, number_staged_rows
 from plumbline.sources.staging import Staging
 from pyspark.sql import functions as F
 
@@ -140,3 +140,20 @@ def test_probe_of_another_type(spark, no_broadcast):
     keys = spark.range(0, 500, 2).select(F.col("id").alias("_k0"), F.lit(1).alias("n"))
     found = P.probe(df, [F.col("x")], P.stage_keys(keys, Staging(spark), "keys"), "left_semi")
     assert found.count() == df.filter("x % 2 = 0").count()
+
+
+def test_numbers_of_many_files_need_no_list_of_them(spark, monkeypatch):
+    """A thousand small files; beyond the broadcast limit, too."""
+    def refused(self):
+        raise AssertionError("the driver must not ask for all files")
+
+    staged = Staging(spark).put(spark.range(0, 2500, 1, 1000), "many")
+    monkeypatch.setattr(type(staged), "inputFiles", refused)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for size in (limit, "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+            numbers = sorted(row["n"] for row in number_staged_rows(staged, "n", 10).collect())
+            assert numbers == list(range(11, 2511))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)

@@ -204,6 +204,27 @@ def test_generated_keys_are_never_written(spark):
     assert Store(spark, "s").identity("s.dq_rule") is None and Store(spark, "s", "delta", generated_keys=False).identity("s.dq_rule") is None
 
 
+def test_appended_rows_keep_the_contract_of_their_table(spark, schema):
+    store = Store(spark, schema, enforce=True)
+    store.create()
+    given = (
+        "SELECT 1L AS exception_key, 1L AS validation_key, 2L AS rule_key, 3 AS execution_key, '7' AS exception_row_pk, 'x' AS exception_row_value, "
+        "false AS fixed_exception_flag, true AS new_exception_flag, false AS row_delete_flag, CAST(NULL AS TIMESTAMP) AS created_at_ts, "
+        "TIMESTAMP'2024-01-01' AS modified_at_ts"
+    )
+    store.append(spark.sql(given), store.exceptions)
+    row = store.table(store.exceptions).first()
+    assert row["integration_id"] == "7~2024-01-01 00:00:00" and row["created_at_ts"].year >= 2024
+    for column in ("rule_key", "exception_row_pk", "row_delete_flag"):
+        with pytest.raises(Exception, match=f"dq_exceptions.{column} must not be null"):
+            store.append(spark.sql(given).withColumn(column, F.lit(None)), store.exceptions)
+    with pytest.raises(Exception, match="dq_validations.validation_key must not be null"):
+        store.append(spark.sql("SELECT 1L AS rule_key"), store.validations)
+    assert store.table(store.exceptions).count() == 1 and store.table(store.validations).isEmpty()
+    text = create_statement("s.dq_rule", DQ_RULE, "delta", None, "rule_key")
+    assert "`rule_no` int NOT NULL" in text and "`it_steward` string," in text and "IDENTITY (START WITH 1 INCREMENT BY 1)," in text
+
+
 def test_staging_needs_a_shared_folder_and_can_be_cleared(spark, tmp_path):
     staging = Staging(spark)
     assert staging.path.startswith(spark.conf.get("spark.checkpoint.dir"))
