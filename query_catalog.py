@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime
 from functools import reduce
 
@@ -1192,6 +1193,39 @@ def validation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(result.validations.drop("created_at_ts", "modified_at_ts"))
 
 
+def _asset_validation(rule: int, key: int, relation: str, bad: str, scope: str = "TRUE") -> str:
+    return f"""
+        SELECT CAST({rule} AS BIGINT) AS rule_key, CAST({key} AS BIGINT) AS validation_key, count(*) FILTER ({scope}) AS element_count,
+               count(*) FILTER ({scope} AND {bad}) AS exception_count, count(*) FILTER ({scope} AND {bad}) AS new_exception_count,
+               count(*) FILTER ({scope} AND {bad}) = 0 AS success_flag, count(*) AS table_rows FROM {relation}"""
+
+
+@query(
+    "validation_rows_assets",
+    f"""SELECT rule_key, validation_key, element_count, exception_count, new_exception_count, success_flag,
+               round(CAST(new_exception_count AS DOUBLE) / table_rows, 4) AS new_exception_percent FROM (
+        {_asset_validation(1, 1, "customer", "(c_acctbal < 0 OR c_acctbal > 8500)")} UNION ALL
+        {_asset_validation(5, 2, "customer", "c_mktsegment NOT IN ('BUILDING', 'MACHINERY')", "c_nationkey < 10")} UNION ALL
+        {_asset_validation(3, 3, "lineitem", "l_discount > 0.05::DOUBLE")} UNION ALL
+        {_asset_validation(2, 4, "orders", "o_totalprice < 2000")} UNION ALL
+        {_asset_validation(4, 5, "part", "p_size > 60")})""",
+)
+def validation_rows_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run over four tables: validations are numbered by table, then rule; one table passes."""
+    within = "ExpectColumnValuesToBeBetween"
+    specs = [
+        balance_rule(0, 8500), replace(segment_rule(), rule_key=5),
+        rule(within, {"column": "o_totalprice", "min_value": 2000}, "o_orderkey", "o_totalprice", 2, table="orders"),
+        rule(within, {"column": "l_discount", "max_value": 0.05}, LINE_KEYS, "l_discount", 3, table="lineitem"),
+        rule(within, {"column": "p_size", "max_value": 60}, "p_partkey", "p_size", 4, table="part"),
+    ]
+    rows = customer_run(spark, sf_dir, specs, FIRST_RUN).validations
+    return rows.select(
+        "rule_key", "validation_key", "element_count", "exception_count", "new_exception_count", "success_flag",
+        F.round(F.col("new_exception_percent").cast("double"), 4).alias("new_exception_percent"),
+    )
+
+
 # -- catalog and store --------------------------------------------------------
 
 
