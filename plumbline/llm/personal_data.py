@@ -42,7 +42,9 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _CANDIDATE = re.compile(r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+@:/-]{4,}(?<=[A-Za-z0-9])")
 _KEY = re.compile(r"([A-Za-z][A-Za-z_-]{1,30})[ ]?[=:][ ]?[\"']?$")
 _KEYED = re.compile(r"(?<![A-Za-z_-])[A-Za-z][A-Za-z_-]{1,30}[ ]?[=:][ ]?[\"']?([^\s\"'<>,;]{4,})")
-_FOLLOWING = re.compile(r"(?<![A-Za-z_-])([A-Za-z][A-Za-z_-]{1,30})[ ]?[=:][ ]?[\"']?([^\s\"'<>,;]+)")
+# A key, from its mark backwards, and the value behind the mark.
+_MARK, _NAME = re.compile("[=:]"), re.compile(r"(?<![A-Za-z_-])([A-Za-z][A-Za-z_-]{1,30})[ ]?\Z")
+_VALUE = re.compile(r"[ ]?[\"']?([^\s\"'<>,;]+)")
 _CAPITALS = re.compile(r"[A-Z]{4}(?=[A-Z0-9]{8,}$)")
 MARKED = "[0-9@=:]"  # a text without such a character holds no seed, candidate or key
 _OPENING, _CLOSING = b"\"'([{<", b".,;:!?)]}>\"'"  # what may stand around a token that is no part of it
@@ -231,12 +233,19 @@ def _followers(table: np.ndarray):
                 if not keyed and k not in found:
                     continue
                 text = raw.decode("utf-8", "replace")
-                places = [(len(raw[:a].decode("utf-8", "replace")), len(raw[:b].decode("utf-8", "replace")), p) for a, b, p in found.get(k, [])]
-                for match in _FOLLOWING.finditer(text) if keyed else ():
-                    pattern = xxhash.xxh3_64_intdigest(b"key " + match[1].lower().encode())
-                    token = match[2].rstrip(_CLOSING.decode())
-                    if marked[pattern & int(mask)] and token:
-                        places.append((match.start(2), match.start(2) + len(token), _signed(pattern)))
+                places = []
+                if k in found:
+                    upto = np.concatenate([[0], np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)]).tolist()
+                    places = [(upto[a], upto[b], p) for a, b, p in found[k]]
+                for mark in _MARK.finditer(text) if keyed else ():
+                    key = _NAME.search(text, max(0, mark.start() - 33), mark.start())
+                    if key is None:
+                        continue
+                    pattern = xxhash.xxh3_64_intdigest(b"key " + key[1].lower().encode())
+                    if marked[pattern & int(mask)] and (value := _VALUE.match(text, mark.end())):
+                        token = value[1].rstrip(_CLOSING.decode())
+                        if token:
+                            places.append((value.start(1), value.start(1) + len(token), _signed(pattern)))
                 if places:
                     busy = _Busy(base_spans(text))
                     rows += [(k, a, b, p) for a, b, p in places if not busy(a, b)]

@@ -307,3 +307,19 @@ def test_stages_on_odd_rows(spark, odd_documents, no_documents, sf_dir):
                 assert count == docs.count()
     kept = corpus_pipeline.near_dedup(spark, odd_documents, sf_dir).select("doc_id").collect()
     assert sorted(r.doc_id for r in kept if r.doc_id is not None and r.doc_id in (5, 11, 12, 13)) == [5, 11]
+
+
+def test_of_rows_with_one_id_the_same_stays_whatever_their_order(spark):
+    """Equal id and text, other source or language: the order of hashes decides; rows equal throughout are one; null ids come last."""
+    text = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, text, lang, source, 5) for lang in ("en", "de", None) for source in ("a", "b", None)] * 2
+    rows += [(0, "another text of seven words for once", "en", "a", 1)] * 3 + [(None, text + " end", "en", "a", 1), (None, "alone here", None, None, None), (None, None, None, None, None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    answers = set()
+    for seed in range(3):
+        order = np.random.default_rng(seed).permutation(len(rows))
+        df = spark.createDataFrame([rows[k] for k in order], schema).repartition(seed + 1)
+        kept = sorted(map(tuple, corpus_pipeline.near_dedup(spark, df, "").collect()), key=str)
+        assert [row[0] for row in kept].count(1) == 1 and sorted(str(row[1])[:7] for row in kept) == ["None", "alone h", "another", "w0 w1 w"]
+        answers.add(tuple(kept))
+    assert len(answers) == 1
