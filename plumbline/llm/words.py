@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
 MIXER = np.uint64(0x9E3779B97F4A7C15)
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
