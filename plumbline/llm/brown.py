@@ -38,6 +38,7 @@ VOCABULARY, GROUPS, CLASSES = 1000, 256, 64
 FREQUENT = 50_000
 SWEEPS, ROUNDS = 4, 1
 _FLUSH = 200_000
+_PIECE = 2 << 20  # bytes of text
 _HELD = 1_000_000  # contexts that a task sums before it sends them on
 _COUNT_BITS = 40
 _SEED = 42  # of Spark's xxhash64
@@ -214,10 +215,18 @@ def train(texts: DataFrame, staging: Staging, vocabulary=VOCABULARY, groups=GROU
     return model, counts
 
 
-def _kinds(words: list[bytes], kinds: dict[bytes, int], unknown: np.ndarray | None) -> np.ndarray:
-    """Classes of words; of those not in ``kinds`` the class of the group, or -1 without such."""
-    other = (lambda w: -1) if unknown is None else lambda w: unknown[group_of(w, len(unknown))]
-    return np.array([kinds[w] if w in kinds else other(w) for w in words], np.int64)
+class _Known:
+    """Words that each task knows, by number, with what they stand for in arrays; a number of -1 is any other word."""
+
+    def __init__(self, words: list[bytes], *values: list[int]):
+        self.number = {word: k for k, word in enumerate(words)}
+        self.values = [np.append(np.array(v, np.int64), -1) for v in values]
+
+    def of(self, words: list[bytes]) -> tuple[np.ndarray, ...]:
+        """Numbers of the words, and their values, -1 for others."""
+        get = self.number.get
+        at = np.fromiter((get(word, -1) for word in words), np.int64, len(words))
+        return at, *(v[at] for v in self.values)
 
 
 _BEFORE_FIXED, _BEFORE, _AFTER = 0, 1, 2
@@ -280,27 +289,30 @@ def _contexts(kinds: dict[bytes, int], unknown: np.ndarray, fixed: frozenset[byt
     """How often each word that is not fixed has a class before and after it: ``key, contexts``."""
 
     common = [w for w in kinds if w not in fixed]  # added up in one array; as many as are frequent
-    index = {w: k for k, w in enumerate(common)}
+    known = _Known([*common, *(w for w in kinds if w in fixed)], [kinds[w] for w in common] + [kinds[w] for w in kinds if w in fixed])
     width = 3 * classes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, rare = np.zeros(len(common) * width, np.int32), _Sums()
         keys_of = Memo(word_key)
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", _PIECE):
             a, b, distinct = _neighbours(Words(texts_of(batch.column("text")), lower=True), Numbers())
-            kind, moves = _kinds(distinct, kinds, unknown), np.array([w not in fixed for w in distinct])
+            place, kind = known.of(distinct)
+            other = np.flatnonzero(place < 0)
+            others = [distinct[w] for w in other.tolist()]
+            kind[other] = unknown[np.fromiter((group_of(w, len(unknown)) for w in others), np.int64, len(others))]
+            keys = np.zeros(len(distinct), np.int64)
+            keys[other] = keys_of.of(others, np.int64)
+            moves = place < len(common)
             into, out = moves[b], moves[a]
-            side = np.where(moves[a] & moves[b], _BEFORE, _BEFORE_FIXED) * classes
+            side = np.where(into & out, _BEFORE, _BEFORE_FIXED) * classes
             found = np.concatenate([b[into] * width + (side + kind[a])[into], a[out] * width + _AFTER * classes + kind[b[out]]])
             found, n = np.unique(found, return_counts=True)
             word, code = np.divmod(found, width)
-            place = np.array([index.get(w, -1) for w in distinct], np.int64)[word]
-            total[place[place >= 0] * width + code[place >= 0]] += n[place >= 0].astype(np.int32)
-            word, code, n = word[place < 0], code[place < 0], n[place < 0]
-            if len(word):
-                named, at = np.unique(word, return_inverse=True)
-                if rare.add(keys_of.of([distinct[w] for w in named.tolist()], np.int64)[at], code, n):
-                    yield _packed(*rare.take())
+            often = place[word] >= 0
+            total[place[word[often]] * width + code[often]] += n[often].astype(np.int32)
+            if rare.add(keys[word[~often]], code[~often], n[~often]):
+                yield _packed(*rare.take())
         yield _packed(*rare.take())
         at = np.flatnonzero(total)
         keys = np.fromiter(map(word_key, common), np.int64, len(common))
@@ -311,6 +323,7 @@ def _contexts(kinds: dict[bytes, int], unknown: np.ndarray, fixed: frozenset[byt
 
 def _rare_pairs(kinds: dict[bytes, int], classes: int):
     """Counts of neighbours: of classes that are both known here (``code``), of a word and a class beside it (``key, code``), of two words (``key, after``)."""
+    here = _Known(list(kinds), list(kinds.values()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, beside, pairs = np.zeros(classes * classes, np.int64), _Sums(), _Sums()
@@ -323,9 +336,9 @@ def _rare_pairs(kinds: dict[bytes, int], classes: int):
         def double(key, after, n):
             return pa.RecordBatch.from_arrays([pa.array(key), pa.array(after), none(len(key)), pa.array(n)], ["key", "after", "code", "n"])
 
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", _PIECE):
             a, b, distinct = _neighbours(Words(texts_of(batch.column("text")), lower=True), Numbers())
-            kind = _kinds(distinct, kinds, None)
+            _, kind = here.of(distinct)
             rare = np.flatnonzero(kind < 0)
             keys = np.zeros(len(distinct), np.int64)
             keys[rare] = keys_of.of([distinct[w] for w in rare.tolist()], np.int64)
@@ -465,12 +478,13 @@ def classify(texts: DataFrame, model: ClassModel, counts: DataFrame, staging: St
     known = spark.createDataFrame([(w,) for w in model.frequent if w not in fixed], "word binary")
     near = kinds | {w: int(unknown[group_of(w, groups)]) for w in model.frequent if w not in fixed}
 
+    passing = Staging(spark)  # what is of use here only, and as large as the texts
     likelihood = lambda m: _entropy(m).sum() - _entropy(m.sum(axis=1)).sum() - _entropy(m.sum(axis=0)).sum()
     start, between = None, None
     for turn in range(rounds):
         around = texts.select("text").mapInArrow(_contexts(near, unknown, fixed, classes), "key long, contexts array<long>")
         around = around.groupBy("key").agg(F.flatten(F.collect_list("contexts")).alias("contexts")).join(table, "key")
-        around = staging.put(around, "contexts")
+        around = passing.put(around, "contexts")
         between = model.between.copy()
         found = around.select("kind", "contexts").mapInArrow(_between(classes), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
         for pair, n in found.collect():  # at most classes * classes rows
@@ -478,7 +492,9 @@ def classify(texts: DataFrame, model: ClassModel, counts: DataFrame, staging: St
         start = start or (likelihood(between), between, table, near)
         table = staging.put(around.mapInArrow(_move(between), "key long, word binary, c long, kind int"), "classes")
         near = kinds | {bytes(r.word): r.kind for r in table.join(F.broadcast(known), "word", "left_semi").select("word", "kind").collect()}
-    between = _counted(texts, near, table, classes, staging)
+        passing.clear()
+    between = _counted(texts, near, table, classes, passing)
+    passing.clear()
     if start is not None and likelihood(between) <= start[0]:
         _, between, table, near = start
     table = table.drop("key")
@@ -494,6 +510,8 @@ def classify(texts: DataFrame, model: ClassModel, counts: DataFrame, staging: St
 
 
 def _score(model: WordClasses):
+    known = _Known(list(model.frequent), *zip(*model.frequent.values()))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base_norm = math.log10(model.tokens + model.types + 1)
         for batch in pieces(batches, "text"):
@@ -501,7 +519,7 @@ def _score(model: WordClasses):
             codes = numbers.of(words.words)
             distinct = [*numbers, END]
             codes, first = _with_ends(codes, words.counts, len(distinct) - 1)
-            count, kind = np.array([model.frequent.get(w, (-1, -1)) for w in distinct], np.int64).T
+            _, count, kind = known.of(distinct)
             bonus = np.log10(np.maximum(count, 0) + 1)  # of rare words: joined later
             kinds, end = kind[codes], kind[-1]
             before, after = np.concatenate([[end], kinds[:-1]]), np.append(kinds[1:], -1)
