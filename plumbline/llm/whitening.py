@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.exact_spectrum import largest_components
@@ -159,7 +159,7 @@ def _identity_error(scatter: list[list[int]], columns: tuple[tuple[float, ...],
     return max((abs(int(value) - one * (i == j)) / one for i, row in enumerate(covariance) for j, value in enumerate(row)), default=0.0)
 
 
-def whitened_rows(vectors: DataFrame, *, key: str = "vec_id", column: str = "embedding", components: int = COMPONENTS, spark: SparkSession | None = None) -> DataFrame:
+def whitened_rows(vectors: DataFrame, *, key: str = "vec_id", column: str = "embedding", components: int = COMPONENTS) -> DataFrame:
     """A row per vector and component: key, component (from 1), n, deviation, whitened, explained, identity_error.
 
     Null and repeated keys are rows as others; no other column is read. An empty table, and
