@@ -181,24 +181,51 @@ def repeated(rows: DataFrame, keys: list[Column]) -> DataFrame:
     return counted.filter(F.col("n") > 1)
 
 
+# Spark groups by sets of at most 64 columns.
+GROUPED_COLUMNS = 64
+
+
 def repeated_of_all(df: DataFrame, checks: list[KeyedCheck]) -> DataFrame:
-    """Repeated keys of several uniqueness rules, from one scan: ``rule`` (the check's place), ``_k0``, ``n``.
+    """Repeated keys of several uniqueness rules, from one scan: ``rule`` (the check's place), ``n``, and ``_k<place>_<i>`` for the keys of each.
 
-    A row goes into the aggregation once for each rule that judges it, with the rule and the packed key.
+    A row goes into the aggregation once for each rule, with that rule's keys in their own types. Keys of rows that a rule does not
+    judge are null there; where null is also a key, a flag tells them apart.
     """
-    judged = [F.when(check.judges(), F.struct(F.lit(i).alias("rule"), check.packed().alias("_k0"))) for i, check in enumerate(checks)]
-    rows = df.select(F.explode(F.array(*judged)).alias("x")).filter(F.col("x").isNotNull()).select("x.*")
-    return rows.groupBy("rule", "_k0").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    columns, sets, kept = [], [], F.lit(False)
+    for i, check in enumerate(checks):
+        names = key_names(i, check)
+        columns += [F.when(check.judges(), key).alias(name) for key, name in zip(check.keys, names)]
+        judged = F.col(names[0]).isNotNull()
+        if check.null_safe:
+            names, judged = [*names, f"_judged{i}"], F.col(f"_judged{i}").isNotNull()
+            columns.append(F.when(check.judges(), F.lit(True)).alias(names[-1]))
+        sets.append(names)
+        kept |= (F.col("rule") == i) & judged
+    names = [name for some in sets for name in some]
+    # A bit for each column that a set lacks, the first column's highest.
+    left_out = [sum(1 << (len(names) - 1 - k) for k, name in enumerate(names) if name not in some) for some in sets]
+    place = F.coalesce(*[F.when(F.grouping_id() == bits, F.lit(i)) for i, bits in enumerate(left_out)])
+    counted = df.select(*columns).groupingSets(sets, *names).agg(place.alias("rule"), F.count(F.lit(1)).alias("n"))
+    return counted.filter((F.col("n") > 1) & kept)
+
+
+def key_names(place: int, check: KeyedCheck) -> list[str]:
+    return [f"_k{place}_{j}" for j in range(len(check.keys))]
 
 
 def prepare_repeated(df: DataFrame, checks: list[KeyedCheck], staging: Staging) -> None:
-    """Prepare uniqueness rules that have packed keys together; a rule's set is then that of its packed keys."""
+    """Prepare uniqueness rules together. Keys of several columns are packed only where there are too many columns to group by."""
     if len(checks) == 1:
         checks[0].prepare(df, staging)
         return
+    if sum(len(check.keys) + check.null_safe for check in checks) > GROUPED_COLUMNS:
+        for check in checks:
+            if len(check.keys) > 1:
+                check.keys, check.null_safe = [check.packed()], False
     staged = staging.put(repeated_of_all(df, checks), "bad-keys")
-    for (i, check), keys in zip(enumerate(checks), measured_sets(staged, "rule", len(checks))):
-        check.key_set, check.keys, check.null_safe = keys, [check.packed()], False
+    names = [key_names(i, check) for i, check in enumerate(checks)]
+    for check, keys in zip(checks, measured_sets(staged, "rule", names)):
+        check.key_set = keys
 
 
 @dataclass

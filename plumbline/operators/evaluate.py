@@ -36,7 +36,7 @@ from plumbline.sources.staging import Staging
 COUNTERS_PER_SCAN = 30
 ROW_RULES_PER_SCAN = 100
 KEYED_RULES_PER_SCAN = 20
-# Packing keys costs more than a scan or two of their columns: with fewer uniqueness rules each is faster by itself.
+# A shared aggregation costs more than a scan or two of the columns: with fewer uniqueness rules each is faster by itself.
 PACKED_RULES_FROM = 4
 
 # The rule that a repeated row breaks; a name that no checked table should use.

@@ -44,18 +44,21 @@ class KeySet:
 def stage_keys(keys: DataFrame, staging: Staging, label: str) -> KeySet:
     """Materialise unique keys and measure them, so a broadcast has a proven bound."""
     staged = staging.put(keys, label)
-    return KeySet(staged, *staged.agg(*_measures(staged)).first())
+    return KeySet(staged, *staged.agg(*_measures(_width(staged))).first())
 
 
-def measured_sets(staged: DataFrame, part: str, parts: int) -> list[KeySet]:
-    """The key sets of a staged table of several, told apart by a number from 0; measured in one pass."""
-    sizes = {row[0]: row[1:] for row in staged.groupBy(part).agg(*_measures(staged)).collect()}
-    keys = [staged.filter(F.col(part) == i).drop(part) for i in range(parts)]
-    return [KeySet(keys[i], *sizes.get(i, (0, 0, 0))) for i in range(parts)]
+def measured_sets(staged: DataFrame, part: str, names: list[list[str]]) -> list[KeySet]:
+    """The key sets of a staged table of several, told apart by a number from 0, with the names of each one's keys; measured in one pass."""
+    keys = [
+        staged.filter(F.col(part) == i).select(*[F.col(name).alias(f"_k{j}") for j, name in enumerate(some)], "n") for i, some in enumerate(names)
+    ]
+    widths = [F.when(F.col(part) == i, _width(staged.select(*some, "n"))) for i, some in enumerate(names)]
+    sizes = {row[0]: row[1:] for row in staged.groupBy(part).agg(*_measures(F.coalesce(*widths))).collect()}
+    return [KeySet(keys[i], *sizes.get(i, (0, 0, 0))) for i in range(len(names))]
 
 
-def _measures(staged: DataFrame) -> list[Column]:
-    """Keys, rows they stand for, bytes."""
+def _width(staged: DataFrame) -> Column:
+    """Bytes of a row."""
 
     def width(field) -> Column:
         if isinstance(field.dataType, (T.NumericType, T.BooleanType, T.DatetimeType)):
@@ -64,8 +67,12 @@ def _measures(staged: DataFrame) -> list[Column]:
             return F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)) + _BYTES_PER_FIELD
         return F.coalesce(F.octet_length(F.col(field.name).cast("string")), F.lit(0)) + _BYTES_PER_FIELD
 
-    size = reduce(lambda a, b: a + b, [width(field) for field in staged.schema.fields])
-    return [F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(size.cast("long")), F.lit(0))]
+    return reduce(lambda a, b: a + b, [width(field) for field in staged.schema.fields])
+
+
+def _measures(width: Column) -> list[Column]:
+    """Keys, rows they stand for, bytes."""
+    return [F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(width.cast("long")), F.lit(0))]
 
 
 def hashable(kind: T.DataType) -> bool:
