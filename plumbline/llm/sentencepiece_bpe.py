@@ -26,6 +26,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # fixed
 _NONE = np.int64(1 << 40)
 _KEPT_SEGMENTS = 300_000
 _LONG = 512  # symbols from which on a segment is merged by a queue
+_AT_ONCE = 1 << 18  # symbols that are merged together: a round holds some ten numbers for each
+_IDS = 1 << 17  # ids that are decoded together
 _SLOT_BITS = 19
 
 
@@ -169,14 +171,23 @@ class Encoder:
             counts.append(len(found) - before)
         chosen = self.numbers.of(found)
         if len(self.numbers) > seen:
-            flat, sizes = self._merge(list(islice(self.numbers, seen, None)))
-            self.flat = np.concatenate([self.flat, flat])
-            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
+            flat, sizes = zip(*map(self._merge, self._runs(list(islice(self.numbers, seen, None)))))
+            self.flat = np.concatenate([self.flat, *flat])
+            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.concatenate(sizes))])
         sizes = np.diff(self.first)[chosen]
         out = gather(self.flat, self.first[chosen], sizes)
         per_text = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
         return out, per_text
 
+    @staticmethod
+    def _runs(segments: list[str]) -> Iterator[list[str]]:
+        """The segments in runs of a bounded number of symbols; a longer one is a run by itself."""
+        ends, lo = np.cumsum(np.fromiter(map(len, segments), np.int64, len(segments))), 0
+        while lo < len(segments):
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + _AT_ONCE, side="right")))
+            yield segments[lo:hi]
+            lo = hi
+
     def _merge_long(self, symbols: list[int]) -> list[int]:
         """The merges of one long segment, from a queue of pairs by rank and place.
 
@@ -386,7 +397,7 @@ def encode(df: DataFrame, model: bytes, text_column: str = "text", into: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Vocabulary.from_bytes(model))
-        for batch in pieces(batches, text_column, 2 << 20):
+        for batch in pieces(batches, text_column):
             texts = [t.decode("utf-8", "replace") for t in texts_of(batch.column(text_column))]
             flat, first = encoder.encode(texts)
             out = np.insert(flat, first[1:], end)
@@ -405,11 +416,12 @@ def decode(df: DataFrame, model: bytes, ids_column: str = "ids", into: str = "de
             sizes = pa.compute.fill_null(pa.compute.list_value_length(whole.column(ids_column)), 0).to_numpy(zero_copy_only=False)
             ends, lo = np.cumsum(sizes, dtype=np.int64), 0
             while lo < len(sizes):
-                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + (1 << 20), side="right")))
+                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + _IDS, side="right")))
                 batch, first = whole.slice(lo, hi - lo), np.concatenate([[0], np.cumsum(sizes[lo:hi])])
                 flat = batch.column(ids_column).flatten().to_numpy().astype(np.int64)
                 yield _with(batch, into, pa.array(decoder.decode(flat, first), pa.string()))
                 lo = hi
+            pa.default_memory_pool().release_unused()
 
     return _added(df, run, into, StringType())
 
